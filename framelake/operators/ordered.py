@@ -81,17 +81,20 @@ def following(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: C
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, tuple[str, Column]],
-            backward: bool = False, limit: int = LIMIT) -> DataFrame:
+            backward: bool = False, limit: int = LIMIT, piece: Column | None = None) -> DataFrame:
     """Add running totals up to and including each row: `{name: ("sum" | "max", value)}`.
 
-    `backward` runs from the last row of a group to the first.
+    `backward` runs from the last row of a group to the first. `piece` is for an order with a known range: an
+    integer that grows with it and takes few values; every group is cut by it, and its sizes are not measured.
     """
     combine = {"sum": lambda a, b: a + F.coalesce(b, F.lit(0)), "max": lambda a, b: F.greatest(a, b)}
     agg = {"sum": F.sum, "max": F.max}
     direct = (lambda c: F.col(c).desc()) if backward else (lambda c: F.col(c).asc())
     named = {f"_t{i}": (name, kind, value) for i, (name, (kind, value)) in enumerate(totals.items())}
 
-    split = split_long_groups(df, keys, order[0], limit).withColumns({t: v for t, (_, _, v) in named.items()})
+    split = (split_long_groups(df, keys, order[0], limit) if piece is None else
+             df.withColumns({"_piece": piece.cast("int"), "_long": F.lit(True)}))
+    split = split.withColumns({t: v for t, (_, _, v) in named.items()})
     edges = (split.filter("_long").groupBy(*keys, "_piece")
              .agg(*[agg[kind](t).alias("_e" + t) for t, (_, kind, _) in named.items()]))
     before = (Window.partitionBy(*keys).orderBy(direct("_piece"))
@@ -110,8 +113,8 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: di
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "frame_num",
                 limit: int = LIMIT) -> DataFrame:
     """Add `out`: 0-based position of each row in its group."""
-    ranked = running(df, keys, order, {"_pos": ("sum", F.lit(1).cast("long"))}, limit=limit)
-    return ranked.withColumn(out, F.col("_pos") - 1).drop("_pos")
+    ranked = running(df, keys, order, {out: ("sum", F.lit(1).cast("long"))}, limit=limit)
+    return ranked.withColumn(out, F.col(out) - 1)
 
 
 def order_frames(df: DataFrame, camera: str = "camera", order: str = "frame_num",
