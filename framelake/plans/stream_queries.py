@@ -43,14 +43,14 @@ def finished(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
 @query("st1_reorder", "SELECT camera, frame_num, event_id AS arrival, false AS late FROM frames_v")
 def st1_reorder(spark, sf):
     rows = event_stream(spark, sf).select("camera", "frame_num", F.col("event_id").alias("arrival"))
-    return finished(reorder.reorder(rows, capacity=1), run_folder(spark, "reorder"))
+    return finished(reorder.reorder(rows, capacity=1, idle_ms=0), run_folder(spark, "reorder"))
 
 
 @query("st2_stream_keyframes", "SELECT camera, frame_num, is_keyframe FROM keyframes_v")
 def st2_stream_keyframes(spark, sf):
     rows = event_stream(spark, sf).select("camera", "frame_num", F.col("event_id").alias("arrival"),
                                           messages.class_list(F.col("objs")).alias("classes"))
-    marked = reorder.stream_keyframes(rows, capacity=1).select("camera", "frame_num", "is_keyframe")
+    marked = reorder.stream_keyframes(rows, capacity=1, idle_ms=0).select("camera", "frame_num", "is_keyframe")
     return finished(marked, run_folder(spark, "keyframes"))
 
 

@@ -79,10 +79,11 @@ class BoundedOrder(StatefulProcessor):
             self.buffer.put([item[3] for item in heap])
         else:
             self.buffer.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if heap and self.idle_ms:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        if self.idle_ms:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if heap:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield from self._emit(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -110,12 +111,13 @@ def _ordered(stream: DataFrame, keys: Sequence[str], capacity: int, idle_ms: int
     out = T.StructType([*schema.fields, T.StructField("late", T.BooleanType())]
                        + ([T.StructField("is_keyframe", T.BooleanType())] if compare else []))
     processor = BoundedOrder(schema, keys, capacity, idle_ms, compare)
-    return stream.groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "ProcessingTime")
+    return stream.groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "ProcessingTime" if idle_ms else "None")
 
 
 def reorder(stream: DataFrame, keys: Sequence[str] = ("camera",), capacity: int = 128, idle_ms: int = 30_000) -> DataFrame:
     """Frames in the order a bounded buffer restores, with `late`.
 
+    A stream with timers never ends by itself: pass `idle_ms=0` for a run over what is available now.
     `stream` has `frame_num` and `arrival`, the place of a row in its source; integers, text and arrays may follow.
     """
     return _ordered(stream, keys, capacity, idle_ms, None)
