@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from framelake import fixed, schemas
+from framelake.functions.vectors import bind
 
 OBJECT_TAGS = "map<int,struct<class_name:string,x1:float,y1:float,x2:float,y2:float>>"
 
@@ -43,23 +46,19 @@ def class_list(objs: Column) -> Column:
                       F.array().cast("array<int>"))
 
 
+def _class_counts(objs: Column, entry: Callable[[Column, Column], Column]) -> Column:
+    return bind(F.array_compact(class_list(objs)), lambda classes: F.transform(
+        F.array_distinct(classes), lambda c: entry(c.cast("string"), F.size(F.filter(classes, lambda x: x == c)))))
+
+
 def object_counts(objs: Column) -> Column:
     """Class to number of objects; empty map when there is none."""
-    classes = F.array_compact(class_list(objs))
-    pairs = F.transform(
-        F.array_distinct(classes),
-        lambda c: F.struct(c.cast("string").alias("key"),
-                           F.size(F.filter(classes, lambda x: x == c)).alias("value")))
-    return F.map_from_entries(pairs)
+    return F.map_from_entries(_class_counts(objs, lambda c, n: F.struct(c.alias("key"), n.alias("value"))))
 
 
 def object_signature(objs: Column) -> Column:
     """Class counts as text, `class:n` ordered by class."""
-    classes = F.array_compact(class_list(objs))
-    return F.array_join(
-        F.transform(F.array_distinct(classes),
-                    lambda c: F.concat(c.cast("string"), F.lit(":"),
-                                       F.size(F.filter(classes, lambda x: x == c)).cast("string"))), ",")
+    return F.array_join(_class_counts(objs, lambda c, n: F.concat(c, F.lit(":"), n.cast("string"))), ",")
 
 
 def top_scenes(scenes: Column, n: int = 5) -> Column:

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` worked out once, also where `use` mentions it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def softmax(logits: Column) -> Column:
-    peak = F.array_max(logits).cast("double")
-    weights = F.transform(logits, lambda x: F.exp(x.cast("double") - peak))
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(weights, lambda x: x / total)
+    weights = bind(F.array_max(logits).cast("double"),
+                   lambda peak: F.transform(logits, lambda x: F.exp(x.cast("double") - peak)))
+    return bind(weights, lambda ws: bind(F.aggregate(ws, F.lit(0.0), lambda a, x: a + x),
+                                         lambda total: F.transform(ws, lambda x: x / total)))
 
 
 def topk_softmax(logits: Column, k: int = 3, labels: Column | None = None) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -45,42 +46,88 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(owner[j]) - 1, j - 1) for j in range(1, m + 1) if owner[j])
 
 
-def iou_table(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Plain IoU of every box of `a` with every box of `b`."""
-    lo = np.maximum(a[:, None, :2], b[None, :, :2])
-    hi = np.minimum(a[:, None, 2:4], b[None, :, 2:4])
-    inter = np.prod(np.clip(hi - lo, 0, None), axis=2)
-    area = lambda x: (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1])
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return np.nan_to_num(inter / (area(a)[:, None] + area(b)[None, :] - inter))
+def _overlap(a: Sequence[float], b: Sequence[float]) -> float:
+    """Plain IoU of two boxes; 0 when both are empty."""
+    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    if w <= 0 or h <= 0:
+        return 0.0
+    inter = w * h
+    return inter / ((a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - inter)
 
 
-def associate(dets: np.ndarray, tracks: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+def associate(dets: list[Sequence[float]], tracks: list[Sequence[float]], threshold: float) -> list[tuple[int, int]]:
     """Pairs (detection, track) of the assignment with the largest total IoU, those below the threshold left out."""
-    if not len(dets) or not len(tracks):
-        return []
-    overlap = iou_table(dets, tracks)
-    return [(d, t) for d, t in assign(-overlap) if overlap[d, t] >= threshold]
+    overlap = [[_overlap(d, t) for t in tracks] for d in dets]
+    touching = [(d, t) for d, row in enumerate(overlap) for t, v in enumerate(row) if v > 0]
+    if len({d for d, _ in touching}) < len(touching) or len({t for _, t in touching}) < len(touching):
+        touching = assign(-np.array(overlap))
+    return [(d, t) for d, t in touching if overlap[d][t] >= threshold]
 
 
-_F = np.eye(7) + np.eye(7, k=4)
-_H = np.eye(4, 7)
-# Noise of the motion model; velocities start unknown and change slowly, area and aspect are measured badly.
-_P0 = np.diag([10.0, 10.0, 10.0, 10.0, 10000.0, 10000.0, 10000.0])
-_Q = np.diag([1.0, 1.0, 1.0, 1.0, 0.01, 0.01, 0.0001])
-_R = np.diag([1.0, 1.0, 10.0, 10.0])
+# Measurement noise of centre, area and aspect, motion noise of the three velocities, first variance
+# of a value and of a velocity.
+_R = (1.0, 1.0, 10.0, 10.0)
+_Q_VEL = (0.01, 0.01, 0.0001)
+_P_POS, _P_VEL = 10.0, 10000.0
 
 
-def _measure(b: np.ndarray) -> np.ndarray:
+def _measure(b: Sequence[float]) -> list[float]:
+    """Corner box as centre, area and aspect."""
     w, h = b[2] - b[0], b[3] - b[1]
-    return np.array([b[0] + w / 2, b[1] + h / 2, w * h, w / h if h else np.nan])
+    return [b[0] + w / 2, b[1] + h / 2, w * h, w / h if h else 0.0]
+
 
+class Track:
+    """One followed box.
 
-def _corners(x: np.ndarray) -> np.ndarray:
-    with np.errstate(invalid="ignore", divide="ignore"):
-        w = np.sqrt(x[2] * x[3])
-        h = x[2] / w
-    return np.array([x[0] - w / 2, x[1] - h / 2, x[0] + w / 2, x[1] + h / 2])
+    All noise is independent, so its filter falls apart into three filters of a value with its velocity (centre x,
+    centre y, area) and one of the aspect alone: `var`, `cov` and `vvar` are the variances of the values, their
+    covariances with the velocities and the variances of the velocities.
+    """
+
+    __slots__ = ("pos", "vel", "var", "cov", "vvar", "missed", "streak", "id", "kind")
+
+    def __init__(self, box: Sequence[float], number: int, kind: int):
+        self.pos, self.vel = _measure(box), [0.0] * 3
+        self.var, self.cov, self.vvar = [_P_POS] * 4, [0.0] * 3, [_P_VEL] * 3
+        self.missed = self.streak = 0
+        self.id, self.kind = number, kind
+
+    def predict(self) -> None:
+        if self.vel[2] + self.pos[2] <= 0:
+            self.vel[2] = 0.0
+        for i in range(3):
+            self.pos[i] += self.vel[i]
+            self.var[i] += 2 * self.cov[i] + self.vvar[i] + 1.0
+            self.cov[i] += self.vvar[i]
+            self.vvar[i] += _Q_VEL[i]
+        self.var[3] += 1.0
+        if self.missed:
+            self.streak = 0
+        self.missed += 1
+
+    def update(self, box: Sequence[float]) -> None:
+        for i, z in enumerate(_measure(box)):
+            off, total = z - self.pos[i], self.var[i] + _R[i]
+            gain = self.var[i] / total
+            self.pos[i] += gain * off
+            self.var[i] *= 1 - gain
+            if i < 3:
+                follow = self.cov[i] / total
+                self.vel[i] += follow * off
+                self.vvar[i] -= follow * self.cov[i]
+                self.cov[i] *= 1 - gain
+        self.missed = 0
+        self.streak += 1
+
+    def corners(self) -> tuple[float, float, float, float] | None:
+        """The box now; none when its area or aspect is no longer positive."""
+        x, y, s, r = self.pos
+        if s * r <= 0:
+            return None
+        w = math.sqrt(s * r)
+        h = s / w
+        return x - w / 2, y - h / 2, x + w / 2, y + h / 2
 
 
 class Tracker:
@@ -88,47 +135,28 @@ class Tracker:
 
     def __init__(self, max_age: int, min_hits: int, threshold: float):
         self.max_age, self.min_hits, self.threshold = max_age, min_hits, threshold
-        self.tracks: list[dict] = []
-        self.frame_count = 0
-        self.created = 0
-
-    def _predict(self, t: dict) -> np.ndarray:
-        x = t["x"]
-        if x[6] + x[2] <= 0:
-            x[6] = 0.0
-        t["x"], t["p"] = _F @ x, _F @ t["p"] @ _F.T + _Q
-        if t["missed"] > 0:
-            t["streak"] = 0
-        t["missed"] += 1
-        return _corners(t["x"])
-
-    def _update(self, t: dict, box: np.ndarray) -> None:
-        t["missed"], t["streak"] = 0, t["streak"] + 1
-        gain = t["p"] @ _H.T @ np.linalg.inv(_H @ t["p"] @ _H.T + _R)
-        t["x"] = t["x"] + gain @ (_measure(box) - _H @ t["x"])
-        keep = np.eye(7) - gain @ _H
-        t["p"] = keep @ t["p"] @ keep.T + gain @ _R @ gain.T
-
-    def step(self, dets: np.ndarray, classes: Sequence[int]) -> list[tuple]:
+        self.tracks: list[Track] = []
+        self.frame_count = self.created = 0
+
+    def step(self, dets: list[Sequence[float]], classes: list[int]) -> list[tuple]:
         """Rows (x1, y1, x2, y2, track id, class) of the tracks shown in this frame."""
         self.frame_count += 1
-        seen = [(t, self._predict(t)) for t in self.tracks]
-        alive = [(t, b) for t, b in seen if not np.isnan(b).any()]
-        self.tracks = [t for t, _ in alive]
-        places = np.array([b for _, b in alive]).reshape(-1, 4)
-        pairs = associate(dets, places, self.threshold)
+        for t in self.tracks:
+            t.predict()
+        places = [(t, t.corners()) for t in self.tracks]
+        self.tracks = [t for t, place in places if place]
+        pairs = associate(dets, [place for _, place in places if place], self.threshold)
         for d, t in pairs:
-            self._update(self.tracks[t], dets[d])
+            self.tracks[t].update(dets[d])
         taken = {d for d, _ in pairs}
-        for d in range(len(dets)):
+        for d, (box, kind) in enumerate(zip(dets, classes)):
             if d not in taken:
                 self.created += 1
-                x = np.concatenate([_measure(dets[d]), np.zeros(3)])
-                self.tracks.append({"x": x, "p": _P0.copy(), "missed": 0, "streak": 0, "id": self.created, "class": classes[d]})
-        shown = [(*_corners(t["x"]), t["id"], t["class"]) for t in self.tracks
-                 if t["missed"] < 1 and (t["streak"] >= self.min_hits or self.frame_count <= self.min_hits)]
-        self.tracks = [t for t in self.tracks if t["missed"] <= self.max_age]
-        return shown
+                self.tracks.append(Track(box, self.created, kind))
+        shown = [(t.corners(), t) for t in self.tracks
+                 if not t.missed and (t.streak >= self.min_hits or self.frame_count <= self.min_hits)]
+        self.tracks = [t for t in self.tracks if t.missed <= self.max_age]
+        return [(*box, t.id, t.kind) for box, t in shown if box]
 
 
 def split_at_gaps(dets: DataFrame, keys: Sequence[str] = ("camera",), max_age: int = 1, frame: str = "frame_num",
@@ -162,7 +190,9 @@ def track(dets: DataFrame, keys: Sequence[str] = ("camera", "video_id"), frame:
     keys = list(keys)
     index = frame_index or frame
     wanted = dets.select(*dict.fromkeys([*keys, frame, index]), tie, "class_id", *[F.col(c).cast("double").alias(c) for c in BOX])
-    spread = wanted.repartition(partitions, *keys) if partitions else wanted.repartition(*keys)
+    # a number keeps the adaptive planner from merging what looks small into one slow task
+    partitions = partitions or int(dets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = wanted.repartition(partitions, *keys)
     names = {f.name: f.dataType.simpleString() for f in wanted.schema}
     schema = ", ".join([f"{k} {names[k]}" for k in keys] + [f"{frame} {names[frame]}"]
                        + [f"{c} double" for c in BOX] + ["track_id long", "class_id int"])
@@ -173,15 +203,14 @@ def track(dets: DataFrame, keys: Sequence[str] = ("camera", "video_id"), frame:
         def finish(out: list) -> None:
             if not waiting:
                 return
-            boxes = np.array([w[0] for w in waiting], dtype=float)
-            out.extend((*key, at, *row) for row in tracker.step(boxes, [w[1] for w in waiting]))
+            out.extend((*key, at, *row) for row in tracker.step([w[0] for w in waiting], [w[1] for w in waiting]))
             waiting.clear()
 
         for part in parts:
             out: list[tuple] = []
             cols = [part[c].tolist() for c in keys]
             for k, f, i, box, cls in zip(zip(*cols), part[frame].tolist(), part[index].tolist(),
-                                         part[BOX].to_numpy(float), part["class_id"].tolist()):
+                                         part[BOX].to_numpy(float).tolist(), part["class_id"].tolist()):
                 if k != key:
                     finish(out)
                     key, at, tracker = k, None, Tracker(max_age, min_hits, iou)
@@ -192,7 +221,7 @@ def track(dets: DataFrame, keys: Sequence[str] = ("camera", "video_id"), frame:
                     # a gap longer than any track lives only moves the frame count on
                     empty = 0 if skip_empty else f - at - 1
                     for _ in range(min(empty, max_age + 1)):
-                        tracker.step(np.empty((0, 4)), [])
+                        tracker.step([], [])
                     tracker.frame_count += max(0, empty - max_age - 1)
                 at = f
                 waiting.append((box, cls))
