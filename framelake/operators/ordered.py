@@ -5,7 +5,7 @@ A window over one group is one task. These operators give the same results, but
 by different tasks and then stitched through one small row per piece. The cut points are the order
 values with certain hashes, so they depend on the data alone and a recomputed task finds the same ones.
 
-The tables that are broadcast hold at most one entry per `limit` rows of input.
+The tables that are broadcast hold a handful of entries per `limit` rows of input.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 LIMIT = 4_000_000
 PIECES = 1024
+STEP = 32
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -39,15 +40,20 @@ def split_long_groups(df: DataFrame, keys: Sequence[str], order: str, limit: int
     Pieces are consecutive ranges of the integer column `order`; rows that share an order value share a piece.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    stride = F.greatest(F.ceil(F.col("_n") / pieces), F.lit(limit)).cast("long")
+    # four cut points per `limit` rows: pieces between random cut points vary in size
+    stride = F.greatest(F.ceil(F.col("_n") / pieces), F.lit(max(1, limit // 4))).cast("long")
     picked = _attach(df.select(*keys, order), counts, keys, "inner").filter(
         F.pmod(F.xxhash64(F.col(order)), stride) == 0)
     cuts = picked.groupBy(*keys).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
-    piece = F.size(F.filter("_cuts", lambda c: c <= F.col(order)))
+    # counting the cut points up to a value: first by every 32nd of them, then among the next 32
+    below = lambda cuts: F.size(F.filter(cuts, lambda c: c <= F.col(order)))
+    top = below("_tops") * STEP
+    piece = top + below(F.slice("_cuts", top + 1, F.lit(STEP)))
+    cuts = cuts.withColumn("_tops", F.filter("_cuts", lambda c, i: i % STEP == STEP - 1))
     return (_attach(df, cuts, keys)
             .withColumn("_long", F.col("_cuts").isNotNull())
             .withColumn("_piece", F.when(F.col("_long"), piece).otherwise(F.lit(0)))
-            .drop("_cuts"))
+            .drop("_cuts", "_tops"))
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
