@@ -243,9 +243,9 @@ def track_summary(tracks: DataFrame, keys: Sequence[str] = ("camera",), unit: Se
 
 def mot_lines(tracks: DataFrame, frame: str = "frame_num", track_id: str = "track_id") -> DataFrame:
     """Tracks as benchmark text lines: frame, id, left, top, width, height with two decimals, and fixed fields."""
-    w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    return tracks.select(F.format_string("%d,%d,%.2f,%.2f,%.2f,%.2f,1,-1,-1,-1", F.col(frame), F.col(track_id),
-                                         F.col("x1"), F.col("y1"), w, h).alias("value"))
+    x1, y1, x2, y2 = (F.col(c) for c in BOX)
+    place = [F.bround(v, 2) for v in (x1, y1, x2 - x1, y2 - y1)]
+    return tracks.select(F.format_string("%d,%d,%.2f,%.2f,%.2f,%.2f,1,-1,-1,-1", F.col(frame), F.col(track_id), *place).alias("value"))
 
 
 def write_mot(tracks: DataFrame, path: str, mode: str = "overwrite") -> None:
