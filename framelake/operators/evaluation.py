@@ -24,7 +24,8 @@ def match_detections(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0
     One row per matched box of `truth`, with `box_id`, `iou` and `score`; ties go to the higher score, then
     the lower `box_id`. Two boxes whose IoU exceeds one half contain each other's centre, so a prediction
     meets only the truths that cover the grid cell of its centre; the join key holds the cell, which also
-    splits a crowded image. Copies of one predicted box shrink to the best of them before the join.
+    splits a crowded image. Copies of one predicted box shrink to the best of them before the join, and
+    copies of one truth are matched once.
     """
     if iou_threshold < 0.5:
         raise ValueError("the centre rule needs an IoU threshold of at least 0.5")
@@ -34,14 +35,15 @@ def match_detections(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0
                  _cell((F.col("x1") + F.col("x2") + 1) / 2, cell).alias("cell_x"),
                  _cell((F.col("y1") + F.col("y2") + 1) / 2, cell).alias("cell_y")))
     covered = lambda lo, hi: F.explode(F.sequence(_cell(F.col(lo), cell), _cell(F.col(hi) + 1, cell)))
-    g = (truth.withColumn("cell_x", covered("x1", "x2")).withColumn("cell_y", covered("y1", "y2")))
+    place = [image, "class_id", *CORNERS]
+    g = (truth.select(*place).distinct()
+         .withColumn("cell_x", covered("x1", "x2")).withColumn("cell_y", covered("y1", "y2")))
     overlap = boxes.iou(boxes.box(), boxes.box("p_"), "pixel")
     pairs = (g.join(p, [image, "class_id", "cell_x", "cell_y"]).withColumn("iou", overlap)
              .filter(F.col("iou") > iou_threshold))
     first = F.struct(-F.col("iou"), -F.col("score"), F.col("box_id"))
-    return (pairs.groupBy(image, "class_id", "gt_id")
-            .agg(F.min_by(F.struct("box_id", "iou", "score"), first).alias("m"))
-            .select(image, "class_id", "gt_id", "m.*"))
+    matched = pairs.groupBy(*place).agg(F.min_by(F.struct("box_id", "iou", "score"), first).alias("m"))
+    return truth.join(matched, place).select(image, "class_id", "gt_id", "m.*")
 
 
 def detection_counts(pred: DataFrame, truth: DataFrame, matched: DataFrame, min_score: float = 0.5) -> DataFrame:

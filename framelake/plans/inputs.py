@@ -63,7 +63,8 @@ def boxes(spark: SparkSession, sf: str) -> DataFrame:
     top = F.pmod(supp, F.lit(20)).cast("double")
     return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("image_id"),
-        ((part * 100000000 + supp) * 10 + F.col("l_linenumber")).alias("box_id"),
+        (((F.pmod(supp, F.lit(10007)) * 100003 + F.pmod(part, F.lit(100003))) * 8 + F.col("l_linenumber")) * 64
+         + F.col("l_quantity").cast("long")).alias("box_id"),
         F.pmod(part, F.lit(3)).cast("int").alias("class_id"),
         (F.pmod(F.floor("l_extendedprice"), F.lit(1000)) / 1000).alias("score"),
         F.col("l_quantity").alias("x1"), top.alias("y1"),

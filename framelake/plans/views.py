@@ -46,7 +46,7 @@ SELECT 'dashcam_' || k.camera AS dashcam_id, k.camera, k.store_date, k.location,
 FROM keyframes_v k JOIN (SELECT event_id, count(*) AS n, {type_flags} FROM coarse_v GROUP BY event_id) c ON c.event_id = k.event_id
 GROUP BY ALL""",
     "boxes_v": """
-SELECT l_orderkey AS image_id, (l_partkey * 100000000 + l_suppkey) * 10 + l_linenumber AS box_id,
+SELECT l_orderkey AS image_id, ((l_suppkey % 10007 * 100003 + l_partkey % 100003) * 8 + l_linenumber) * 64 + CAST(l_quantity AS BIGINT) AS box_id,
   CAST(l_partkey % 3 AS INTEGER) AS class_id,
   CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS DOUBLE) / 1000 AS score,
   l_quantity AS x1, CAST(l_suppkey % 20 AS DOUBLE) AS y1, l_quantity + 20 + l_partkey % 10 AS x2, CAST(l_suppkey % 20 + 25 AS DOUBLE) AS y2
