@@ -45,22 +45,24 @@ def topic_options(servers: str, topic: str, starting: str = "earliest", max_per_
     return options
 
 
-def stream_messages(spark: SparkSession, topic: str, servers: str | None = None, starting: str = "earliest",
-                    schema: T.StructType = schemas.DETECTED_FRAME, max_per_trigger: int | None = None) -> DataFrame:
-    """A stream of typed messages with `key` and `arrival`: of a topic, or of a folder of JSON lines.
+def stream_wire(spark: SparkSession, topic: str, servers: str | None = None, starting: str = "earliest",
+                max_per_trigger: int | None = None) -> DataFrame:
+    """A stream of `key`, `arrival` and JSON `value`: of a topic, or of a folder of JSON lines.
 
     `arrival` grows with the position in the source; several partitions or files have no common order.
     """
     if servers:
         raw = spark.readStream.format("kafka").options(**topic_options(servers, topic, starting, max_per_trigger)).load()
-        wire = raw.select(F.col("key").cast("string").alias("key"), F.col("offset").alias("arrival"),
+        return raw.select(F.col("key").cast("string").alias("key"), F.col("offset").alias("arrival"),
                           F.col("value").cast("string").alias("value"))
-    else:
-        reader = spark.readStream.format("text")
-        if max_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-        wire = reader.load(topic).select(
-            F.lit(None).cast("string").alias("key"),
-            (F.unix_millis("_metadata.file_modification_time") * 1000 + F.col("_metadata.file_block_start")).alias("arrival"),
-            "value")
-    return parse_messages(wire, schema)
+    reader = spark.readStream.format("text")
+    if max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    place = F.unix_millis("_metadata.file_modification_time") * 1000 + F.col("_metadata.file_block_start")
+    return reader.load(topic).select(F.lit(None).cast("string").alias("key"), place.alias("arrival"), "value")
+
+
+def stream_messages(spark: SparkSession, topic: str, servers: str | None = None, starting: str = "earliest",
+                    schema: T.StructType = schemas.DETECTED_FRAME, max_per_trigger: int | None = None) -> DataFrame:
+    """A stream of typed messages with `key` and `arrival`."""
+    return parse_messages(stream_wire(spark, topic, servers, starting, max_per_trigger), schema)

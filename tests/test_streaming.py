@@ -158,3 +158,23 @@ def test_batch_counts(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert sum(n for _, n in listener.counts) == 50
+
+
+def test_live_cameras(spark, tmp_path):
+    from framelake.plans import live
+    (tmp_path / "m").mkdir()
+    order = sorted(range(90), key=lambda i: i + random.Random(i).random() * 12)
+    (tmp_path / "m" / "a.json").write_text("\n".join([*(message(i) for i in order), "broken"]))
+    import time
+    time.sleep(1.1)
+    (tmp_path / "m" / "b.json").write_text("\n".join(json.dumps({"camera": c}) for c in range(3)))
+    wire = messages.stream_wire(spark, str(tmp_path / "m"), max_per_trigger=1)
+    live.start_live(wire, str(tmp_path / "db"), str(tmp_path / "cp"), "store/", "http://h/", 64, 0, {"availableNow": True}).awaitTermination()
+    text = spark.createDataFrame([(message(i),) for i in range(90)], "value string")
+    batch = keyframes.prepare_value(messages.accepted(messages.parse_messages(text)))
+    batch = keyframes.mark_keyframes(batch, classes=F.col("classes"))
+    assert sorted(sink.read_statistic(spark, str(tmp_path / "db")).collect()) == sorted(statistic.scene_statistic(batch).collect())
+    got = sink.read_frames(spark, str(tmp_path / "db"))
+    assert got.count() == 90 and got.filter("is_keyframe").count() == batch.filter("is_keyframe").count()
+    live.start_rejects(wire, str(tmp_path / "rejects"), str(tmp_path / "cp2"), {"availableNow": True}).awaitTermination()
+    assert [r.rejected for r in spark.read.json(str(tmp_path / "rejects")).collect()] == ["broken"]
