@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from framelake.functions import boxes, text, vectors
 from framelake.functions.messages import object_class, object_name
+from framelake.session import scratch_dir
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -29,30 +31,73 @@ def detections_long(frames: DataFrame, *keep: str) -> DataFrame:
         *[F.get("o.box", F.lit(i)).alias(c) for i, c in enumerate(CORNERS)])
 
 
-def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Sequence[str] = ("image_id",),
-        score: str = "score", tie: str = "box_id") -> DataFrame:
-    """Greedy suppression per image and class of corner boxes, highest score first, ties to the lower `tie`.
+def _corners(b: Column) -> boxes.Box:
+    return tuple(b[c] for c in CORNERS)
 
-    A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU). Copies of one box
-    always lose to the best of them, so they shrink to one row before the shuffle; what is gathered per
-    image and class are its distinct boxes, a number the detector head bounds.
-    """
-    group = [*image, "class_id"]
-    rest = [c for c in df.columns if c not in (*group, *CORNERS)]
-    best = F.min_by(F.struct(*rest), F.struct(-F.col(score), F.col(tie))).alias("_b")
-    distinct = df.filter(F.col(score) >= conf).groupBy(*group, *CORNERS).agg(best)
-    entry = F.struct((-F.col(f"_b.{score}")).alias("o1"), F.col(f"_b.{tie}").alias("o2"), *CORNERS, F.col("_b").alias("row"))
 
-    def corners(b: Column) -> boxes.Box:
-        return tuple(b[c] for c in CORNERS)
+def _greedy(distinct: DataFrame, group: Sequence[str], threshold: float) -> DataFrame:
+    """Kept boxes of each group, gathered and walked through by descending score."""
+    entry = F.struct((-F.col("_b._score")).alias("o1"), F.col("_b._tie").alias("o2"), *CORNERS, F.col("_b").alias("row"))
 
     def keep(kept: Column, b: Column) -> Column:
-        hit = F.exists(kept, lambda k: boxes.iou(corners(k), corners(b), "pixel") >= iou_threshold)
+        hit = F.exists(kept, lambda k: boxes.iou(_corners(k), _corners(b), "pixel") >= threshold)
         return F.when(hit, kept).otherwise(F.concat(kept, F.array(b)))
 
     gathered = distinct.groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("_l"))
     kept = gathered.select(*group, F.explode(F.aggregate("_l", F.slice("_l", 1, 0), keep)).alias("k"))
-    return kept.select(*group, *[F.col(f"k.{c}").alias(c) for c in CORNERS], "k.row.*")
+    return kept.select(*group, *[F.col(f"k.{c}").alias(c) for c in CORNERS], F.col("k.row").alias("_b"))
+
+
+def nms_in_rounds(distinct: DataFrame, group: Sequence[str], threshold: float, top: int = 2048) -> DataFrame:
+    """The greedy walk for crowded groups, a bounded number of boxes of a group at a time.
+
+    What the walk decides about the best boxes of a group does not depend on the others. So each round settles
+    the `top` best boxes left, and drops all boxes that overlap those kept, in parallel wherever they are. The
+    boxes left are written to the shared scratch folder between rounds.
+    """
+    spark = distinct.sparkSession
+    folder = f"{scratch_dir(spark)}/nms-{uuid.uuid4().hex}"
+    order = Window.partitionBy(*group).orderBy((-F.col("_b._score")), F.col("_b._tie"))
+    left, rounds = distinct, 0
+    while True:
+        best = left.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= top).drop("_rank")
+        _greedy(best, group, threshold).write.parquet(f"{folder}/kept/round={rounds}")
+        kept = spark.read.parquet(f"{folder}/kept/round={rounds}")
+        walls = kept.groupBy(*group).agg(F.collect_list(F.struct(*CORNERS)).alias("_kept"))
+        hit = F.exists("_kept", lambda k: boxes.iou(_corners(k), tuple(F.col(c) for c in CORNERS), "pixel") >= threshold)
+        (left.join(F.broadcast(walls), list(group)).filter(~hit).drop("_kept").write.parquet(f"{folder}/left/round={rounds}"))
+        left = spark.read.parquet(f"{folder}/left/round={rounds}")
+        if left.isEmpty():
+            return spark.read.option("basePath", f"{folder}/kept").parquet(f"{folder}/kept").drop("round")
+        rounds += 1
+
+
+def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Sequence[str] = ("image_id",),
+        score: str = "score", tie: str = "box_id", crowd: int | None = 100_000) -> DataFrame:
+    """Greedy suppression per image and class of corner boxes, highest score first, ties to the lower `tie`.
+
+    A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU). Copies of one box
+    always lose to the best of them, so they shrink to one row before the shuffle. Groups are measured first:
+    those of at most `crowd` boxes are gathered, larger ones are settled in rounds; None skips the measuring
+    where the detector bounds the boxes of an image.
+    """
+    group = [*image, "class_id"]
+    sure = df.filter(F.col(score) >= conf)
+    rest = [c for c in df.columns if c not in (*group, *CORNERS)]
+    row = F.struct(F.col(score).alias("_score"), F.col(tie).alias("_tie"), *rest)
+    distinct = sure.groupBy(*group, *CORNERS).agg(F.min_by(row, F.struct(-F.col(score), F.col(tie))).alias("_b"))
+
+    def flat(kept: DataFrame) -> DataFrame:
+        return kept.select(*group, *CORNERS, *[F.col("_b")[c].alias(c) for c in rest])
+
+    if crowd is None:
+        return flat(_greedy(distinct, group, iou_threshold))
+    crowded = sure.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > crowd).select(*group)
+    if crowded.isEmpty():
+        return flat(_greedy(distinct, group, iou_threshold))
+    few = _greedy(distinct.join(F.broadcast(crowded), group, "left_anti"), group, iou_threshold)
+    many = nms_in_rounds(distinct.join(F.broadcast(crowded), group, "left_semi"), group, iou_threshold)
+    return flat(few).unionByName(flat(many))
 
 
 def decode_grid(df: DataFrame, anchors: Sequence[tuple[float, float]], grid: int, stride: float) -> DataFrame:

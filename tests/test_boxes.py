@@ -55,6 +55,17 @@ def test_nms(spark):
     assert again == got
 
 
+def test_crowded_groups_in_rounds(spark):
+    rows = random_boxes(8, images=3, n=150, size=300)
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = {(r.image_id, r.box_id) for r in detections.nms(df, 0.3, 0.4, crowd=200).collect()}
+    assert whole == brute_nms(rows, 0.3, 0.4)
+    prepared = df.filter("score >= 0.3").selectExpr("image_id", "class_id", *detections.CORNERS, "struct(score as _score, box_id as _tie, box_id) as _b")
+    prepared = prepared.filter("_b.box_id < 10000 or _b.box_id = 10000")
+    kept = detections.nms_in_rounds(prepared, ["image_id", "class_id"], 0.4, top=7)
+    assert {(r.image_id, r._b.box_id) for r in kept.collect()} == brute_nms(rows, 0.3, 0.4)
+
+
 def test_iou_modes(spark):
     df = spark.createDataFrame([(0.0, 0.0, 9.0, 9.0, 0.0, 0.0, 9.0, 9.0), (0.0, 0.0, 1.0, 1.0, 2.0, 2.0, 3.0, 3.0), (1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)],
                                "x1 double, y1 double, x2 double, y2 double, g_x1 double, g_y1 double, g_x2 double, g_y2 double")
