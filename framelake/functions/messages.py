@@ -74,7 +74,8 @@ def coarse_scenes(raw: Column, taxonomy: dict[str, str] | None = None) -> Column
     """Scene types of raw scene names, sorted and distinct; the fallback type when none is known."""
     lookup = taxonomy_map(taxonomy or fixed.scene_type_of())
     known = F.array_compact(F.array_distinct(F.transform(raw, lambda s: F.try_element_at(lookup, s))))
-    return F.when(F.size(known) > 0, F.array_sort(known)).otherwise(F.array(F.lit(fixed.FALLBACK_SCENE)))
+    return bind(known, lambda types: F.when(F.size(types) > 0, F.array_sort(types))
+                .otherwise(F.array(F.lit(fixed.FALLBACK_SCENE))))
 
 
 def object_response(payload: Column, url: Column) -> Column:

@@ -65,16 +65,15 @@ def bucketed_count(df: DataFrame, date: str, freq: str, predicate: Column | None
             .select("bucket", F.coalesce("n", F.lit(0).cast("long")).alias("n")).orderBy("bucket"))
 
 
-def object_histogram(tags: DataFrame, frame: tuple[str, ...] = ("camera", "frame_num")) -> DataFrame:
-    """Objects and frames per class of one row per object."""
-    per_frame = tags.groupBy(*frame, "class_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_frame.groupBy("class_id").agg(F.sum("n").cast("long").alias("objects"),
-                                             F.count(F.lit(1)).alias("frames"))
+def object_counts_long(frames: DataFrame, *keep: str) -> DataFrame:
+    """One row per frame and class from the class counts of value rows."""
+    return (frames.select(*keep, F.explode("counts").alias("_c", "n"))
+            .select(*keep, F.col("_c").cast("int").alias("class_id"), F.col("n").cast("long").alias("n")))
 
 
-def object_counts_long(frames: DataFrame, frame: tuple[str, ...] = ("camera", "frame_num")) -> DataFrame:
-    """One row per frame and class from the class counts of value rows; no shuffle."""
-    return frames.select(*frame, F.explode("counts").alias("class_id", "n"))
+def object_histogram(frames: DataFrame) -> DataFrame:
+    """Objects and frames per class of value rows; only one row per class and map task is shuffled."""
+    return object_counts_long(frames).groupBy("class_id").agg(F.sum("n").alias("objects"), F.count(F.lit(1)).alias("frames"))
 
 
 def date_spine(spark: SparkSession, as_of: str, days: int = 8) -> DataFrame:

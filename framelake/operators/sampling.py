@@ -84,34 +84,31 @@ def sample_frames(frames: DataFrame, step: int, videos: DataFrame | None = None,
             .filter(F.pmod(F.col("phase") + F.col(index), F.lit(step + 1)) == step).drop("phase"))
 
 
-def global_position(df: DataFrame, key: str, out: str = "position", pieces: int = 256) -> DataFrame:
-    """Add the 0-based position of each distinct key in the order of all keys.
+def key_positions(df: DataFrame, key: str, out: str = "position", pieces: int = 256) -> DataFrame:
+    """The distinct keys with their 0-based position in the order of all keys.
 
     Cut points are every 16th of the keys with the smallest hashes, so they follow the keys' distribution and
     every task that is run again finds the same ones; each range is numbered by itself and shifted by
-    the sizes of the ranges before it.
+    the sizes of the ranges before it. The distinct keys are shuffled once and used three times.
     """
-    keyed = df.dropDuplicates([key])
-    lowest = df.select(key, F.xxhash64(key).alias("_h")).distinct().orderBy("_h", key).limit(pieces * 16)
+    keyed = df.select(key).distinct()
+    lowest = keyed.select(key, F.xxhash64(key).alias("_h")).orderBy("_h", key).limit(pieces * 16)
     sample = lowest.agg(F.sort_array(F.collect_list(key)).alias("s"))
     cuts = sample.select(F.filter("s", lambda x, i: i % 16 == 15).alias("cuts"))
-
-    def ranged(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_cuts", cuts.scalar()).withColumn(
-            "_range", F.size(F.filter("_cuts", lambda c: c <= F.col(key)))).drop("_cuts")
-
-    sizes = ranged(df.select(key).distinct()).groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = (keyed.withColumn("_cuts", cuts.scalar())
+              .withColumn("_range", F.size(F.filter("_cuts", lambda c: c <= F.col(key)))).drop("_cuts"))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     every = sizes.agg(F.collect_list(F.struct("_range", "_n")).alias("sizes"))
     offsets = sizes.withColumn("_all", every.scalar()).select("_range", F.aggregate(
         F.filter("_all", lambda e: e["_range"] < F.col("_range")), F.lit(0).cast("long"), lambda a, e: a + e["_n"]).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(key))
-    return (ranged(keyed).withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
-            .withColumn(out, F.col("_before") + F.col("_inside") - 1).drop("_range", "_inside", "_before"))
+    return (ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
+            .select(key, (F.col("_before") + F.col("_inside") - 1).alias(out)))
 
 
 def assign_round_robin(listing: DataFrame, folder: str, target: str, users: int = 100, key: str = "key") -> DataFrame:
     """Copy manifest that deals sorted videos out to users: video, info and thumbnail from and to."""
-    dealt = global_position(listing, key).withColumn("user_id", F.pmod("position", F.lit(users)))
+    dealt = key_positions(listing, key).withColumn("user_id", F.pmod("position", F.lit(users)))
     name, stem = keys.file_name(F.col(key)), keys.file_stem(F.col(key))
     home = F.concat(F.lit(target), F.lit("user_"), F.col("user_id").cast("string"))
     at = lambda root, part, leaf, ext="": F.concat(root, F.lit(part), leaf, F.lit(ext))

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake import fixed
+from framelake.operators import ordered
 
 BROADCAST_ROWS = 1_000_000
+# Spark limits groups before the shuffle up to this many rows (spark.sql.optimizer.windowGroupLimitThreshold)
+TOP_K = 1000
 
 
 def valuable_only(df: DataFrame) -> DataFrame:
@@ -22,20 +25,25 @@ def mark_valuable(df: DataFrame, predicate: Column | None = None) -> DataFrame:
 
 
 def diversity_select(df: DataFrame, cap: int, frame: Sequence[str] = ("camera", "frame_num"),
-                     pick: Sequence[Column] | None = None, by_location: bool = False) -> DataFrame:
+                     pick: Sequence[Column] | None = None, by_location: bool = False,
+                     limit: int = ordered.LIMIT) -> DataFrame:
     """Mark frames `valuable` so that no scene type fills the store.
 
-    Each scene type (in each place) nominates its first `cap` frames in the order `pick`, by default a hash
-    of the frame key; a frame is valuable when any of its types nominates it. The rank filter is a top-k per
-    group, which Spark also applies before the shuffle, so a frequent type ships `cap` rows per map task.
+    Each scene type (in each place) nominates its first `cap` frames in the order `pick` (its first column an
+    integer), by default a hash of the frame key; a frame is valuable when any of its types nominates it. A small
+    cap is a top-k per group, which Spark also applies before the shuffle, so a frequent type ships `cap` rows per
+    map task; a larger one numbers the frames of a type in pieces.
     """
     frame, bucket = list(frame), ["scene_type"] + (["location"] if by_location else [])
     pick = list(pick) if pick else [F.xxhash64(*frame), *[F.col(c) for c in frame]]
     order = [f"_o{i}" for i in range(len(pick))]
     tags = df.select(*frame, *(["location"] if by_location else []), *[p.alias(o) for p, o in zip(pick, order)],
                      F.explode("scenes").alias("scene_type"))
-    nominated = (tags.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)))
-                 .filter(F.col("_rank") <= cap).select(*frame).distinct()
+    if cap <= TOP_K:
+        ranked = tags.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)) - 1)
+    else:
+        ranked = ordered.number_rows(tags, bucket, order, "_rank", limit)
+    nominated = (ranked.filter(F.col("_rank") < cap).select(*frame).distinct()
                  .withColumn("_nominated", F.lit(True)))
     places = len(fixed.state_code_of()) + 2 if by_location else 1
     if cap * len(fixed.SCENE_TYPES) * places <= BROADCAST_ROWS:

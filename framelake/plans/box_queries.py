@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions import boxes, text, vectors
-from framelake.operators import dashboards, detections, evaluation, ordered, payload, tracking
+from framelake.operators import dashboards, detections, evaluation, keyframes, ordered, payload, tracking
 from framelake.plans import inputs
 from framelake.plans.catalog import query
 from framelake.sources import files
@@ -290,8 +290,13 @@ def j5_anchor(spark, sf):
 @query("a8_object_histogram", """
 SELECT CAST(class_id AS INTEGER) AS class_id, count(*) AS objects, count(DISTINCT event_id) AS frames FROM objects_v GROUP BY class_id""")
 def a8_object_histogram(spark, sf):
-    tags = detections.detections_long(inputs.frames(spark, sf), "camera", "frame_num")
-    return dashboards.object_histogram(tags)
+    return dashboards.object_histogram(keyframes.prepare_value(inputs.frames(spark, sf)))
+
+
+@query("a8_frame_object_counts", """
+SELECT event_id, CAST(class_id AS INTEGER) AS class_id, count(*) AS n FROM objects_v GROUP BY event_id, class_id""")
+def a8_frame_object_counts(spark, sf):
+    return dashboards.object_counts_long(keyframes.prepare_value(inputs.frames(spark, sf)), "event_id")
 
 
 def _tracks(spark, sf):

@@ -42,7 +42,7 @@ def p14_round_robin(spark, sf):
 
 @query("t3_global_sort", "SELECT url, row_number() OVER (ORDER BY url) - 1 AS position FROM listing_v")
 def t3_global_sort(spark, sf):
-    return sampling.global_position(inputs.listing(spark, sf).select("url"), "url").orderBy("position")
+    return sampling.key_positions(inputs.listing(spark, sf), "url").orderBy("position")
 
 
 def _video_frames(spark, sf):

@@ -47,6 +47,14 @@ def test_diversity_never_exceeds_cap_per_only_type(spark):
     assert out.count() == 300
     assert out.filter("valuable and array_contains(scenes, 'ruin')").count() >= 15
     assert 15 <= out.filter("valuable").count() <= 30
+    assert out.filter("valuable").count() == selection.diversity_select(df, 15, pick=None).filter("valuable").count()
+    few = {(r.camera, r.valuable) for r in out.select("camera", "valuable").collect()}
+    selection.TOP_K, kept = 0, selection.TOP_K
+    try:
+        pieces = selection.diversity_select(df, 15, limit=20)
+        assert {(r.camera, r.valuable) for r in pieces.select("camera", "valuable").collect()} == few
+    finally:
+        selection.TOP_K = kept
     assert selection.diversity_select(df, 5, by_location=True).filter("valuable").count() <= 20
 
 

@@ -59,11 +59,11 @@ def test_without_videos_each_starts_anew(spark):
     assert sorted((r.video_id, r.frame_idx) for r in sampling.sample_frames(frames, 2).collect()) == [(0, 2), (1, 2)]
 
 
-def test_global_position(spark):
+def test_key_positions(spark):
     rng = random.Random(1)
     urls = sorted({f"a/{'hot/' * 5 if rng.random() < .8 else ''}{rng.randint(0, 10**6)}.mov" for _ in range(3000)})
     df = spark.createDataFrame([(u,) for u in rng.sample(urls, len(urls)) + urls[:50]], "key string").repartition(6)
-    got = {r.key: r.position for r in sampling.global_position(df, "key", pieces=16).collect()}
+    got = {r.key: r.position for r in sampling.key_positions(df, "key", pieces=16).collect()}
     assert got == {u: i for i, u in enumerate(urls)}
 
 
