@@ -56,22 +56,25 @@ def detection_counts(pred: DataFrame, truth: DataFrame, matched: DataFrame, min_
     return counts.withColumns({"recall": ratio("n_correct", "n_truth"), "precision": ratio("n_correct", "n_proposals")})
 
 
-def true_positives(pred: DataFrame, matched: DataFrame, image: str = "image_id") -> DataFrame:
-    """Predictions with `tp`: a box counts once, however many truths it is the best for."""
-    hits = matched.select(image, "box_id").distinct().withColumn("_hit", F.lit(True))
-    return pred.join(hits, [image, "box_id"], "left").withColumn("tp", F.col("_hit").isNotNull()).drop("_hit")
+def precision_points(pred: DataFrame, matched: DataFrame, image: str = "image_id") -> DataFrame:
+    """Predictions `n` and right ones `tp` per class and score; only these sums are shuffled.
+
+    A box counts once, however many truths it is the best for.
+    """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    right = matched.select(image, "class_id", "box_id", "score").distinct()
+    both = (pred.select("class_id", "score", zero.alias("tp"), one.alias("n"))
+            .unionByName(right.select("class_id", "score", one.alias("tp"), zero.alias("n"))))
+    return both.groupBy("class_id", "score").agg(F.sum("tp").alias("tp"), F.sum("n").alias("n"))
 
 
-def average_precision(scored: DataFrame, truths: DataFrame, pieces: int = 1024) -> DataFrame:
+def average_precision(points: DataFrame, truths: DataFrame, pieces: int = 1024) -> DataFrame:
     """Area under the precision envelope per class.
 
-    `scored` has class_id, score in 0..1 and tp; `truths` has class_id and n_truth. Predictions of one score form
-    one point of the curve, so they are added up before the shuffle; the points are then accumulated by
-    descending score and the envelope by ascending score, both in `pieces` score ranges per class. Recall grows
-    by tp / n_truth at each point.
+    `points` has class_id, score in 0..1, tp and n, one row per class and score; `truths` has class_id and n_truth.
+    The points are accumulated by descending score and the envelope by ascending score, both in `pieces` score
+    ranges per class. Recall grows by tp / n_truth at each point.
     """
-    points = scored.groupBy("class_id", "score").agg(
-        F.sum(F.col("tp").cast("long")).alias("tp"), F.count(F.lit(1)).alias("n"))
     piece = F.floor(F.col("score") * pieces)
     curve = ordered.running(points, ["class_id"], ["score"],
                             {"sum_tp": ("sum", F.col("tp")), "sum_n": ("sum", F.col("n"))}, True, piece=piece)
@@ -89,8 +92,8 @@ def mean_average_precision(ap: DataFrame) -> DataFrame:
 def evaluate(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, min_score: float = 0.5) -> DataFrame:
     """Recall and precision above `min_score`, and average precision over all scores, per class."""
     counts = detection_counts(pred, truth, match_detections(pred, truth, iou_threshold, min_score), min_score)
-    scored = true_positives(pred, match_detections(pred, truth, iou_threshold, -1.0))
-    ap = average_precision(scored, truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth")))
+    points = precision_points(pred, match_detections(pred, truth, iou_threshold, -1.0))
+    ap = average_precision(points, truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth")))
     return counts.join(ap.select("class_id", "ap"), "class_id", "left")
 
 

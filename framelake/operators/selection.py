@@ -40,11 +40,11 @@ def diversity_select(df: DataFrame, cap: int, frame: Sequence[str] = ("camera",
     tags = df.select(*frame, *(["location"] if by_location else []), *[p.alias(o) for p, o in zip(pick, order)],
                      F.explode("scenes").alias("scene_type"))
     if cap <= TOP_K:
-        ranked = tags.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)) - 1)
+        ranked = tags.withColumn("_rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order)))
+        first = ranked.filter(F.col("_rank") <= cap)
     else:
-        ranked = ordered.number_rows(tags, bucket, order, "_rank", limit)
-    nominated = (ranked.filter(F.col("_rank") < cap).select(*frame).distinct()
-                 .withColumn("_nominated", F.lit(True)))
+        first = ordered.number_rows(tags, bucket, order, "_rank", limit).filter(F.col("_rank") < cap)
+    nominated = first.select(*frame).distinct().withColumn("_nominated", F.lit(True))
     places = len(fixed.state_code_of()) + 2 if by_location else 1
     if cap * len(fixed.SCENE_TYPES) * places <= BROADCAST_ROWS:
         nominated = F.broadcast(nominated)

@@ -247,8 +247,8 @@ ap AS (SELECT env.class_id, n_truth, sum(tp * e) / n_truth AS ap FROM env JOIN g
 
 def _precision_by_class(spark, sf):
     pred, truth = inputs.boxes(spark, sf), inputs.truths(spark, sf)
-    scored = evaluation.true_positives(pred, evaluation.match_detections(pred, truth, 0.5, -1.0))
-    return evaluation.average_precision(scored, truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth")))
+    points = evaluation.precision_points(pred, evaluation.match_detections(pred, truth, 0.5, -1.0))
+    return evaluation.average_precision(points, truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth")))
 
 
 @query("a10_average_precision", _AP + "SELECT class_id, n_truth, round(ap, 6) AS ap FROM ap")

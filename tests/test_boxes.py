@@ -112,8 +112,10 @@ def test_average_precision(spark):
     rng = random.Random(3)
     scored = [(c, rng.choice([0.5, round(rng.random(), 3)]), rng.random() < 0.4) for c in range(3) for _ in range(400)]
     truths = [(0, 200), (1, 300), (2, 1000), (3, 5)]
+    points = spark.createDataFrame(scored, "class_id int, score double, tp boolean").groupBy("class_id", "score").agg(
+        F.sum(F.col("tp").cast("long")).alias("tp"), F.count("*").alias("n"))
     got = {r.class_id: r.ap for r in evaluation.average_precision(
-        spark.createDataFrame(scored, "class_id int, score double, tp boolean"), spark.createDataFrame(truths, "class_id int, n_truth long"), 64).collect()}
+        points, spark.createDataFrame(truths, "class_id int, n_truth long"), 64).collect()}
     for c, n in truths[:3]:
         assert got[c] == pytest.approx(brute_ap([(s, t) for k, s, t in scored if k == c], n))
     assert got[3] == 0.0

@@ -35,3 +35,8 @@ def test_scans_read_only_what_is_used(spark, name, columns):
 
 def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in plan(spark, "a7_bucketed_count_day")
+
+
+@pytest.mark.parametrize("name", ["f3_diversity_select", "f3_diversity_by_location", "p25_annotation_labels"])
+def test_ranks_are_limited_before_the_shuffle(spark, name):
+    assert re.search(r"WindowGroupLimit .*Partial", plan(spark, name))
