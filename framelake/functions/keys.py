@@ -6,19 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+DAY_MS = 86_400_000
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds since the epoch of a wall-clock time in UTC (TIMESTAMP_NTZ), whatever the session's zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
 def millis(ts: Column) -> Column:
-    """Milliseconds since the epoch, truncated."""
-    return F.unix_millis(ts.cast("timestamp"))
+    """Milliseconds since the epoch of a UTC wall-clock time, truncated."""
+    return F.floor(micros(ts) / 1000).cast("long")
 
 
 def seconds(ts: Column) -> Column:
-    """Seconds since the epoch, fraction kept."""
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
+    """Seconds since the epoch of a UTC wall-clock time, fraction kept."""
+    return micros(ts) / F.lit(1e6)
 
 
 def store_date(ms: Column) -> Column:
-    """Day of a millisecond time as yyyyMMdd (session time zone UTC)."""
-    return F.date_format(F.timestamp_millis(ms), "yyyyMMdd")
+    """UTC day of a millisecond time as yyyyMMdd."""
+    return F.date_format(F.date_from_unix_date(F.floor(ms / DAY_MS).cast("int")), "yyyyMMdd")
 
 
 def dashcam_id(camera: Column) -> Column:

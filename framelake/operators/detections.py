@@ -23,6 +23,12 @@ def best_class(df: DataFrame, probs: str = "class_probs") -> DataFrame:
     return df.withColumns({"class_id": vectors.best_class(F.col(probs)), "class_conf": vectors.best_score(F.col(probs))})
 
 
+def name_classes(df: DataFrame, names: DataFrame, unknown: str | None = "N/A") -> DataFrame:
+    """Add `class_name` from a table (class_id, name) of any size; `unknown` for classes it lacks."""
+    table = names.select("class_id", F.col("name").alias("class_name"))
+    return df.join(table, "class_id", "left").withColumn("class_name", F.coalesce("class_name", F.lit(unknown)))
+
+
 def detections_long(frames: DataFrame, *keep: str) -> DataFrame:
     """One row per object of a frame, `pos` from 1."""
     return frames.select(*keep, F.posexplode("objs").alias("_p", "o")).select(

@@ -140,9 +140,8 @@ _CLASSES = "(SELECT 0 AS class_id, 'person' AS class_name UNION ALL SELECT 1, 'b
 @query("p24_class_name", f"""
 SELECT b.image_id, b.box_id, coalesce(c.class_name, 'N/A') AS class_name FROM boxes_v b LEFT JOIN {_CLASSES} c ON c.class_id = b.class_id""")
 def p24_class_name(spark, sf):
-    names = spark.createDataFrame([(0, "person"), (1, "bicycle")], "class_id int, class_name string")
-    named = inputs.boxes(spark, sf).join(names, "class_id", "left")
-    return named.select("image_id", "box_id", F.coalesce("class_name", F.lit("N/A")).alias("class_name"))
+    names = spark.createDataFrame([(0, "person"), (1, "bicycle")], "class_id int, name string")
+    return detections.name_classes(inputs.boxes(spark, sf), names).select("image_id", "box_id", "class_name")
 
 
 @query("p25_annotation_labels", """

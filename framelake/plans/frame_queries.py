@@ -305,6 +305,12 @@ def sk5_route(spark, sf):
     return frame_sink.route(inputs.frames(spark, sf)).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("sk5_topic_rows", """
+SELECT 'obj_' || camera AS topic, camera || '_' || frame_num AS key, '{"camera":' || camera || ',"frame_num":' || frame_num || '}' AS value FROM frames_v""")
+def sk5_topic_rows(spark, sf):
+    return frame_sink.topic_rows(frame_sink.route(inputs.frames(spark, sf).select("camera", "frame_num")))
+
+
 @query("sk6_librarian", """
 SELECT f.event_id, CASE WHEN n1 + n2 > 0 THEN 'archive' ELSE 'delete' END AS action,
   CASE WHEN n1 + n2 > 0 THEN 'store/' || store_date || '/' || camera || '/' || ts_ms || '.jpg' ELSE 'tmp/' || camera || '/' || ts_ms || '.jpg' END AS key

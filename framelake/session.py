@@ -12,21 +12,27 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 
 def build_session(master: str | None = None, app: str = "framelake", **conf: str) -> SparkSession:
     """A session with the settings the operators expect; `conf` overrides them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, STATE_STORE[0]: STATE_STORE[1], **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Stateful processors keep their state in RocksDB; a session made elsewhere may not say so."""
+    spark.conf.set(*STATE_STORE)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

@@ -39,6 +39,14 @@ def route(df: DataFrame, prefix: str = "obj_", key: str = "camera") -> DataFrame
     return df.withColumn("topic", F.concat(F.lit(prefix), F.col(key).cast("string")))
 
 
+def topic_rows(df: DataFrame, topic: str | None = None) -> DataFrame:
+    """Messages as rows of a topic sink: `topic` (given, or the column), key `camera_frame` and JSON value."""
+    body = [c for c in df.columns if c != "topic"]
+    return df.select(F.lit(topic).alias("topic") if topic else F.col("topic"),
+                     keys.message_key(F.col("camera"), F.col("frame_num")).alias("key"),
+                     F.to_json(F.struct(*body)).alias("value"))
+
+
 def write_routed(df: DataFrame, path: str, mode: str = "append") -> None:
     """Files per topic; the rows of one topic stay spread over the tasks that hold them."""
     df.write.mode(mode).partitionBy("topic").parquet(path)

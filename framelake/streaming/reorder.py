@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framelake.functions import messages
+from framelake.session import use_rocksdb
 
 
 class BoundedOrder(StatefulProcessor):
@@ -24,6 +25,7 @@ class BoundedOrder(StatefulProcessor):
     def __init__(self, schema: T.StructType, keys: Sequence[str], capacity: int, idle_ms: int, compare: str | None):
         self.schema, self.keys, self.capacity, self.idle_ms, self.compare = schema, list(keys), capacity, idle_ms, compare
         self.names = schema.names
+        self.whole = [isinstance(f.dataType, (T.LongType, T.IntegerType)) for f in schema]
         self.number, self.arrival = schema.names.index("frame_num"), schema.names.index("arrival")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -38,7 +40,7 @@ class BoundedOrder(StatefulProcessor):
         rows = []
         for part in parts:
             part = part[self.names].astype(object).where(part[self.names].notna(), None)
-            rows.extend(tuple(_plain(v) for v in row) for row in part.itertuples(index=False, name=None))
+            rows.extend(tuple(_plain(v, whole) for v, whole in zip(row, self.whole)) for row in part.itertuples(index=False, name=None))
         # a micro-batch comes in no order; the place in the source decides
         return sorted(rows, key=lambda r: r[self.arrival])
 
@@ -95,18 +97,17 @@ class BoundedOrder(StatefulProcessor):
         pass
 
 
-def _plain(value):
-    """Arrow values as the plain lists and integers the state takes."""
+def _plain(value, whole: bool):
+    """Arrow values as the plain lists and numbers the state takes; whole numbers beside nulls arrive as floats."""
     if value is None:
         return None
     if hasattr(value, "tolist"):
-        return value.tolist()
-    if isinstance(value, float) and value.is_integer():
-        return int(value)
-    return value
+        value = value.tolist()
+    return int(value) if whole else value
 
 
 def _ordered(stream: DataFrame, keys: Sequence[str], capacity: int, idle_ms: int, compare: str | None) -> DataFrame:
+    use_rocksdb(stream.sparkSession)
     schema = stream.schema
     out = T.StructType([*schema.fields, T.StructField("late", T.BooleanType())]
                        + ([T.StructField("is_keyframe", T.BooleanType())] if compare else []))
