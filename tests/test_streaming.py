@@ -178,3 +178,23 @@ def test_live_cameras(spark, tmp_path):
     assert got.count() == 90 and got.filter("is_keyframe").count() == batch.filter("is_keyframe").count()
     live.start_rejects(wire, str(tmp_path / "rejects"), str(tmp_path / "cp2"), {"availableNow": True}).awaitTermination()
     assert [r.rejected for r in spark.read.json(str(tmp_path / "rejects")).collect()] == ["broken"]
+
+
+def test_idle_camera_is_flushed(spark, tmp_path):
+    import time
+    rows = disordered(9, cameras=2, n=20, spread=5)
+    write(spark, rows, tmp_path, files=1, end=False)
+    stream = reorder.reorder(source(spark, tmp_path), capacity=64, idle_ms=2000)
+    query = (stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp")
+             .trigger(processingTime="1 second").start(f"{tmp_path}/out"))
+    try:
+        got = []
+        for _ in range(60):
+            time.sleep(1)
+            got = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect() if (tmp_path / "out").exists() else []
+            if len(got) == len(rows) or not query.isActive:
+                break
+    finally:
+        query.stop()
+    assert query.exception() is None
+    assert sorted((r.camera, r.frame_num) for r in got) == sorted(r[:2] for r in rows)
