@@ -8,6 +8,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from framelake.session import scratch_dir
 
@@ -52,7 +53,25 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+    """Number of words, without an array of the words that the optimizer would have to filter."""
+    text = F.coalesce(text, F.lit(""))
+    gap = F.array(*[F.lit(c) for c in " \t\n\x0b\x0c\r"])
+    edges = F.array_contains(gap, F.left(text, F.lit(1))).cast("int") + F.array_contains(gap, F.right(text, F.lit(1))).cast("int")
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, GAPS)) - edges).cast("long")
+
+
+def hash32(*parts: Column) -> Column:
+    """32 bits of a digest, the same in any engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("long")
+
+
+def prefix_sum(df: DataFrame, group: str, piece: str, order: list[str], value: str, out: str) -> DataFrame:
+    """Adds the sum of `value` over the earlier rows of the group; pieces rise along the order, and only their sums meet."""
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    sums = df.groupBy(group, piece).agg(F.sum(value).alias("_sum"))
+    base = sums.select(group, piece, F.coalesce(F.sum("_sum").over(before.partitionBy(group).orderBy(piece)), F.lit(0)).alias("_base"))
+    within = F.coalesce(F.sum(value).over(before.partitionBy(group, piece).orderBy(*order)), F.lit(0))
+    return df.withColumn(out, within).join(base, [group, piece]).withColumn(out, F.col(out) + F.col("_base")).drop("_base")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
