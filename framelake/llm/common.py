@@ -90,11 +90,17 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The first n powers modulo 2**64; computed once for each length that is a power of two."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(1 << 12, 1 << (n - 1).bit_length()), base, np.uint64)
+        have[0] = 1
+        have = _POWERS[base] = np.cumprod(have, dtype=np.uint64)
+    return have[:n]
 
 
 IS_GAP = np.zeros(256, bool)
