@@ -1,6 +1,6 @@
 """The queries of the text operators."""
 
-from framelake.llm import chat, disclosure, forest, language, mixing, secrets, spaced, syncmers, templates  # noqa: F401
+from framelake.llm import chat, disclosure, forest, language, mixing, pitman, secrets, spaced, syncmers, templates  # noqa: F401
 from framelake.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
