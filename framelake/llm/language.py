@@ -145,7 +145,7 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.columns[-1].to_pylist()
             lang, score = ["und"] * len(texts), np.zeros(len(texts))
             if model.languages:
                 y = scores(texts, model)
@@ -163,7 +163,7 @@ def predict(docs: DataFrame, model: Model, keep: str = "doc_id long") -> DataFra
     """`lang_pred` and `score` beside the columns named in `keep` (a schema)."""
     names = [c.split()[0] for c in keep.split(",")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(*names, "text").mapInArrow(_predict(shared), f"{keep}, lang_pred string, score double")
+    return docs.select(*names, F.col("text").alias("_")).mapInArrow(_predict(shared), f"{keep}, lang_pred string, score double")
 
 
 @query("op7_language_id")
