@@ -70,7 +70,7 @@ def _prime(n: Column, turn: int) -> Column:
     return F.when(n % p[0] != 0, p[0]).when(n % p[1] != 0, p[1]).otherwise(p[2]).cast("long")
 
 
-def mix(sizes: DataFrame, sources: DataFrame, block: int = BLOCK, slots: int = SLOTS, most: int = 2) -> DataFrame:
+def mix(sources: DataFrame, block: int = BLOCK, slots: int = SLOTS, most: int = 2) -> DataFrame:
     """The mix: shard, sid, slot (place among the shard's slots of the source), block (its number in the source)."""
     plan, shards = _plan(sources, block, slots, most)
     if not shards:
@@ -84,7 +84,9 @@ def mix(sizes: DataFrame, sources: DataFrame, block: int = BLOCK, slots: int = S
 
     first, last = F.floor("low"), F.floor("high")
     rows = rows.withColumn("n", F.col("own") + hit(first) + F.when(last > first, hit(last)).otherwise(0))
-    rows = prefix_sum(rows.withColumn("piece", F.floor(F.col("shard") / PIECE)), "sid", "piece", ["shard"], "n", "begin")
+    # Written, as the planner can't see how many rows an explode makes, and would broadcast them.
+    rows = stored(rows.select("sid", "shard", "n_blocks", "n", F.floor(F.col("shard") / PIECE).alias("piece")), "counts")
+    rows = prefix_sum(rows, "sid", "piece", ["shard"], "n", "begin")
     dealt = (rows.filter("n > 0").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
              .withColumn("j", F.col("begin") + F.col("slot")).withColumn("turn", F.floor(F.col("j") / F.col("n_blocks")))
              .filter(F.col("turn") < most).withColumn("at", F.col("j") % F.col("n_blocks")))
@@ -116,7 +118,7 @@ def taken(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
     """Per document its words and how many the mix takes of them, repeats counted."""
     sizes = sized(docs)
     sources = stored(targets(sizes), "sources")
-    times = mix(sizes, sources, block, slots).groupBy("sid", "block").agg(F.count("*").alias("times"))
+    times = stored(mix(sources, block, slots).groupBy("sid", "block").agg(F.count("*").alias("times")), "times")
     parts = in_blocks(placed(sizes, sources), block).join(times, ["sid", "block"])
     # A place in a source belongs to one document: the key of a row, also among repeated ones.
     sums = parts.groupBy("sid", "begin").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))

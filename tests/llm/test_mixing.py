@@ -57,7 +57,7 @@ def test_targets_and_takes(spark, rows):
 def test_permutations_meet_every_block(spark):
     sizes = spark.createDataFrame([(1, "a", 64 * 997, 5)], "doc_id long, source string, size long, h long")
     sources = m.targets(sizes)
-    blocks = m.mix(sizes, sources).groupBy("block").count()
+    blocks = m.mix(sources).groupBy("block").count()
     assert blocks.count() == 997 and {r["count"] for r in blocks.collect()} == {1, 2}
 
 
