@@ -22,7 +22,7 @@ def millify(n: Column) -> Column:
 
 def state_abbrev(name: Column) -> Column:
     """Two-letter code of a US state name; null for other names."""
-    return F.try_element_at(taxonomy_map(fixed.state_code_of()), name)
+    return F.try_element_at(taxonomy_map(fixed.STATE_CODES), name)
 
 
 def box_label(name: Column, score: Column | None, skip_labels: bool = False, skip_scores: bool = False) -> Column:
@@ -36,6 +36,6 @@ def box_label(name: Column, score: Column | None, skip_labels: bool = False, ski
 
 def box_colour(class_id: Column, is_keyframe: Column) -> Column:
     """Palette colour of a class; red on keyframes."""
-    palette = fixed.BOX_COLOURS.split()
+    palette = fixed.BOX_COLOURS
     colours = F.array(*[F.lit(c) for c in palette])
     return F.when(is_keyframe, F.lit("Red")).otherwise(F.get(colours, F.pmod(class_id, F.lit(len(palette))).cast("int")))

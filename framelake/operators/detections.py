@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions import boxes, text, vectors
 from framelake.functions.messages import object_class, object_name
-from framelake.session import scratch_dir
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -49,61 +49,71 @@ def _greedy(distinct: DataFrame, group: Sequence[str], threshold: float) -> Data
         hit = F.exists(kept, lambda k: boxes.iou(_corners(k), _corners(b), "pixel") >= threshold)
         return F.when(hit, kept).otherwise(F.concat(kept, F.array(b)))
 
-    gathered = distinct.groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("_l"))
-    kept = gathered.select(*group, F.explode(F.aggregate("_l", F.slice("_l", 1, 0), keep)).alias("k"))
-    return kept.select(*group, *[F.col(f"k.{c}").alias(c) for c in CORNERS], F.col("k.row").alias("_b"))
-
-
-def nms_in_rounds(distinct: DataFrame, group: Sequence[str], threshold: float, top: int = 2048) -> DataFrame:
-    """The greedy walk for crowded groups, a bounded number of boxes of a group at a time.
-
-    What the walk decides about the best boxes of a group does not depend on the others. So each round settles
-    the `top` best boxes left, and drops all boxes that overlap those kept, in parallel wherever they are. The
-    boxes left are written to the shared scratch folder between rounds.
-    """
-    spark = distinct.sparkSession
-    folder = f"{scratch_dir(spark)}/nms-{uuid.uuid4().hex}"
-    order = Window.partitionBy(*group).orderBy((-F.col("_b._score")), F.col("_b._tie"))
-    left, rounds = distinct, 0
-    while True:
-        best = left.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= top).drop("_rank")
-        _greedy(best, group, threshold).write.parquet(f"{folder}/kept/round={rounds}")
-        kept = spark.read.parquet(f"{folder}/kept/round={rounds}")
-        walls = kept.groupBy(*group).agg(F.collect_list(F.struct(*CORNERS)).alias("_kept"))
-        hit = F.exists("_kept", lambda k: boxes.iou(_corners(k), tuple(F.col(c) for c in CORNERS), "pixel") >= threshold)
-        (left.join(F.broadcast(walls), list(group)).filter(~hit).drop("_kept").write.parquet(f"{folder}/left/round={rounds}"))
-        left = spark.read.parquet(f"{folder}/left/round={rounds}")
-        if left.isEmpty():
-            return spark.read.option("basePath", f"{folder}/kept").parquet(f"{folder}/kept").drop("round")
-        rounds += 1
+    gathered = distinct.groupBy(*group).agg(F.collect_list(entry).alias("_l"))
+    # The rows stay outside the sorted entries: they may hold columns that have no order.
+    order = F.array_sort(F.transform("_l", lambda b, i: F.struct(b["o1"].alias("o1"), b["o2"].alias("o2"), *[b[c].alias(c) for c in CORNERS], i.alias("at"))))
+    walked = F.transform(F.array(order), lambda l: F.aggregate(l, F.slice(l, 1, 0), keep))[0]
+    rows = F.transform(walked, lambda k: F.struct(*[k[c].alias(c) for c in CORNERS], F.get("_l", k["at"])["row"].alias("_b")))
+    return gathered.select(*group, F.explode(rows).alias("k")).select(*group, "k.*")
+
+
+def _kept_in_order(group: Sequence[str], threshold: float):
+    """The same walk over rows that come sorted; nothing is held but the kept boxes of the group at hand."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n, kept = None, 0, np.empty((16, 5))
+        for batch in batches:
+            keys = list(zip(*[batch.column(c).to_pylist() for c in group]))
+            whole = np.all([batch.column(c).is_valid().to_numpy(zero_copy_only=False) for c in CORNERS], axis=0)
+            corners = np.stack([batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in CORNERS], axis=1)
+            areas = (corners[:, 2] - corners[:, 0] + 1) * (corners[:, 3] - corners[:, 1] + 1)
+            out = []
+            for i, key in enumerate(keys):
+                if key != now:
+                    now, n = key, 0
+                if whole[i]:  # a box without a corner overlaps nothing
+                    box, k = corners[i], kept[:n]
+                    w = np.maximum(np.fmin(k[:, 2], box[2]) - np.maximum(k[:, 0], box[0]) + 1, 0)
+                    h = np.maximum(np.fmin(k[:, 3], box[3]) - np.maximum(k[:, 1], box[1]) + 1, 0)
+                    share = w * h / (k[:, 4] + areas[i] - w * h + 1e-16)
+                    if not np.all(share < threshold):  # as in SQL, NaN is above any number
+                        continue
+                    if n == len(kept):
+                        kept = np.concatenate((kept, np.empty_like(kept)))
+                    kept[n] = [*box, areas[i]]
+                    n += 1
+                out.append(i)
+            yield batch.take(pa.array(out, pa.int64()))
+    return run
+
+
+def _streamed(distinct: DataFrame, group: Sequence[str], threshold: float) -> DataFrame:
+    """Kept boxes of crowded groups: sorted, which may spill, and walked through as they come."""
+    columns = [*group, *CORNERS, "_b"]
+    rows = distinct.repartition(*group).sortWithinPartitions(*group, -F.col("_b._score"), "_b._tie", *CORNERS).select(*columns)
+    return rows.mapInArrow(_kept_in_order(group, threshold), rows.schema)
 
 
 def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Sequence[str] = ("image_id",),
-        score: str = "score", tie: str = "box_id", crowd: int | None = 100_000) -> DataFrame:
+        score: str = "score", tie: str = "box_id", crowd: int | None = 1000) -> DataFrame:
     """Greedy suppression per image and class of corner boxes, highest score first, ties to the lower `tie`.
 
-    A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU). Copies of one box
-    always lose to the best of them, so they shrink to one row before the shuffle. Groups are measured first:
-    those of at most `crowd` boxes are gathered, larger ones are settled in rounds; None skips the measuring
-    where the detector bounds the boxes of an image.
+    A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU); a box without a corner
+    overlaps none. Copies of one box always lose to the best of them, so they shrink to one row before the
+    shuffle. Groups of at most `crowd` boxes are gathered, larger ones stream through their task with the boxes kept
+    so far; the rows are the same. None gathers all, where the detector bounds the boxes of an image.
     """
     group = [*image, "class_id"]
     sure = df.filter(F.col(score) >= conf)
     rest = [c for c in df.columns if c not in (*group, *CORNERS)]
     row = F.struct(F.col(score).alias("_score"), F.col(tie).alias("_tie"), *rest)
     distinct = sure.groupBy(*group, *CORNERS).agg(F.min_by(row, F.struct(-F.col(score), F.col(tie))).alias("_b"))
-
-    def flat(kept: DataFrame) -> DataFrame:
-        return kept.select(*group, *CORNERS, *[F.col("_b")[c].alias(c) for c in rest])
-
     if crowd is None:
-        return flat(_greedy(distinct, group, iou_threshold))
-    crowded = sure.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > crowd).select(*group)
-    if crowded.isEmpty():
-        return flat(_greedy(distinct, group, iou_threshold))
-    few = _greedy(distinct.join(F.broadcast(crowded), group, "left_anti"), group, iou_threshold)
-    many = nms_in_rounds(distinct.join(F.broadcast(crowded), group, "left_semi"), group, iou_threshold)
-    return flat(few).unionByName(flat(many))
+        kept = _greedy(distinct, group, iou_threshold)
+    else:
+        sized = distinct.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
+        few, many = (sized.filter(c).drop("_n") for c in (F.col("_n") <= crowd, F.col("_n") > crowd))
+        kept = _greedy(few, group, iou_threshold).unionByName(_streamed(many, group, iou_threshold))
+    return kept.select(*group, *CORNERS, *[F.col("_b")[c].alias(c) for c in rest])
 
 
 def decode_grid(df: DataFrame, anchors: Sequence[tuple[float, float]], grid: int, stride: float) -> DataFrame:

@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 from framelake import fixed
 from framelake.functions import keys
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _plan_bytes(df: DataFrame) -> int:
-    """Size of a table as Spark's planner estimates it; an upper bound for plain scans and projections."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def region_cells(regions: DataFrame, cell: float) -> DataFrame:
     """Per grid cell the regions that reach into it, the smallest first."""
     span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell).cast("long"), F.floor(F.col(hi) / cell).cast("long")))
@@ -26,16 +18,14 @@ def region_cells(regions: DataFrame, cell: float) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("_area", "region", "lat_lo", "lat_hi", "lon_lo", "lon_hi"))).alias("_regions")))
 
 
-def locate(points: DataFrame, regions: DataFrame, cell: float = 1.0, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def locate(points: DataFrame, regions: DataFrame, cell: float = 1.0) -> DataFrame:
     """Add `location`: the smallest half-open box around (lat, lon).
 
     `Unknown` without coordinates, `Oversea` outside every region. A point meets one row, that of its grid
-    cell, so nothing is multiplied or grouped afterwards. The cell table is broadcast when the region table
-    is small; otherwise it is joined by cell and the adaptive planner splits crowded cells of the point side.
+    cell, so nothing is multiplied or grouped afterwards. The adaptive planner broadcasts the cell table if it has
+    turned out small, and otherwise splits crowded cells of the point side.
     """
     cells = region_cells(regions, cell)
-    if _plan_bytes(regions) <= broadcast_bytes:
-        cells = F.broadcast(cells)
     placed = points.withColumns({"cell_lat": F.floor(F.col("lat") / cell).cast("long"),
                                  "cell_lon": F.floor(F.col("lon") / cell).cast("long")})
     around = F.filter("_regions", lambda r: (F.col("lat") >= r["lat_lo"]) & (F.col("lat") < r["lat_hi"])

@@ -43,10 +43,20 @@ def last_per_bucket(samples: DataFrame, series: Sequence[str], bucket_seconds: i
 
 def consumer_lag(produced: DataFrame, consumed: DataFrame, series: Sequence[str], by: Sequence[str],
                  bucket_seconds: int = 60, **columns: str) -> DataFrame:
-    """Sum of topic offsets, of consumer-group offsets and their difference, per bucket."""
+    """Sum of topic offsets, of consumer-group offsets and their difference, per bucket.
+
+    A series that is silent in a bucket keeps its last value, so the lag of a stalled group goes on growing; before
+    its first one it counts 0. Buckets in which nobody reported are left out.
+    """
     def total(df: DataFrame, name: str) -> DataFrame:
-        return last_per_bucket(df, series, bucket_seconds, **columns).groupBy(*by, "bucket").agg(F.sum("last").alias(name))
-    both = total(produced, "topic_offset").join(total(consumed, "group_offset"), [*by, "bucket"])
+        last = last_per_bucket(df, series, bucket_seconds, **columns)
+        # What a series adds to its total from a bucket on; the running sum of that is the sum of last values.
+        since = F.lag("last", 1, 0.0).over(Window.partitionBy(*series).orderBy("bucket"))
+        return last.withColumn("_more", F.col("last") - since).groupBy(*by, "bucket").agg(F.sum("_more").alias(name))
+
+    both = total(produced, "topic_offset").join(total(consumed, "group_offset"), [*by, "bucket"], "full")
+    so_far = Window.partitionBy(*by).orderBy("bucket")
+    both = both.select(*by, "bucket", *[F.sum(F.coalesce(c, F.lit(0.0))).over(so_far).alias(c) for c in ("topic_offset", "group_offset")])
     return both.withColumn("lag", F.col("topic_offset") - F.col("group_offset"))
 
 

@@ -25,7 +25,8 @@ def advance_ledger(ledger: DataFrame, done: DataFrame, url: str = "url") -> Data
 def _next_phase(c: Column, n: Column, step: int) -> Column:
     """Phase after a video of n frames entered at phase c.
 
-    When the sample slot falls on the end of the video, the first frame of the next one is kept.
+    When the sample slot falls on the end of the video, the first frame of the next one is kept. A video without
+    frames costs one read.
     """
     return F.when(F.pmod(c + n, F.lit(step + 1)) == step, F.lit(step).cast("long")).otherwise(F.pmod(c + n + 1, F.lit(step + 1)))
 
@@ -39,7 +40,7 @@ def video_phases(videos: DataFrame, step: int, camera: Sequence[str] = ("camera"
     its own entry phase. No more than one run is gathered anywhere.
     """
     camera = list(camera)
-    runs = (videos.filter(F.col(frames) > 0)
+    runs = (videos.withColumn(frames, F.coalesce(frames, F.lit(0)))
             .withColumn("_run", F.floor(F.col(video) / PIECE).cast("long"))
             .groupBy(*camera, "_run")
             .agg(F.array_sort(F.collect_list(F.struct(F.col(video).alias("v"), F.col(frames).cast("long").alias("n")))).alias("_videos")))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from framelake import fixed
 from framelake.operators import ordered
 
-BROADCAST_ROWS = 1_000_000
 # Spark limits groups before the shuffle up to this many rows (spark.sql.optimizer.windowGroupLimitThreshold)
 TOP_K = 1000
 
@@ -32,7 +31,8 @@ def diversity_select(df: DataFrame, cap: int, frame: Sequence[str] = ("camera",
     Each scene type (in each place) nominates its first `cap` frames in the order `pick` (its first column an
     integer), by default a hash of the frame key; a frame is valuable when any of its types nominates it. A small
     cap is a top-k per group, which Spark also applies before the shuffle, so a frequent type ships `cap` rows per
-    map task; a larger one numbers the frames of a type in pieces.
+    map task; a larger one numbers the frames of a type in pieces. How the nominated frames are joined is left to the
+    adaptive planner, as places and types may be of any number.
     """
     frame, bucket = list(frame), ["scene_type"] + (["location"] if by_location else [])
     pick = list(pick) if pick else [F.xxhash64(*frame), *[F.col(c) for c in frame]]
@@ -45,9 +45,6 @@ def diversity_select(df: DataFrame, cap: int, frame: Sequence[str] = ("camera",
     else:
         first = ordered.number_rows(tags, bucket, order, "_rank", limit).filter(F.col("_rank") < cap)
     nominated = first.select(*frame).distinct().withColumn("_nominated", F.lit(True))
-    places = len(fixed.state_code_of()) + 2 if by_location else 1
-    if cap * len(fixed.SCENE_TYPES) * places <= BROADCAST_ROWS:
-        nominated = F.broadcast(nominated)
     return (df.join(nominated, frame, "left")
             .withColumn("valuable", F.coalesce("_nominated", F.lit(False))).drop("_nominated"))
 

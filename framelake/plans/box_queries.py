@@ -160,23 +160,40 @@ def p25_annotation_labels(spark, sf):
     return out.select("image_id", *detections.CORNERS, F.array_join("labels", "|").alias("labels"), "colour", "line_width")
 
 
-@query("d2_nms", """
-ranked AS (SELECT *, row_number() OVER (PARTITION BY image_id, class_id ORDER BY score DESC, box_id) AS rn FROM boxes_v WHERE score >= 0.5),
+_NMS = """
+once AS (SELECT * FROM {boxes} WHERE score >= 0.5
+  QUALIFY row_number() OVER (PARTITION BY image_id, class_id, x1, y1, x2, y2 ORDER BY score DESC, box_id) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY image_id, class_id ORDER BY score DESC, box_id) AS rn FROM once),
 rec AS (
-  SELECT image_id, class_id, rn, [{'b': box_id, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}] AS kept FROM ranked WHERE rn = 1
+  SELECT image_id, class_id, rn, [{{'b': box_id, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}}] AS kept FROM ranked WHERE rn = 1
   UNION ALL
   SELECT r.image_id, r.class_id, r.rn, CASE WHEN len(list_filter(k.kept, lambda a:
       greatest(least(a.x2, r.x2) - greatest(a.x1, r.x1) + 1, 0) * greatest(least(a.y2, r.y2) - greatest(a.y1, r.y1) + 1, 0) /
       ((a.x2 - a.x1 + 1) * (a.y2 - a.y1 + 1) + (r.x2 - r.x1 + 1) * (r.y2 - r.y1 + 1) -
         greatest(least(a.x2, r.x2) - greatest(a.x1, r.x1) + 1, 0) * greatest(least(a.y2, r.y2) - greatest(a.y1, r.y1) + 1, 0) + 1e-16) >= 0.4)) > 0
-    THEN k.kept ELSE list_append(k.kept, {'b': r.box_id, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}) END
+    THEN k.kept ELSE list_append(k.kept, {{'b': r.box_id, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}}) END
   FROM rec k JOIN ranked r ON r.image_id = k.image_id AND r.class_id = k.class_id AND r.rn = k.rn + 1),
 last AS (SELECT image_id, class_id, arg_max(kept, rn) AS kept FROM rec GROUP BY image_id, class_id)
-SELECT image_id, class_id, unnest(list_transform(kept, lambda a: a.b)) AS box_id FROM last""".replace("ranked AS", "WITH ranked AS", 1), recursive=True)
+SELECT image_id, class_id, unnest(list_transform(kept, lambda a: a.b)) AS box_id FROM last"""
+
+
+@query("d2_nms", "WITH " + _NMS.format(boxes="boxes_v").lstrip(), recursive=True)
 def d2_nms(spark, sf):
     return detections.nms(inputs.boxes(spark, sf)).select("image_id", "class_id", "box_id")
 
 
+@query("d2_nms_crowded", """WITH odd AS (
+  SELECT image_id, box_id, class_id, score, CASE WHEN box_id % 11 = 0 THEN NULL ELSE x1 END AS x1, y1, CASE WHEN box_id % 13 = 0 THEN x1 - 5 ELSE x2 END AS x2, y2
+  FROM (SELECT image_id // 16 AS image_id, box_id * 2 + c AS box_id, class_id, score, x1, y1, x2, y2 FROM boxes_v, (SELECT 0 AS c UNION ALL SELECT 1))),""" + _NMS.format(boxes="odd"), recursive=True)
+def d2_nms_crowded(spark, sf):
+    """Groups above the limit, with copies, boxes that lack a corner and boxes turned inside out."""
+    twice = inputs.boxes(spark, sf).withColumns({"image_id": F.floor(F.col("image_id") / 16).cast("long"), "c": F.explode(F.array(F.lit(0), F.lit(1)))})
+    twice = twice.withColumn("box_id", F.col("box_id") * 2 + F.col("c")).drop("c")
+    odd = twice.withColumns({"x1": F.when(F.pmod("box_id", F.lit(11)) != 0, F.col("x1")),
+                             "x2": F.when(F.pmod("box_id", F.lit(13)) == 0, F.col("x1") - 5).otherwise(F.col("x2"))})
+    return detections.nms(odd, crowd=5).select("image_id", "class_id", "box_id")
+
+
 @query("f6_confidence_filter", "SELECT image_id, box_id, score FROM boxes_v WHERE score >= 0.8")
 def f6_confidence_filter(spark, sf):
     from framelake.operators.selection import confidence_filter

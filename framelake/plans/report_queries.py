@@ -40,9 +40,9 @@ def p14_round_robin(spark, sf):
     return sampling.assign_round_robin(inputs.listing(spark, sf), "dataset/", "dataset/cars/", 100, "url")
 
 
-@query("t3_global_sort", "SELECT url, row_number() OVER (ORDER BY url) - 1 AS position FROM listing_v")
+@query("t3_global_sort", "SELECT page_id, url FROM listing_v ORDER BY url, page_id")
 def t3_global_sort(spark, sf):
-    return sampling.key_positions(inputs.listing(spark, sf), "url").orderBy("position")
+    return inputs.listing(spark, sf).orderBy("url", "page_id")
 
 
 def _video_frames(spark, sf):
@@ -77,6 +77,25 @@ def p13_sample(spark, sf):
     return sampling.sample_frames(frames, 5, videos).select("camera", "event_id", "video_id", "frame_idx")
 
 
+@query("p13_sample_empty", _VIDEO_FRAMES + """,
+w AS (SELECT * FROM vf WHERE video_id % 3 <> 1),
+v AS (SELECT camera, video_id, count(*) FILTER (video_id % 3 <> 1) AS n FROM vf GROUP BY camera, video_id),
+ph AS (SELECT camera, video_id, n, CAST(0 AS BIGINT) AS c FROM v WHERE video_id = 0
+  UNION ALL SELECT v.camera, v.video_id, v.n, CASE WHEN (ph.c + ph.n) % 6 = 5 THEN 5 ELSE (ph.c + ph.n + 1) % 6 END
+  FROM ph JOIN v ON v.camera = ph.camera AND v.video_id = ph.video_id + 1)
+SELECT camera, video_id, n AS n_frames, ph.c AS phase, count(w.event_id) FILTER ((ph.c + w.frame_idx) % 6 = 5) AS n_kept
+FROM ph LEFT JOIN w USING (camera, video_id) GROUP BY ALL""", recursive=True)
+def p13_sample_empty(spark, sf):
+    """Every third video has lost its frames; it still costs a read."""
+    every = _video_frames(spark, sf)
+    frames = every.filter(F.pmod("video_id", F.lit(3)) != 1)
+    videos = every.groupBy("camera", "video_id").agg(F.count_if(F.pmod("video_id", F.lit(3)) != 1).alias("n_frames"))
+    kept = sampling.sample_frames(frames, 5, videos).groupBy("camera", "video_id").agg(F.count(F.lit(1)).alias("n_kept"))
+    phases = sampling.video_phases(videos, 5)
+    return (phases.join(kept, ["camera", "video_id"], "left")
+            .select("camera", "video_id", "n_frames", "phase", F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept")))
+
+
 _LOCATED = """
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY area, region) AS rk FROM (
   SELECT p.event_id, p.lat, p.lon, r.region, (lat_hi - lat_lo) * (lon_hi - lon_lo) AS area
@@ -233,15 +252,36 @@ def st6_counter_rate_sliding(spark, sf):
     return out.select("part", F.unix_millis("window_end").alias("end_ms"), _r(F.col("rate"), "rate"))
 
 
-@query("st7_lag", """
-WITH l AS (SELECT topic, part, ts_ms // 3600000 AS bucket, arg_max(value, event_id) AS v, arg_max(floor(value / 2), event_id) AS w FROM counters_v GROUP BY 1, 2, 3)
-SELECT topic, bucket, sum(v) AS topic_offset, sum(w) AS group_offset, sum(v) - sum(w) AS lag FROM l GROUP BY 1, 2""")
+_LAG = """
+WITH p AS (SELECT topic, part, ts_ms // 3600000 AS bucket, value, event_id FROM counters_v),
+l AS (SELECT topic, part, bucket, arg_max(value, event_id) AS v FROM p GROUP BY 1, 2, 3),
+g AS (SELECT topic, part, bucket, arg_max(floor(value / 2), event_id) AS w FROM p WHERE {heard} GROUP BY 1, 2, 3),
+times AS (SELECT DISTINCT topic, bucket FROM l),
+series AS (SELECT DISTINCT topic, part FROM l),
+every AS (SELECT topic, part, bucket, last_value(v IGNORE NULLS) OVER w AS v, last_value(w IGNORE NULLS) OVER w AS w
+  FROM times JOIN series USING (topic) LEFT JOIN l USING (topic, part, bucket) LEFT JOIN g USING (topic, part, bucket)
+  WINDOW w AS (PARTITION BY topic, part ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT topic, bucket, CAST(sum(coalesce(v, 0)) AS DOUBLE) AS topic_offset, CAST(sum(coalesce(w, 0)) AS DOUBLE) AS group_offset,
+  CAST(sum(coalesce(v, 0)) - sum(coalesce(w, 0)) AS DOUBLE) AS lag FROM every GROUP BY 1, 2"""
+
+
+@query("st7_lag", _LAG.format(heard="true"))
 def st7_lag(spark, sf):
     produced = inputs.counters(spark, sf)
     consumed = produced.withColumn("value", F.floor(F.col("value") / 2).cast("double"))
     return monitoring.consumer_lag(produced, consumed, ["topic", "part"], ["topic"], 3600)
 
 
+@query("st7_lag_stalled", _LAG.format(heard="bucket % 3 <> 1 AND (topic <> 'click' OR part <> 2)"))
+def st7_lag_stalled(spark, sf):
+    """Groups that report nothing in every third hour, one of them never."""
+    produced = inputs.counters(spark, sf)
+    bucket = F.floor(F.col("ts_ms") / 3_600_000)
+    heard = (F.pmod(bucket, F.lit(3)) != 1) & ((F.col("topic") != "click") | (F.col("part") != 2))
+    consumed = produced.filter(heard).withColumn("value", F.floor(F.col("value") / 2).cast("double"))
+    return monitoring.consumer_lag(produced, consumed, ["topic", "part"], ["topic"], 3600)
+
+
 @query("st8_gauge_sum", """
 WITH l AS (SELECT topic, part, ts_ms // 3600000 AS bucket, arg_max(value, event_id) AS v FROM counters_v GROUP BY 1, 2, 3)
 SELECT part, bucket, sum(v) AS total, count(*) AS n_series FROM l GROUP BY 1, 2""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +23,8 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for one run below the shared scratch folder."""
-    root = scratch_dir(spark)
-    if "://" in root:
-        import uuid
-        return f"{root}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+    """A new folder for one run below the shared scratch folder; Spark makes it when it writes there."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def finished(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
@@ -40,18 +36,43 @@ def finished(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
-@query("st1_reorder", "SELECT camera, frame_num, event_id AS arrival, false AS late FROM frames_v")
+_ARRIVAL = "event_id * 1327217885 % 2147483648"
+
+
+def _arrivals(spark: SparkSession, sf: str, folder: str, *more) -> DataFrame:
+    """Frames that arrive in scrambled order, and after them an end mark for every camera."""
+    frames = event_stream(spark, sf).select("camera", "frame_num", F.expr(_ARRIVAL).alias("arrival"), *more)
+    marks = inputs.frames(spark, sf).select("camera").distinct().select(
+        "camera", *[F.lit(None).cast(f.dataType).alias(f.name) for f in frames.schema if f.name != "camera"])
+    marks.withColumn("arrival", F.lit(1 << 40)).write.parquet(f"{folder}/marks")
+    return frames.unionByName(spark.readStream.schema(frames.schema).parquet(f"{folder}/marks"))
+
+
+@query("st1_reorder", f"SELECT camera, frame_num, {_ARRIVAL} AS arrival, false AS late FROM frames_v")
 def st1_reorder(spark, sf):
-    rows = event_stream(spark, sf).select("camera", "frame_num", F.col("event_id").alias("arrival"))
-    return finished(reorder.reorder(rows, capacity=1, idle_ms=0), run_folder(spark, "reorder"))
+    """A buffer that holds all frames of a camera restores their order: none is late."""
+    folder = run_folder(spark, "reorder")
+    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=4096, idle_ms=0), folder)
+
+
+@query("st9_late", f"""
+WITH a AS (SELECT camera, frame_num, {_ARRIVAL} AS arrival FROM frames_v),
+held AS (SELECT camera, arrival, frame_num, max(frame_num) OVER (PARTITION BY camera ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+  max(frame_num) OVER (PARTITION BY camera) AS last FROM a),
+gone AS (SELECT camera, arrival, least(frame_num, before) AS frame_num FROM held WHERE before IS NOT NULL UNION ALL SELECT DISTINCT camera, 4294967296, last FROM held)
+SELECT camera, frame_num, coalesce(frame_num < max(frame_num) OVER (PARTITION BY camera ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM gone""")
+def st9_late(spark, sf):
+    """A buffer that holds one frame lets the lower of two go; what goes after a higher one is late."""
+    folder = run_folder(spark, "late")
+    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=2, idle_ms=0), folder).select("camera", "frame_num", "late")
 
 
 @query("st2_stream_keyframes", "SELECT camera, frame_num, is_keyframe FROM keyframes_v")
 def st2_stream_keyframes(spark, sf):
-    rows = event_stream(spark, sf).select("camera", "frame_num", F.col("event_id").alias("arrival"),
-                                          messages.class_list(F.col("objs")).alias("classes"))
-    marked = reorder.stream_keyframes(rows, capacity=1, idle_ms=0).select("camera", "frame_num", "is_keyframe")
-    return finished(marked, run_folder(spark, "keyframes"))
+    """Key frames of cameras whose frames arrive in scrambled order."""
+    folder = run_folder(spark, "keyframes")
+    rows = _arrivals(spark, sf, folder, messages.class_list(F.col("objs")).alias("classes"))
+    return finished(reorder.stream_keyframes(rows, capacity=4096, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
 _PERIODS = ", ".join(f"CAST(sum(CASE WHEN scene_type = '{t}' THEN 1 ELSE 0 END) AS BIGINT) AS {t}" for t in TYPES)

@@ -55,7 +55,7 @@ def read_statistic(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str, target: str) -> None:
-    """Write the current rows and counters to a new folder, as batch 0 of a log that can be continued there."""
-    frames = read_frames(spark, root).withColumns({"arrival": F.lit(0).cast("long"), "seq": F.lit(0).cast("long")})
-    frames.write.partitionBy("store_date").parquet(f"{target}/frames/batch_id=0")
-    read_statistic(spark, root).write.parquet(f"{target}/statistic/batch_id=0")
+    """Write the current rows and counters to a new folder, as batch -1 of a log that any stream can continue there."""
+    frames = read_frames(spark, root).withColumns({"arrival": F.lit(-1).cast("long"), "seq": F.lit(0).cast("long")})
+    frames.write.partitionBy("store_date").parquet(f"{target}/frames/batch_id=-1")
+    read_statistic(spark, root).write.parquet(f"{target}/statistic/batch_id=-1")

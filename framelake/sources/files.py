@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,8 @@ from framelake import schemas
 def list_objects(spark: SparkSession, prefix: str, url_prefix: str = "") -> DataFrame:
     """Objects under a prefix: key below it, size, time and public link. Their content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
-    root = prefix.rstrip("/") + "/"
-    key = F.element_at(F.split("path", root, 2), -1)
+    root = F.lit(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", prefix).rstrip("/") + "/")
+    key = F.substring("path", F.instr("path", root) + F.length(root), F.length("path"))
     return (files.select(key.alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
             .filter(F.length("key") > 0).withColumn("url", F.concat(F.lit(url_prefix), "key")))
 

@@ -36,10 +36,14 @@ def rejects(df: DataFrame) -> DataFrame:
     return df.filter(F.col(REJECT).isNotNull())
 
 
-def topic_options(servers: str, topic: str, starting: str = "earliest", max_per_trigger: int | None = None) -> dict[str, str]:
-    """Options of a topic subscription from the earliest offset; the session needs the Kafka connector."""
+def topic_options(servers: str, topic: str, starting: str = "earliest", max_per_trigger: int | None = None,
+                  fail_on_loss: bool = True) -> dict[str, str]:
+    """Options of a topic subscription from the earliest offset; the session needs the Kafka connector.
+
+    Messages that left the topic unread stop the query, unless `fail_on_loss` is off.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
-               "failOnDataLoss": "false"}
+               "failOnDataLoss": str(fail_on_loss).lower()}
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     return options
@@ -49,7 +53,8 @@ def stream_wire(spark: SparkSession, topic: str, servers: str | None = None, sta
                 max_per_trigger: int | None = None) -> DataFrame:
     """A stream of `key`, `arrival` and JSON `value`: of a topic, or of a folder of JSON lines.
 
-    `arrival` grows with the position in the source; several partitions or files have no common order.
+    `arrival` is the offset in the topic. Lines of files have no common order, so there it is the number that the message
+    itself carries as `arrival`, null where it has none.
     """
     if servers:
         raw = spark.readStream.format("kafka").options(**topic_options(servers, topic, starting, max_per_trigger)).load()
@@ -58,7 +63,7 @@ def stream_wire(spark: SparkSession, topic: str, servers: str | None = None, sta
     reader = spark.readStream.format("text")
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    place = F.unix_millis("_metadata.file_modification_time") * 1000 + F.col("_metadata.file_block_start")
+    place = F.get_json_object("value", "$.arrival").try_cast("long")
     return reader.load(topic).select(F.lit(None).cast("string").alias("key"), place.alias("arrival"), "value")
 
 

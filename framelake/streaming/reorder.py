@@ -118,7 +118,8 @@ def _ordered(stream: DataFrame, keys: Sequence[str], capacity: int, idle_ms: int
 def reorder(stream: DataFrame, keys: Sequence[str] = ("camera",), capacity: int = 128, idle_ms: int = 30_000) -> DataFrame:
     """Frames in the order a bounded buffer restores, with `late`.
 
-    A stream with timers never ends by itself: pass `idle_ms=0` for a run over what is available now.
+    A stream with timers never ends by itself: pass `idle_ms=0` for a run over what is available now. Such a run keeps up to
+    `capacity` - 1 frames of each camera in its state unless an end mark (a row without frame number) follows them.
     `stream` has `frame_num` and `arrival`, the place of a row in its source; integers, text and arrays may follow.
     """
     return _ordered(stream, keys, capacity, idle_ms, None)

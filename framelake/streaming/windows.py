@@ -48,9 +48,9 @@ def microbatch_counts(stream: DataFrame, name: str = "frames") -> DataFrame:
 
 
 class CountListener(StreamingQueryListener):
-    """Keeps the observed number of frames of each micro-batch."""
+    """Keeps the observed number of frames of each micro-batch, or of the last `keep` ones."""
 
-    def __init__(self, name: str = "frames", keep: int = 1000):
+    def __init__(self, name: str = "frames", keep: int | None = None):
         self.name, self.keep, self.counts = name, keep, []
 
     def onQueryStarted(self, event) -> None:
@@ -59,7 +59,9 @@ class CountListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         seen = event.progress.observedMetrics.get(self.name)
         if seen is not None:
-            self.counts = [*self.counts, (event.progress.batchId, seen["n"])][-self.keep:]
+            self.counts.append((event.progress.batchId, seen["n"]))
+            if self.keep:
+                del self.counts[:-self.keep]
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -55,15 +55,26 @@ def test_nms(spark):
     assert again == got
 
 
-def test_crowded_groups_in_rounds(spark):
+def test_crowded_groups_stream(spark):
     rows = random_boxes(8, images=3, n=150, size=300)
     df = spark.createDataFrame(rows, SCHEMA)
-    whole = {(r.image_id, r.box_id) for r in detections.nms(df, 0.3, 0.4, crowd=200).collect()}
-    assert whole == brute_nms(rows, 0.3, 0.4)
-    prepared = df.filter("score >= 0.3").selectExpr("image_id", "class_id", *detections.CORNERS, "struct(score as _score, box_id as _tie, box_id) as _b")
-    prepared = prepared.filter("_b.box_id < 10000 or _b.box_id = 10000")
-    kept = detections.nms_in_rounds(prepared, ["image_id", "class_id"], 0.4, top=7)
-    assert {(r.image_id, r._b.box_id) for r in kept.collect()} == brute_nms(rows, 0.3, 0.4)
+    for crowd in (0, 200, None):
+        got = {(r.image_id, r.box_id) for r in detections.nms(df, 0.3, 0.4, crowd=crowd).collect()}
+        assert got == brute_nms(rows, 0.3, 0.4)
+
+
+def test_odd_boxes_are_the_same_on_both_paths(spark):
+    corner = "image_id int, box_id int, class_id int, score double, x1 double, y1 double, x2 double, y2 double, more map<string,int>"
+    nan = float("nan")
+    rows = [(1, 0, 0, 0.9, 0.0, 0.0, 10.0, 10.0, {"a": 1}), (1, 1, 0, 0.8, 1.0, 1.0, 10.0, 10.0, None), (1, 2, 0, 0.7, None, 0.0, 10.0, 10.0, None),
+            (1, 3, 0, 0.6, 20.0, 20.0, 5.0, 5.0, None), (1, 4, 0, 0.6, 20.0, 20.0, 5.0, 5.0, None), (1, 5, 0, 0.55, 50.0, 50.0, 60.0, 60.0, None),
+            (1, 6, 0, 0.55, 51.0, 50.0, 60.0, 60.0, None), (1, 7, 0, 0.5, 80.0, 80.0, nan, 90.0, None), (1, 8, 0, None, 0.0, 0.0, 1.0, 1.0, None),
+            (None, 9, None, 0.9, 0.0, 0.0, 1.0, 1.0, None), (None, 10, None, 0.8, 0.0, 0.0, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, corner)
+    plain = sorted(r.box_id for r in detections.nms(df, 0.5, 0.4, crowd=None).collect())
+    for crowd in (0, 1, 3):
+        assert sorted(r.box_id for r in detections.nms(df, 0.5, 0.4, crowd=crowd).collect()) == plain
+    assert {0, 2, 3, 5} <= set(plain) and not {1, 4, 6, 8, 10} & set(plain)
 
 
 def test_iou_modes(spark):

@@ -89,12 +89,11 @@ def test_ledger(spark):
 REGIONS = [("big", 0.0, 10.0, 0.0, 10.0), ("small", 2.0, 4.0, 2.0, 4.0), ("far", -5.0, -1.0, 20.0, 21.5)]
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 26])
-def test_locate(spark, limit):
+def test_locate(spark):
     regions = spark.createDataFrame(REGIONS, "region string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
     pts = [(3.0, 3.0), (2.0, 2.0), (4.0, 4.0), (10.0, 5.0), (0.0, 0.0), (-1.0, 20.0), (-5.0, 20.0), (None, 1.0), (1.0, None)]
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i int, lat double, lon double")
-    got = [r.location for r in locate.locate(df, regions, 1.0, limit).orderBy("i").collect()]
+    got = [r.location for r in locate.locate(df, regions, 1.0).orderBy("i").collect()]
     assert got == ["small", "small", "big", "Oversea", "big", "Oversea", "far", "Unknown", "Unknown"]
 
 

@@ -18,9 +18,9 @@ def put(folder, name, text):
 
 
 def test_list_objects(spark, tmp_path):
-    put(tmp_path, "v/a.mov", "abc")
-    put(tmp_path, "v/sub/b.txt", "x")
-    df = files.list_objects(spark, str(tmp_path / "v"), "http://h/")
+    put(tmp_path, "v+(1)/a.mov", "abc")
+    put(tmp_path, "v+(1)/sub/b.txt", "x")
+    df = files.list_objects(spark, f"file://{tmp_path}/v+(1)", "http://h/")
     assert {(r.key, r.size, r.url) for r in df.select("key", "size", "url").collect()} == {("a.mov", 3, "http://h/a.mov"), ("sub/b.txt", 1, "http://h/sub/b.txt")}
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]

@@ -128,6 +128,9 @@ def test_sink_is_replay_safe(spark, tmp_path):
     sink.compact(spark, str(tmp_path / "db"), str(tmp_path / "small"))
     assert sink.read_frames(spark, str(tmp_path / "small")).count() == 60
     assert {r.dashcam_id: r.frames for r in sink.read_statistic(spark, str(tmp_path / "small")).collect()} == twice
+    sink.write_batch(str(tmp_path / "small"), "store/", "http://h/")(again, 0)  # the first batch of a new stream
+    assert sum(r.frames for r in sink.read_statistic(spark, str(tmp_path / "small")).collect()) == 100
+    assert sink.read_frames(spark, str(tmp_path / "small")).count() == 60
 
 
 def test_windows_on_stream_equal_batch(spark, tmp_path):
@@ -164,10 +167,12 @@ def test_live_cameras(spark, tmp_path):
     from framelake.plans import live
     (tmp_path / "m").mkdir()
     order = sorted(range(90), key=lambda i: i + random.Random(i).random() * 12)
-    (tmp_path / "m" / "a.json").write_text("\n".join([*(message(i) for i in order), "broken"]))
+    sent = [json.dumps({**json.loads(message(i)), "arrival": k}) for k, i in enumerate(order)]
+    lost = [json.dumps({"frame_num": 5, "arrival": 1}), json.dumps({"camera": 1, "frame_num": 5})]
+    (tmp_path / "m" / "a.json").write_text("\n".join([*sent[::-1], "broken", *lost]))  # lines have no order of their own
     import time
     time.sleep(1.1)
-    (tmp_path / "m" / "b.json").write_text("\n".join(json.dumps({"camera": c}) for c in range(3)))
+    (tmp_path / "m" / "b.json").write_text("\n".join(json.dumps({"camera": c, "arrival": 1000}) for c in range(3)))
     wire = messages.stream_wire(spark, str(tmp_path / "m"), max_per_trigger=1)
     live.start_live(wire, str(tmp_path / "db"), str(tmp_path / "cp"), "store/", "http://h/", 64, 0, {"availableNow": True}).awaitTermination()
     text = spark.createDataFrame([(message(i),) for i in range(90)], "value string")
@@ -177,7 +182,7 @@ def test_live_cameras(spark, tmp_path):
     got = sink.read_frames(spark, str(tmp_path / "db"))
     assert got.count() == 90 and got.filter("is_keyframe").count() == batch.filter("is_keyframe").count()
     live.start_rejects(wire, str(tmp_path / "rejects"), str(tmp_path / "cp2"), {"availableNow": True}).awaitTermination()
-    assert [r.rejected for r in spark.read.json(str(tmp_path / "rejects")).collect()] == ["broken"]
+    assert sorted(r.rejected for r in spark.read.json(str(tmp_path / "rejects")).collect()) == sorted(["broken", *lost])
 
 
 def test_idle_camera_is_flushed(spark, tmp_path):
