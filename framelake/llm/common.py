@@ -39,8 +39,23 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared scratch folder: lineage ends here, and a lost executor costs no recomputation."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes what `stored` has written, once no table still to be computed reads it."""
+    for table in tables:
+        path = getattr(table, "scratch_path", None)
+        if path:
+            delete(table.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm.common import stored
+from framelake.llm.common import discard, stored
 
 
 def _large_star(pairs: DataFrame) -> DataFrame:
@@ -35,11 +35,15 @@ def components(pairs: DataFrame) -> DataFrame:
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     seen = None
     while True:
-        pairs = stored(_small_star(_large_star(pairs)), "stars")
+        before, pairs = pairs, stored(_small_star(_large_star(pairs)), "stars")
+        discard(before if seen else None)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if not now[0] or now == seen:
             break
         seen = now
     roots = pairs.select("a").distinct()
-    return pairs.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
+    out = pairs.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         roots.select(F.col("a").alias("node"), F.col("a").alias("component")))
+    out = stored(out, "components")
+    discard(pairs)
+    return out

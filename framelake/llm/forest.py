@@ -9,7 +9,12 @@ smallest node of the region. So a node has a fixed number of candidates in each
 Candidates are confirmed on the full sets in rounds: first each node's most frequent candidates, then those of the rest that join
 different components, until none is left. A candidate between nodes that are connected already can't change the answer.
 
-A link at similarity 0.8 is missed if its nodes stand apart in all trees: at depth 4, (1 - 0.8**4)**32, less than 1e-7.
+In a crowd the neighbours in the order aren't all that may link. So nodes are clustered by candidates that two trees agree on, and
+within a cluster every node outside its largest component is compared with all nodes of other components, in blocks of BLOCK
+by BLOCK sets that give back links only. This costs the number of such nodes times the cluster's size, nothing for a group of
+copies that has become one component.
+
+A link at similarity 0.8 is missed only if no tree brings it into a cluster: at depth 4, (1 - 0.8**4)**32, less than 1e-7.
 
 Null and blank texts have an empty set and are linked with nothing; a text with fewer words than a shingle has all of them as its one
 shingle. Rows with one id are each a document; a row without an id can link others, has the component of its group and isn't
@@ -27,10 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from framelake.llm.common import lowered, mix64, query, read, stored, word_hashes
+from framelake.llm.common import discard, lowered, mix64, query, read, stored, word_hashes
 from framelake.llm.components import components
 
-VALUES, TREES, DEPTH, NEAR, CROWD = 128, 32, 4, 4, 4000
+VALUES, TREES, DEPTH, NEAR, CROWD, BLOCK = 128, 32, 4, 2, 4000, 512
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(1 << 31, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)
@@ -103,7 +108,7 @@ def candidates(labels: DataFrame, crowd: int = CROWD) -> DataFrame:
     region = ["tree", "high"]
     sizes = labels.groupBy(*region).agg(F.count("*").alias("size")).filter("size > 1")
     rows = labels.join(sizes, region)
-    crowded = stored(rows.filter(F.col("size") > crowd).drop("size"), "crowded")
+    crowded = crowd_rows = stored(rows.filter(F.col("size") > crowd).drop("size"), "crowded")
     deep = [*region, "low"]
     stats = crowded.groupBy(*deep).agg(F.count("*").alias("size"), F.min("node").alias("least"))
     crowded = crowded.join(stats, deep).withColumn("piece", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / crowd)).cast("int"))
@@ -111,7 +116,9 @@ def candidates(labels: DataFrame, crowd: int = CROWD) -> DataFrame:
             .select(F.col("least").alias("a"), F.col("node").alias("b")))
     pairs = (_neighbours(rows.filter(F.col("size") <= crowd), region)
              .unionByName(_neighbours(crowded, [*deep, "piece"])).unionByName(star))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("trees"))
+    out = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("trees")), "candidates")
+    discard(crowd_rows)
+    return out
 
 
 def _best(pairs: DataFrame, most: int) -> DataFrame:
@@ -135,6 +142,53 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).drop("in_a", "in_b")
 
 
+def _compare(percent: int):
+    """Links between the nodes `left` and the nodes `right` of other components, one for each pair of components at least."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        if left.num_rows and right.num_rows:
+            sets = [np.array(s, np.int64) for s in left.column("set").to_pylist()]
+            size = np.array([len(s) for s in sets])
+            first, every = np.cumsum(size) - size, np.concatenate(sets)
+            node, part = left.column("node").to_numpy(), left.column("part").to_numpy()
+            for a, own, s in zip(*[right.column(c).to_pylist() for c in ("node", "part", "set")]):
+                s = np.sort(np.array(s, np.int64))
+                at = np.searchsorted(s, every)
+                both = np.add.reduceat((s[np.minimum(at, len(s) - 1)] == every).astype(np.int64), first)
+                hits = np.flatnonzero((100 * both >= percent * (size + len(s) - both)) & (part != own))
+                hits = hits[np.unique(part[hits], return_index=True)[1]]
+                out_a += [a] * len(hits)
+                out_b += node[hits].tolist()
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+    return run
+
+
+def _stragglers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that meet in a cluster of candidates."""
+    clusters = components(pairs.filter("trees > 1")).select("node", F.col("component").alias("cluster"))
+    members = (clusters.join(groups, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("part")))
+    members = stored(members, "members")
+    parts = members.groupBy("cluster", "part").agg(F.count("*").alias("n"))
+    several = (parts.groupBy("cluster").agg(F.sum("n").alias("size"), F.max(F.struct("n", "part"))["part"].alias("largest"), F.count("*").alias("parts"),
+                                            F.max("n").alias("most"))
+               .filter((F.col("parts") > 1) & (F.col("size") > NEAR + 1)))
+    several = several.withColumn("pieces", F.ceil(F.col("size") / BLOCK)).withColumn("chunks", F.ceil((F.col("size") - F.col("most")) / BLOCK))
+    work = work_rows = stored(members.join(several, "cluster").select("node", "cluster", "part", "largest", "pieces", "chunks"), "work")
+    outside = stored(work.filter("part <> largest"), "outside")
+
+    def spread(own: str, other: str, rows: DataFrame) -> DataFrame:
+        """Every node in one place along its own axis, and in all along the other."""
+        place = {own: F.pmod(F.xxhash64("node"), F.col(f"{own}s")).cast("int"), other: F.explode(F.sequence(F.lit(0), F.col(f"{other}s").cast("int") - 1))}
+        with_sets = rows.join(sets.select(F.col("node").alias("node"), F.col("set").alias("set")), "node")
+        return with_sets.select("cluster", place["piece"].alias("piece"), place["chunk"].alias("chunk"), "node", "part", "set")
+
+    left, right = spread("piece", "chunk", work), spread("chunk", "piece", outside)
+    key = ["cluster", "piece", "chunk"]
+    out = stored(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_compare(percent), "a long, b long"), "stragglers")
+    discard(members, work_rows, outside)
+    return out
+
+
 def _sets(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,26 +221,33 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, crowd: int = CROWD)
                .select("class", F.col("first.doc_id").alias("least_id"), F.col("first.signature").alias("signature")))
     classes = stored(classes.withColumn("node", F.coalesce("least_id", F.xxhash64("class"))), "classes")
     labels = stored(classes.select("node", "signature").mapInArrow(_label, "tree int, high long, low long, node long"), "labels")
-    pairs = stored(candidates(labels, crowd), "candidates")
+    pairs = candidates(labels, crowd)
+    discard(labels)
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stored(_sets_of(docs, classes.select("node", "least_id", "class").join(nodes, "node"), words), "sets")
 
-    links, groups = None, None
+    found, links, groups = pairs, None, None
     for most in (1, 3, None):
         left = pairs if groups is None else stored(_apart(pairs, groups), "left")
         chosen = left.select("a", "b") if most is None else stored(_best(left, most), "chosen")
         confirmed = stored(_confirmed(chosen, sets, percent), "links")
         pairs = left.join(chosen, ["a", "b"], "left_anti")
         links = confirmed if links is None else links.unionByName(confirmed)
-        groups = stored(components(links), "groups")
+        discard(groups)
+        groups = components(links)
+    more = _stragglers(found, groups, sets, percent)
+    discard(groups, sets, found)
+    groups = components(links.unionByName(more))
 
     reached = classes.join(groups, "node", "left").select("class", "least_id", F.coalesce("component", "node").alias("component"))
     least = reached.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = reached.join(least, "component").select("class", "component_id")
     out = signed.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (out.withColumn("component_id", component)
-            .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
+    out = stored(out.withColumn("component_id", component).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")), "linked")
+    discard(signed, classes, groups)
+    return out
 
 
 @query("op3_lsh_forest")
