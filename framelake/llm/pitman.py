@@ -20,6 +20,7 @@ size, where one in some thousands meets another; words by 64 bits. Blocks are bu
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm.common import lowered, mix64, query, read, stored, word_hashes
+from framelake.llm.common import delete, discard, lowered, mix64, query, read, stored, word_hashes
 from framelake.session import scratch_dir
 
 BLOCK_TOKENS, PART_KEYS, SWEEPS, STRENGTH, EXACT = 1_500_000, 2_000_000, 2, 1.0, 64
@@ -110,6 +111,16 @@ def pair_keys(words: np.ndarray, before: np.ndarray, word: np.ndarray) -> np.nda
 
 # Looking up arrays of keys: a block sends them part by part and gets values back in the same order.
 
+def _packed(x: np.ndarray) -> bytes:
+    """Counts, mostly small, as compressed planes of bytes."""
+    return zlib.compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
 def _sent(block: int, keys: np.ndarray, parts: int, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
     part = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
@@ -118,7 +129,8 @@ def _sent(block: int, keys: np.ndarray, parts: int, *values: np.ndarray) -> Iter
         at = order[edges[p]:edges[p + 1]]
         if len(at):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([p], pa.int32()), *[pa.array([x[at].tobytes()], pa.binary()) for x in (keys, *values)]],
+                [pa.array([block]), pa.array([p], pa.int32()), pa.array([keys[at].tobytes()], pa.binary()),
+                 *[pa.array([_packed(x[at])], pa.binary()) for x in values]],
                 ["block", "part", "keys", *[f"v{i}" for i in range(len(values))]])
 
 
@@ -126,12 +138,17 @@ def _restored(keys: np.ndarray, parts: int, got: list[dict], name: str, kind: ty
     part = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
     out = np.empty(len(keys), kind)
     got = sorted(got, key=lambda r: r["part"])
-    out[np.argsort(part, kind="stable")] = np.frombuffer(b"".join(r[name] for r in got), kind)
+    if got:
+        out[np.argsort(part, kind="stable")] = np.concatenate([_unpacked(r[name], kind) for r in got])
     return out
 
 
+def _keys(rows: list[dict], kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(r["keys"] for r in rows), kind)
+
+
 def _joined(rows: list[dict], name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(r[name] for r in rows), kind)
+    return np.concatenate([_unpacked(r[name], kind) for r in rows])
 
 
 def _answer(rows: list[dict], values: dict[str, np.ndarray], sums: dict[str, int]) -> pa.Table:
@@ -139,7 +156,7 @@ def _answer(rows: list[dict], values: dict[str, np.ndarray], sums: dict[str, int
     sizes = np.cumsum([0] + [len(r["keys"]) for r in rows]) // rows[0]["_width"]
     cols = {"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([r["part"] for r in rows], pa.int32())}
     for name, x in values.items():
-        cols[name] = pa.array([x[a:b].tobytes() for a, b in zip(sizes[:-1], sizes[1:])], pa.binary())
+        cols[name] = pa.array([_packed(x[a:b]) for a, b in zip(sizes[:-1], sizes[1:])], pa.binary())
     for name, x in sums.items():
         cols[name] = pa.array([int(x)] + [0] * (len(rows) - 1), pa.int64())
     return pa.table(cols)
@@ -174,7 +191,7 @@ PAIRS = "block long, part int, n binary, once long, twice long"
 def _count_pairs(table: pa.Table) -> pa.Table:
     """Training count of each key, doubled, plus 1 for the first block that learned from it."""
     rows = _received(table, 4)
-    kinds, at = np.unique(_joined(rows, "keys", np.uint32), return_inverse=True)
+    kinds, at = np.unique(_keys(rows, np.uint32), return_inverse=True)
     own = _joined(rows, "v0", np.uint32)
     n = np.bincount(at, own, len(kinds)).astype(np.int64)
     learned = np.flatnonzero(own)
@@ -193,7 +210,7 @@ def _count_words(sweep: int, weight: float | None, discount: float) -> Callable:
     """Per word its training count, tables in its own restaurant, customers and tables in the parent."""
     def run(table: pa.Table) -> pa.Table:
         rows = _received(table, 8)
-        words, at = np.unique(_joined(rows, "keys", np.uint64), return_inverse=True)
+        words, at = np.unique(_keys(rows, np.uint64), return_inverse=True)
         n, tables, customers = (np.bincount(at, _joined(rows, f"v{i}", np.uint32), len(words)).astype(np.int64) for i in range(3))
         seated = np.minimum(customers, 1) if weight is None else seat(words, customers, np.full(len(words), weight), discount, sweep)
         real = (words != START) & (n > 0)
@@ -355,7 +372,7 @@ def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, part_keys: int = PA
 
     begun = blocks.groupBy("block").cogroup(pairs.select("block", "part", "n").groupBy("block")).applyInArrow(_begin(model), STATE)
     state, state_name = _bucketed(begun, "state")
-    sent, rounds = state.mapInArrow(_send_first(model), SENT), []
+    sent, rounds, tables = state.mapInArrow(_send_first(model), SENT), [], []
     for sweep in range(sweeps + 1):
         count = _count_words(sweep, None if sweep == 0 else model.weight(), model.root_discount)
         got = stored(sent.groupBy("part").applyInArrow(count, WORDS), "words")
@@ -363,6 +380,7 @@ def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, part_keys: int = PA
         if sweep == 0:
             model.n, model.words, model.root_discount = s.sum_n, s.sum_words, _discount(s.once, s.twice)
         model.sweeps.append((s.sum_customers, s.sum_root_tables))
+        tables.append(got)
         values = got.select("block", "part", "n", "tables", "customers", "root_tables")
         rounds.append(values)
         if sweep < sweeps:
@@ -372,8 +390,10 @@ def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, part_keys: int = PA
     for i, r in enumerate(rounds):
         answers = answers.unionByName(r.withColumn("round", F.lit(i)), allowMissingColumns=True)
     scored = stored(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model), SCORES), "scores")
-    for name in (blocks_name, state_name):  # from the catalog; the files are scratch
+    for name in (blocks_name, state_name):
         docs.sparkSession.sql(f"DROP TABLE {name}")
+        delete(docs.sparkSession, f"{scratch_dir(docs.sparkSession)}/{name}")
+    discard(pairs, *tables)
     return scored
 
 
