@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm.common import lowered, mix64, query, read, stored, word_hashes
+from framelake.llm.common import discard, lowered, mix64, query, read, stored, word_hashes
 
 #: Places with 1 count.
 MASKS = ("1101011", "11010011", "110010101")
 MIN_ITEM, LEAST, IDENTITY = 5, 12, 0.8
-#: The filter has 2**20 to 2**MOST_BITS bits (32 MB), 32 for each seed as long as that suffices.
-MOST_BITS = 28
+#: The filter has 2**LEAST_BITS (2 MB) to 2**MOST_BITS bits (32 MB), at best 512 for each seed: then it lets one seed in 65,000
+#: through by chance, while a text has some thousands.
+LEAST_BITS, MOST_BITS = 24, 28
 
 _PUNCTUATION = string.punctuation.encode()
 
@@ -93,7 +94,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _filter(spark: SparkSession, item_seeds: DataFrame) -> tuple[np.ndarray, int]:
     """Two bits for each seed. Spark makes the 64-bit words of the filter; the driver holds no more than its size."""
     n = item_seeds.count()
-    bits = min(MOST_BITS, max(20, (32 * n).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (512 * n).bit_length()))
     mask = (1 << bits) - 1
     one = item_seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(mask)))).alias("bit"))
     cells = (one.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("value")))
@@ -187,8 +188,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     found = (aligned.join(suspects.select("row", "doc_id", "text_key", "doc_words"), "row").join(words, "item")
              .mapInArrow(_verify(least, identity), OVERLAPS))
     best = F.max(F.struct("n_equal", "n_words", (-F.col("doc_at")).alias("before"), "item_words")).alias("best")
-    return (found.groupBy("row", "doc_id", "text_key", "item", "item_id").agg(best)
-            .select("row", "doc_id", "text_key", "item_id", (-F.col("best.before")).alias("doc_at"), "best.n_words", "best.n_equal", "best.item_words"))
+    out = found.groupBy("row", "doc_id", "text_key", "item", "item_id").agg(best).select(
+        "row", "doc_id", "text_key", "item_id", (-F.col("best.before")).alias("doc_at"), "best.n_words", "best.n_equal", "best.item_words")
+    out = stored(out, "overlaps")
+    discard(items, item_seeds, suspects)
+    return out
 
 
 @query("op5_spaced_seeds")
