@@ -133,7 +133,7 @@ def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
                 .agg(F.count("*").alias("with_entity")))
     terms = pairs.select("term").distinct()
     # The words of all documents; tasks add up their counts before anything is moved.
-    said = docs.select(F.explode(F.array_distinct(F.split(lower_ascii(F.col("text")), GAPS))).alias("term"))
+    said = docs.select(F.explode_outer(F.array_distinct(F.split(lower_ascii(F.col("text")), GAPS))).alias("term"))
     counts = said.groupBy("term").agg(F.count("*").alias("with_term")).join(terms, "term", "left_semi")
     information = -F.log(F.col("with_entity") / F.lit(n))
     gain = F.log(F.col("together") * F.lit(n) / (F.col("with_term") * F.col("with_entity")))

@@ -40,16 +40,17 @@ def candidates(docs: DataFrame) -> DataFrame:
         return F.transform(found, lambda i: F.struct(i.alias("place"), F.get(words, i).alias("word"), F.get(words, i - 1).alias("before"),
                                                      F.get(words, i - 2).alias("before2"), F.get(words, i + 1).alias("after")))
     # As a lambda's argument the array of words is made once, not for each of them.
-    rows = docs.filter(F.col("text").rlike(RUN)).select("doc_id", F.explode(F.transform(F.array(F.split("text", GAPS)), around)[0]).alias("c"))
+    # The explodes are outer ones, as Spark would make their array twice, for a filter before any other.
+    rows = docs.filter(F.col("text").rlike(RUN)).select("doc_id", F.explode_outer(F.transform(F.array(F.split("text", GAPS)), around)[0]).alias("c"))
     rows = rows.select("doc_id", "c.*", F.explode(F.regexp_extract_all("c.word", F.lit(RUN), 0)).alias("value"))
     return rows.withColumn("value", F.regexp_replace("value", r"^[=.]+|[=.]+$", "")).filter(F.length("value") >= MIN_LENGTH)
 
 
 def dictionary(docs: DataFrame, in_words: int = IN_WORDS) -> DataFrame:
     """Letter trigrams that occur in `in_words` different words of the corpus or more."""
-    words = docs.select(F.explode(F.array_distinct(F.split(lower_ascii(F.col("text")), "[^a-z]+"))).alias("word")).filter(F.length("word") >= 3)
+    words = docs.select(F.explode_outer(F.array_distinct(F.split(lower_ascii(F.col("text")), "[^a-z]+"))).alias("word")).filter(F.length("word") >= 3)
     each = words.groupBy("word").agg(F.count("*").alias("n")).filter("length(word) <= 40")
-    trigrams = each.select(F.explode(_windows(F.col("word"))).alias("trigram"))
+    trigrams = each.select(F.explode_outer(_windows(F.col("word"))).alias("trigram"))
     return trigrams.groupBy("trigram").agg(F.count("*").alias("n")).filter(F.col("n") >= in_words).select("trigram")
 
 
