@@ -13,7 +13,7 @@ from framelake.plans import registry
 from framelake.session import build_session
 
 HEADLINE = ["w1_keyframes", "a1_scene_statistic", "w4_running_counters", "w2_pair_diff", "p9_coarse_scenes", "p12_topk_softmax",
-            "f3_diversity_select", "sk2_upsert_frames", "d2_nms", "j4_match", "a10_average_precision", "p18_iou", "p25_annotation_labels",
+            "f3_diversity_select", "sk2_upsert_frames", "d2_nms", "j4_match", "a10_average_precision", "d6_evaluate", "p18_iou", "p25_annotation_labels",
             "p13_sample", "p14_round_robin", "j2_locate", "a7_bucketed_count_week", "st4_rolling_statistic", "st6_counter_rate",
             "w5_count_window", "d9_track", "p16_frame_profile"]
 

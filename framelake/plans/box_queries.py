@@ -144,22 +144,34 @@ def p24_class_name(spark, sf):
     return detections.name_classes(inputs.boxes(spark, sf), names).select("image_id", "box_id", "class_name")
 
 
-@query("p25_annotation_labels", """
+_ANNOTATED = """
 WITH r AS (SELECT image_id, class_id, score, x1, y1, x2, y2, box_id, row_number() OVER (PARTITION BY image_id ORDER BY box_id) AS rk FROM boxes_v),
 s AS (SELECT *, CASE class_id WHEN 0 THEN 'person' WHEN 1 THEN 'bicycle' ELSE 'N/A' END || ': ' || CAST(trunc(score * 100) AS INTEGER) || '%' AS label
-  FROM r WHERE rk <= 3 AND score > 0.5)
+  FROM r WHERE rk <= {n} AND score > 0.5)
 SELECT image_id, x1, y1, x2, y2, string_agg(label, '|' ORDER BY box_id) AS labels,
   CASE WHEN image_id % 2 = 0 THEN 'Red' ELSE (['AliceBlue', 'Chartreuse', 'Aqua'])[arg_max(class_id, box_id) + 1] END AS colour,
   CASE WHEN image_id % 2 = 0 THEN 6 ELSE 4 END AS line_width
-FROM s GROUP BY image_id, x1, y1, x2, y2""")
-def p25_annotation_labels(spark, sf):
+FROM s GROUP BY image_id, x1, y1, x2, y2"""
+
+
+def _annotated(spark, sf, *limit):
     name = F.get(F.array(F.lit("person"), F.lit("bicycle")), F.col("class_id"))
     rows = inputs.boxes(spark, sf).withColumns({"pos": F.col("box_id"), "class_name": name,
                                                 "is_keyframe": F.pmod("image_id", F.lit(2)) == 0})
-    out = detections.annotation_labels(rows, ["image_id"], 3)
+    out = detections.annotation_labels(rows, ["image_id"], *limit)
     return out.select("image_id", *detections.CORNERS, F.array_join("labels", "|").alias("labels"), "colour", "line_width")
 
 
+@query("p25_annotation_labels", _ANNOTATED.format(n=3))
+def p25_annotation_labels(spark, sf):
+    return _annotated(spark, sf, 3)
+
+
+@query("p25_annotation_labels_default", _ANNOTATED.format(n=20))
+def p25_annotation_labels_default(spark, sf):
+    return _annotated(spark, sf)
+
+
 _NMS = """
 once AS (SELECT * FROM {boxes} WHERE score >= 0.5
   QUALIFY row_number() OVER (PARTITION BY image_id, class_id, x1, y1, x2, y2 ORDER BY score DESC, box_id) = 1),
@@ -349,16 +361,28 @@ def s9_read_mot(spark, sf):
     return files.mot_boxes(lines)
 
 
-@query("s10_read_label_files", """
+_LABELS = """
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY box_id) AS rk FROM boxes_v)
 SELECT image_id, CAST(rk - 1 AS INTEGER) AS pos, class_id, x1 / 100 AS cx, y1 / 100 AS cy, x2 / 100 AS w, y2 / 100 AS h,
-  'labels/' || image_id || '.txt' AS label_path FROM r WHERE rk <= 2""")
-def s10_read_label_files(spark, sf):
+  'labels/' || image_id || '.txt' AS label_path FROM r WHERE rk <= {n}"""
+
+
+def _labels(spark, sf, **limit):
     line = F.concat_ws(" ", "class_id", F.col("x1") / 100, F.col("y1") / 100, F.col("x2") / 100, F.col("y2") / 100)
     texts = inputs.boxes(spark, sf).groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("box_id", line.alias("l")))).alias("r"))
     path = files.label_path(F.concat(F.lit("images/"), F.col("image_id").cast("string"), F.lit(".jpg")))
     value = F.array_join(F.transform("r", lambda s: s["l"]), "\n")
-    return files.label_rows(texts.select("image_id", path.alias("label_path"), value.alias("value")), "image_id", "label_path", max_objects=2)
+    return files.label_rows(texts.select("image_id", path.alias("label_path"), value.alias("value")), "image_id", "label_path", **limit)
+
+
+@query("s10_read_label_files", _LABELS.format(n=2))
+def s10_read_label_files(spark, sf):
+    return _labels(spark, sf, max_objects=2)
+
+
+@query("s10_read_label_files_default", _LABELS.format(n=50))
+def s10_read_label_files_default(spark, sf):
+    return _labels(spark, sf)
 
 
 @query("s11_class_names", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,10 @@ from framelake.operators import keyframes, ordered, selection, statistic
 from framelake.plans import inputs
 from framelake.plans.catalog import query
 from framelake.plans.views import TYPES
+from framelake.session import scratch_dir
 from framelake.sinks import frames as frame_sink
 from framelake.sources import messages as message_source
+from framelake.sources import tables
 
 
 def values(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,6 +130,13 @@ def p8_top_scenes(spark, sf):
         "event_id", F.array_join(messages.top_scenes(F.col("scenes"), 2), ",").alias("scenes"))
 
 
+@query("p8_top_scenes_default", """
+SELECT f.event_id, string_agg(s.raw_scene, ',' ORDER BY s.pos) AS scenes
+FROM frames_v f LEFT JOIN scenes_v s ON s.event_id = f.event_id AND s.pos <= 5 GROUP BY f.event_id""")
+def p8_top_scenes_default(spark, sf):
+    return inputs.frames(spark, sf).select("event_id", F.array_join(messages.top_scenes(F.col("scenes")), ",").alias("scenes"))
+
+
 @query("p9_coarse_scenes", """
 SELECT event_id, string_agg(scene_type, ',' ORDER BY scene_type) AS scenes FROM coarse_v GROUP BY event_id""")
 def p9_coarse_scenes(spark, sf):
@@ -219,8 +230,10 @@ def a2_merge_statistic(spark, sf):
 
 @query("s4_read_statistic", "SELECT dashcam_id, store_date, location, total, frames FROM statistic_v")
 def s4_read_statistic(spark, sf):
-    from framelake.sources import tables
-    rows = tables.rows_as_json(a1_scene_statistic(spark, sf))
+    """The statistic table from the catalog, its rows as JSON and back."""
+    name = f"statistic_{uuid.uuid4().hex}"
+    a1_scene_statistic(spark, sf).write.option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name)
+    rows = tables.rows_as_json(tables.read_statistic(spark, name))
     return tables.rows_from_json(rows, statistic_schema(spark)).select("dashcam_id", "store_date", "location", "total", "frames")
 
 
@@ -320,10 +333,17 @@ def sk6_librarian(spark, sf):
     return frame_sink.librarian(rows, inputs.STORE_PREFIX, inputs.TMP_PREFIX).select("event_id", "action", "key")
 
 
-@query("sk7_partition_by_key", "SELECT camera, count(*) AS n FROM frames_v GROUP BY camera")
+@query("sk7_partition_by_key", """
+SELECT camera, count(*) AS n, 1::BIGINT AS n_partitions, true AS keys_are_whole FROM frames_v GROUP BY camera""")
 def sk7_partition_by_key(spark, sf):
-    spread = frame_sink.partition_by_key(inputs.frames(spark, sf).select("camera", "frame_num"), 16, "frame")
-    return spread.groupBy("camera").agg(F.count(F.lit(1)).alias("n"))
+    """Where the rows of a camera, and of a message key, have gone."""
+    rows = inputs.frames(spark, sf).select("camera", "frame_num")
+    at = F.spark_partition_id().alias("at")
+    cameras = (frame_sink.partition_by_key(rows, 16, "camera").select("camera", at).groupBy("camera")
+               .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("at").alias("n_partitions")))
+    keys = (frame_sink.partition_by_key(rows, 16, "frame").select("camera", "frame_num", at).groupBy("camera", "frame_num")
+            .agg(F.count_distinct("at").alias("parts")).groupBy("camera").agg((F.max("parts") == 1).alias("keys_are_whole")))
+    return cameras.join(keys, "camera")
 
 
 @query("d7_merge_tags", """
