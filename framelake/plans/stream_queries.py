@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from framelake.functions import messages
 from framelake.operators import keyframes
-from framelake.plans import inputs
+from framelake.plans import inputs, live
 from framelake.plans.catalog import query
 from framelake.plans.views import TYPES
 from framelake.session import scratch_dir
 from framelake.sinks import stream as stream_sink
+from framelake.sources import messages as source
 from framelake.streaming import reorder, windows
 
 
@@ -75,6 +76,34 @@ def st2_stream_keyframes(spark, sf):
     return finished(reorder.stream_keyframes(rows, capacity=4096, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
+def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
+    """Frames as lines of JSON in scrambled order with their numbers of arrival, and an end mark for every camera."""
+    frames = inputs.frames(spark, sf)
+    body = ["camera", "frame_num", "timestamp", "location", "objs", "scenes", F.expr(_ARRIVAL).alias("arrival")]
+    lines = frames.select(F.to_json(F.struct(*body)).alias("value"))
+    marks = frames.select("camera").distinct().select(F.to_json(F.struct("camera", F.lit(1 << 40).alias("arrival"))).alias("value"))
+    lines.unionByName(marks).write.text(f"{folder}/wire")
+    return f"{folder}/wire"
+
+
+@query("s2_stream_messages", f"SELECT camera, frame_num, {_ARRIVAL} AS arrival, n_obj FROM frames_v")
+def s2_stream_messages(spark, sf):
+    folder = run_folder(spark, "messages")
+    typed = source.accepted(source.stream_messages(spark, _message_files(spark, sf, folder)))
+    frames = typed.filter("frame_num is not null").select(
+        "camera", "frame_num", "arrival", F.coalesce(F.array_size("objs"), F.lit(0)).cast("long").alias("n_obj"))
+    return finished(frames, folder)
+
+
+@query("e1_live_statistic", f"SELECT dashcam_id, store_date, location, frames, keyframes, total, {', '.join(TYPES)} FROM statistic_v")
+def e1_live_statistic(spark, sf):
+    """Messages of scrambled cameras through the live query to all counters of the statistic table."""
+    folder = run_folder(spark, "live")
+    wire = source.stream_wire(spark, _message_files(spark, sf, folder))
+    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, 4096, 0, {"availableNow": True}).awaitTermination()
+    return stream_sink.read_statistic(spark, folder).select("dashcam_id", "store_date", "location", "frames", "keyframes", "total", *TYPES)
+
+
 _PERIODS = ", ".join(f"CAST(sum(CASE WHEN scene_type = '{t}' THEN 1 ELSE 0 END) AS BIGINT) AS {t}" for t in TYPES)
 _ROLLING = f"""
 WITH f AS (SELECT k.*, ts_ms // 10000 * 10000 AS period_ms FROM keyframes_v k),
