@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from framelake.functions import messages as fields
 from framelake.operators import keyframes
+from framelake.operators.selection import mark_valuable
 from framelake.sinks import stream as sink
 from framelake.sources import messages
 from framelake.streaming import reorder
@@ -34,9 +35,15 @@ def live_values(wire: DataFrame, capacity: int = 128, idle_ms: int = 30_000, sce
 
 
 def start_live(wire: DataFrame, root: str, checkpoint: str, store_prefix: str, url_prefix: str, capacity: int = 128,
-               idle_ms: int = 30_000, trigger: dict | None = None) -> StreamingQuery:
-    """Start the query: two shuffles per batch, one by camera and one by statistic key."""
-    return sink.sink_stream(live_values(wire, capacity, idle_ms), root, checkpoint, store_prefix, url_prefix, trigger)
+               idle_ms: int = 30_000, trigger: dict | None = None, tmp_prefix: str | None = None,
+               valuable: Column | None = None) -> StreamingQuery:
+    """Start the query: two shuffles per batch, one by camera and one by statistic key.
+
+    `valuable` says which frames are worth storing (all, if not given); with `tmp_prefix` a manifest of pictures is written too.
+    """
+    values = live_values(wire, capacity, idle_ms)
+    values = values if valuable is None else mark_valuable(values, valuable)
+    return sink.sink_stream(values, root, checkpoint, store_prefix, url_prefix, trigger, tmp_prefix)
 
 
 def start_rejects(wire: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -104,6 +104,19 @@ def e1_live_statistic(spark, sf):
     return stream_sink.read_statistic(spark, folder).select("dashcam_id", "store_date", "location", "frames", "keyframes", "total", *TYPES)
 
 
+@query("sk6_live", """
+SELECT CASE WHEN n1 + n2 > 0 THEN 'archive' ELSE 'delete' END AS action,
+  CASE WHEN n1 + n2 > 0 THEN 'store/' || store_date || '/' || camera || '/' || ts_ms || '.jpg' ELSE 'tmp/' || camera || '/' || ts_ms || '.jpg' END AS key
+FROM signatures_v""")
+def sk6_live(spark, sf):
+    """The manifest that the live query writes, with frames without objects not worth storing."""
+    folder = run_folder(spark, "live")
+    wire = source.stream_wire(spark, _message_files(spark, sf, folder))
+    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, 4096, 0, {"availableNow": True},
+                    inputs.TMP_PREFIX, F.size("objs") > 0).awaitTermination()
+    return stream_sink.read_manifest(spark, folder).select("action", "key")
+
+
 _PERIODS = ", ".join(f"CAST(sum(CASE WHEN scene_type = '{t}' THEN 1 ELSE 0 END) AS BIGINT) AS {t}" for t in TYPES)
 _ROLLING = f"""
 WITH f AS (SELECT k.*, ts_ms // 10000 * 10000 AS period_ms FROM keyframes_v k),

@@ -14,9 +14,10 @@ from framelake.operators.selection import valuable_only
 from framelake.sinks import frames as frame_sink
 
 
-def write_batch(root: str, store_prefix: str, url_prefix: str) -> Callable[[DataFrame, int], None]:
+def write_batch(root: str, store_prefix: str, url_prefix: str, tmp_prefix: str | None = None) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch: its valuable frames and its statistic delta, each under its batch number.
 
+    With `tmp_prefix` also a manifest: which pictures to archive, and which temporary ones to delete.
     A batch that is run again overwrites what it wrote, so nothing counts twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -28,15 +29,18 @@ def write_batch(root: str, store_prefix: str, url_prefix: str) -> Callable[[Data
             rows.write.mode("overwrite").partitionBy("store_date").parquet(f"{root}/frames/batch_id={batch_id}")
             delta = statistic.scene_statistic(batch)
             delta.write.mode("overwrite").parquet(f"{root}/statistic/batch_id={batch_id}")
+            if tmp_prefix is not None:
+                jobs = frame_sink.librarian(batch, store_prefix, tmp_prefix).select("action", "key")
+                jobs.write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}")
         finally:
             batch.unpersist()
     return write
 
 
 def sink_stream(values: DataFrame, root: str, checkpoint: str, store_prefix: str, url_prefix: str,
-                trigger: dict | None = None) -> StreamingQuery:
+                trigger: dict | None = None, tmp_prefix: str | None = None) -> StreamingQuery:
     """Start the sink of a value stream."""
-    return (values.writeStream.foreachBatch(write_batch(root, store_prefix, url_prefix))
+    return (values.writeStream.foreachBatch(write_batch(root, store_prefix, url_prefix, tmp_prefix))
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
@@ -54,6 +58,11 @@ def read_statistic(spark: SparkSession, root: str) -> DataFrame:
     return statistic.merge_statistic(deltas, deltas.limit(0))
 
 
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """What to do with pictures, by batch."""
+    return spark.read.option("basePath", f"{root}/manifest").parquet(f"{root}/manifest")
+
+
 def compact(spark: SparkSession, root: str, target: str) -> None:
     """Write the current rows and counters to a new folder, as batch -1 of a log that any stream can continue there."""
     frames = read_frames(spark, root).withColumns({"arrival": F.lit(-1).cast("long"), "seq": F.lit(0).cast("long")})
