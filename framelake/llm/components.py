@@ -16,7 +16,7 @@ def _large_star(pairs: DataFrame) -> DataFrame:
     """Hangs every greater neighbour of a node on the smallest of the node and its neighbours."""
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b").distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("m").alias("a"), "b")  # repeats go in the small star
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:

@@ -227,7 +227,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, crowd: int = CROWD)
     sets = stored(_sets_of(docs, classes.select("node", "least_id", "class").join(nodes, "node"), words), "sets")
 
     found, links, groups = pairs, None, None
-    for most in (1, 3, None):
+    for most in (2, None):
         left = pairs if groups is None else stored(_apart(pairs, groups), "left")
         chosen = left.select("a", "b") if most is None else stored(_best(left, most), "chosen")
         confirmed = stored(_confirmed(chosen, sets, percent), "links")
