@@ -2,12 +2,15 @@
 
 A k-mer of code points is chosen when the smallest of its inner s-mers stands first or last in it. That depends on nothing
 outside the k-mer, so an anchor survives any edit that leaves its own characters alone. A fingerprint lists the anchors in
-text order as `hash@gap` (the first place of each), gap being the distance from the anchor before. Long texts keep the anchors whose hash has `level`
-zero bits, with the smallest level that leaves at most `keep`; the level stands in front and two fingerprints are compared at
-the higher of their levels, so a fingerprint is bounded and still covers the whole text.
+text order as `hash@gap`, gap being the distance from the anchor before, with a level of 0 in front. The query lists every anchor
+at every place, so a fingerprint grows with its text (about one anchor in eight characters) and any passage longer than an anchor
+or two shows in it.
 
-Likeness: anchors that occur in both, taken in the longest chain that rises in both texts over the anchors
-of either: matched / (a + b - matched). Both empty: 1; one empty: 0.
+With `keep` a fingerprint is a bounded sample instead: the first place of each hash and, of more than `keep`, the hashes with
+`level` zero bits, with the smallest level that leaves at most `keep`. Two of them are compared at the higher of their levels.
+
+Likeness: anchors that occur in both, taken in the longest chain that rises in both texts (their longest common subsequence) over the
+anchors of either: matched / (a + b - matched). Both empty: 1; one empty: 0.
 
 Null text: empty, its fingerprint is the empty string. A text without any anchor (shorter than k, mostly) has one made of all of
 it. Repeated ids are ordered by a hash of their text. Null ids come last. An empty table gives no rows. Other columns are
@@ -28,6 +31,10 @@ from pyspark.sql import functions as F
 from framelake.llm.common import BASE, mix64, query, read
 
 K, S, KEEP = 24, 9, 256
+#: Pairs of equal anchors for an anchor, above which a chain is found by rows of bits.
+CROWDED = 32
+#: Characters of fingerprints in a batch of rows at most, but for one row.
+BATCH_CHARS = 1 << 24
 
 
 def _code_points(text: str) -> np.ndarray:
@@ -84,8 +91,10 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return np.zeros(1, np.int64), np.frombuffer(whole, np.uint32)
 
 
-def thinned(at: np.ndarray, h: np.ndarray, keep: int = KEEP) -> tuple[int, np.ndarray, np.ndarray]:
-    """The first place of each hash; of more than `keep` hashes those with enough zero bits."""
+def thinned(at: np.ndarray, h: np.ndarray, keep: int | None = KEEP) -> tuple[int, np.ndarray, np.ndarray]:
+    """The first place of each hash; of more than `keep` hashes those with enough zero bits. Without `keep`, all places of all."""
+    if keep is None:
+        return 0, at, h
     first = np.sort(np.unique(h, return_index=True)[1])
     at, h, level = at[first], h[first], 0
     while len(h) > keep:
@@ -102,6 +111,40 @@ def written(level: int, at: np.ndarray, h: np.ndarray) -> str:
     return f"{level}:" + ",".join([f"{x:08x}@{g}" for x, g in zip(h.tolist(), gaps.tolist())])
 
 
+def _chain(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the longest common subsequence."""
+    n = min(len(x), len(y))
+    other = np.flatnonzero(x[:n] != y[:n])
+    begin = int(other[0]) if len(other) else n
+    x, y, n = x[begin:], y[begin:], n - begin
+    other = np.flatnonzero(x[len(x) - n:][::-1] != y[len(y) - n:][::-1])
+    end = int(other[0]) if len(other) else n
+    x, y = x[:len(x) - end], y[:len(y) - end]
+    x, y = x[np.isin(x, y)], y[np.isin(y, x)]
+    if not len(x):
+        return begin + end
+    values, times = np.unique(y, return_counts=True)
+    if times[np.searchsorted(values, x)].sum() <= CROWDED * len(x):
+        places: dict[int, list[int]] = {}
+        for i, v in enumerate(y.tolist()):
+            places.setdefault(v, []).append(i)
+        ends: list[int] = []  # the smallest end of a rising chain of each length
+        for v in x.tolist():
+            for i in reversed(places[v]):
+                j = bisect_left(ends, i)
+                ends[j:j + 1] = [i]
+        return begin + end + len(ends)
+
+    def places_of(v: int) -> int:
+        return int.from_bytes(np.packbits(y == v, bitorder="little").tobytes(), "little")
+    often = {v: places_of(v) for v in values[times * 256 >= len(y)].tolist()}
+    full = row = (1 << len(y)) - 1
+    for v in x.tolist():  # a bit of `row` that is 0 is a place at which the longest chain grows
+        both = row & (often[v] if v in often else places_of(v))
+        row = ((row + both) | (row - both)) & full
+    return begin + end + len(y) - row.bit_count()
+
+
 def likeness(a: tuple[int, np.ndarray, np.ndarray], b: tuple[int, np.ndarray, np.ndarray]) -> float:
     level = max(a[0], b[0])
     mask = np.uint32((1 << level) - 1)
@@ -110,16 +153,11 @@ def likeness(a: tuple[int, np.ndarray, np.ndarray], b: tuple[int, np.ndarray, np
         return float(len(a[2]) == len(b[2]) == 0)
     if len(x) == len(y) and (x == y).all():
         return 1.0
-    places = {v: i for i, v in enumerate(y.tolist())}
-    ends: list[int] = []  # the smallest end of a rising chain of each length
-    for v in x.tolist():
-        if (i := places.get(v)) is not None:
-            j = bisect_left(ends, i)
-            ends[j:j + 1] = [i]
-    return len(ends) / (len(x) + len(y) - len(ends))
+    matched = _chain(x, y)
+    return matched / (len(x) + len(y) - matched)
 
 
-def fingerprint(text: str | None, k: int = K, s: int = S, keep: int = KEEP) -> tuple[int, np.ndarray, np.ndarray]:
+def fingerprint(text: str | None, k: int = K, s: int = S, keep: int | None = KEEP) -> tuple[int, np.ndarray, np.ndarray]:
     return thinned(*anchors(text or "", k, s), keep)
 
 
@@ -128,25 +166,36 @@ def _edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+def _frame(out: list[tuple]) -> pd.DataFrame:
+    rows = pd.DataFrame(out, columns=NAMES)
+    rows["doc_id"] = rows["doc_id"].astype("Int64")
+    return rows
+
+
 def _compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of a bucket come together, in descending order; a guest is the first row of the next bucket."""
     held = None
     for frame in frames:
-        out = []
+        out, chars = [], 0
         for bucket, guest, doc, text in zip(frame["bucket"], frame["guest"], frame["doc_id"], frame["text"]):
             text = text or ""
-            now = (bucket, doc, text, fingerprint(text))
+            now = (bucket, doc, text, fingerprint(text, keep=None))
             if held is not None and held[0] == bucket:
                 _, d, t, f = held
                 changed = _edited(t, text)
-                g = fingerprint(changed)
+                g = fingerprint(changed, keep=None)
                 out.append((d, len(t), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), written(*f), written(*g),
                             likeness(f, g), likeness(f, now[3])))
+                chars += len(out[-1][3]) + len(out[-1][4])
+                if chars > BATCH_CHARS:
+                    yield _frame(out)
+                    out, chars = [], 0
             held = None if guest else now
         if out:
-            rows = pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-            rows["doc_id"] = rows["doc_id"].astype("Int64")
-            yield rows
+            yield _frame(out)
 
 
 OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "

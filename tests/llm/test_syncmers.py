@@ -79,3 +79,41 @@ def test_one_document_and_none(spark):
     one = s.compare_neighbours(spark.createDataFrame([("x", 1, "abcdef", 0)], SCHEMA)).first()
     assert one.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and one.near_next == 1
     assert s.compare_neighbours(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def longest(x, y):
+    row = [0] * (len(y) + 1)
+    for v in x:
+        new = [0]
+        for j, w in enumerate(y):
+            new.append(row[j] + 1 if v == w else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_chains_with_repeated_anchors():
+    r = random.Random(5)
+    for few in (2, 5, 40, 10_000):
+        for n in (1, 7, 150, 400):
+            x, y = ([r.randrange(few) for _ in range(r.randrange(n + 1))] for _ in range(2))
+            for a, b in ((x, y), (x, x), ([1, *x, 2], [1, *y, 2])):
+                assert s._chain(np.array(a, np.uint32), np.array(b, np.uint32)) == longest(a, b)
+
+
+def test_every_anchor_of_a_long_text_counts(spark):
+    r = random.Random(6)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9))) for _ in range(5000)]
+    text = " ".join(r.choice(words) for _ in range(20_000))
+    sentence = " ".join(r.choice(words) for _ in range(12))
+    at = len(text) * 2 // 5
+    other = text[:at] + sentence + text[at + len(sentence):]
+    twice = text[:6000] * 2
+    got = {x.doc_id: x for x in s.compare_neighbours(spark.createDataFrame(
+        [("x", 3, text, 0), ("x", 2, other, 0), ("x", 1, twice, 0)], SCHEMA)).collect()}
+    assert got[3].fingerprint != got[2].fingerprint and 0.99 < got[3].near_next < 1
+    for d, t in ((3, text), (2, other), (1, twice)):
+        places, found = s.anchors(t)
+        listed = [x.split("@") for x in got[d].fingerprint.removeprefix("0:").split(",")]
+        assert np.cumsum([int(gap) for _, gap in listed]).tolist() == places.tolist()
+        assert [int(v, 16) for v, _ in listed] == found.tolist()
+    assert len(set(s.anchors(twice)[1].tolist())) < 0.6 * len(s.anchors(twice)[1])
