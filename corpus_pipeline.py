@@ -16,10 +16,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language; those without a letter, or with no likeness to any language learned, go."""
+    """Keeps documents in a language learned; those without a letter, of letter noise or in another language go (`language`: `known`)."""
     docs = docs.select(*COLUMNS)
     known = language.predict(docs, language.train(docs), "doc_id long, text string, lang string, source string, n_chars long")
-    return known.filter((F.col("lang_pred") != "und") & (F.col("score") > 0)).select(*COLUMNS)
+    return known.filter("known").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

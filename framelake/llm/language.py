@@ -8,6 +8,14 @@ one matrix from n-grams to languages, so a batch of texts is scored by one matri
 Training takes at most `per_language` labelled rows of each language, those with the smallest hash of the id, `landmarks` of them as
 landmarks; only their sets of n-grams come to the driver (at most 2**18 + 2**12 + 2**6 numbers each). All rows are predicted.
 
+The scores of a row sum to 2 - k over k languages, so the best of them says which language is nearest, not whether the text is in
+it. `known` says that: trigrams that two training texts of one language have are learned, and a text (which may mix languages) is
+known if the share of its distinct trigrams that are learned isn't below the least share of the predicted language, by more than
+the chance of its number of trigrams allows (CHANCE deviations). The least share lies halfway between what all but one in a
+hundred training texts of the language reach, each held out from the trigrams it is measured by, and what a language mostly reaches
+in the trigrams of the others, for the nearest one. A text of a few letters is known for want of evidence; an unlearned language
+nearer to the learned ones than those are to each other may be.
+
 A null text, or one without a letter, is `und` with score 0, as is everything if there is no training row. Null languages are
 not learned from. Rows with a null id are predicted, not learned from and not held out. Repeated rows count each; ties go to the
 language that comes first by code point. An empty table gives no rows. Other columns are not carried.
@@ -27,7 +35,10 @@ from pyspark.sql.window import Window as W
 from framelake.llm.common import query, read
 
 PER_LANGUAGE, LANDMARKS, RIDGE = 500, 48, 1e-4
-SIZE = 64 + 64 ** 2 + 64 ** 3
+TRIGRAMS = 64 + 64 ** 2
+SIZE = TRIGRAMS + 64 ** 3
+#: Share of the training texts that may lie below what counts as reached; how near to that other languages may bring the least share.
+RARE, NEAREST, CHANCE = 0.01, 0.8, 3
 
 
 def _letters() -> np.ndarray:
@@ -70,6 +81,32 @@ class Model:
     vocabulary: np.ndarray  # numbers of the n-grams of the landmarks
     weights: np.ndarray  # n-grams of the vocabulary x languages
     bias: np.ndarray
+    trigrams: np.ndarray  # numbers of the trigrams learned
+    least: np.ndarray  # share of them in a text that each language asks for
+
+
+def _recognition(sample: list[tuple[str, np.ndarray]], languages: tuple[str, ...], n_others: int) -> tuple[np.ndarray, np.ndarray]:
+    """The last two parts of a model; `n_others` texts of a language are measured by the others."""
+    texts: dict[str, list[np.ndarray]] = {lang: [] for lang in languages}
+    for lang, s in sample:
+        texts[lang].append(s[s >= TRIGRAMS])
+
+    def counts(lang: str) -> np.ndarray:
+        count = np.zeros(SIZE, np.int32)
+        for s in texts[lang]:
+            count[s] += 1
+        return count
+    having = np.zeros(SIZE, np.int32)  # languages that a trigram is learned from
+    for lang in languages:
+        having += counts(lang) >= 2
+    reached, foreign = [], [0.0]
+    for lang in languages:
+        count = counts(lang)
+        elsewhere = having > (count >= 2)
+        reached.append(np.quantile([np.mean(elsewhere[s] | (count[s] >= 3)) for s in texts[lang]], RARE))  # two other texts have it
+        foreign.append(np.median([np.mean(elsewhere[s]) for s in texts[lang][:n_others]]))
+    least = [r - (r - min(max(foreign), NEAREST * r)) / 2 for r in reached]
+    return np.flatnonzero(having), np.array(least)
 
 
 def fit(sample: list[tuple[str, np.ndarray]], n_landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
@@ -77,7 +114,7 @@ def fit(sample: list[tuple[str, np.ndarray]], n_landmarks: int = LANDMARKS, ridg
     sample = [(lang, s) for lang, s in sample if len(s)]
     languages = tuple(sorted({lang for lang, _ in sample}))
     if not languages:
-        return Model((), np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
+        return Model((), np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros(0, np.float32), np.zeros(0, np.int64), np.zeros(0))
     seen: dict[str, int] = {}
     landmarks = []
     for lang, s in sample:
@@ -101,7 +138,8 @@ def fit(sample: list[tuple[str, np.ndarray]], n_landmarks: int = LANDMARKS, ridg
     penalty = ridge * len(sample) * np.eye(x.shape[1])
     penalty[-1, -1] = 0
     w = np.linalg.lstsq(x.T @ x + penalty, x.T @ y, rcond=None)[0]
-    return Model(languages, vocabulary, (z @ (to_features @ w[:-1])).astype(np.float32), w[-1].astype(np.float32))
+    return Model(languages, vocabulary, (z @ (to_features @ w[:-1])).astype(np.float32), w[-1].astype(np.float32),
+                 *_recognition(sample, languages, n_landmarks))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -123,22 +161,32 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, n_landmarks: int =
 
 def scores(texts: list[str | None], model: Model) -> np.ndarray:
     """Texts x languages; rows of texts without a letter are NaN."""
+    return judged(texts, model)[0]
+
+
+def judged(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Scores, and whether each language knows each text; texts x languages. Texts without a letter have NaN and False."""
     present = np.zeros(SIZE, bool)
     out = np.full((len(texts), len(model.languages)), np.nan, np.float32)
+    known = np.zeros(out.shape, bool)
     for begin in range(0, len(texts), 128):
         part = texts[begin:begin + 128]
         x = np.zeros((len(part), len(model.vocabulary)), np.float32)
-        size = np.zeros(len(part))
+        size, n, learned = np.zeros(len(part)), np.zeros((len(part), 1)), np.zeros((len(part), 1))
         for i, text in enumerate(part):
             g = grams(text)
             if len(g):
                 present[g] = True
                 size[i] = np.count_nonzero(present)
                 x[i] = present[model.vocabulary]
+                n[i] = np.count_nonzero(present[TRIGRAMS:])
+                learned[i] = np.count_nonzero(present[model.trigrams])
                 present[g] = False
         y = x @ model.weights * np.maximum(size, 1)[:, None] ** -0.5 + model.bias
         out[begin:begin + 128][size > 0] = y[size > 0]
-    return out
+        enough = learned + CHANCE * np.sqrt(n * model.least * (1 - model.least)) >= n * model.least
+        known[begin:begin + 128] = enough & (size > 0)[:, None]
+    return out, known
 
 
 def _predict(shared):
@@ -146,28 +194,29 @@ def _predict(shared):
         model = shared.value
         for batch in batches:
             texts = batch.columns[-1].to_pylist()
-            lang, score = ["und"] * len(texts), np.zeros(len(texts))
+            lang, score, known = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
             if model.languages:
-                y = scores(texts, model)
-                known = np.flatnonzero(~np.isnan(y[:, 0]))
-                best = y[known].argmax(axis=1)
-                score[known] = np.clip((y[known, best] + 1) / 2, 0, 1)
-                for i, b in zip(known.tolist(), best.tolist()):
+                y, by_language = judged(texts, model)
+                lettered = np.flatnonzero(~np.isnan(y[:, 0]))
+                best = y[lettered].argmax(axis=1)
+                score[lettered] = np.clip((y[lettered, best] + 1) / 2, 0, 1)
+                known[lettered] = by_language[lettered, best]
+                for i, b in zip(lettered.tolist(), best.tolist()):
                     lang[i] = model.languages[b]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                                             [*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(known)],
+                                             [*batch.schema.names[:-1], "lang_pred", "score", "known"])
     return run
 
 
 def predict(docs: DataFrame, model: Model, keep: str = "doc_id long") -> DataFrame:
-    """`lang_pred` and `score` beside the columns named in `keep` (a schema)."""
+    """`lang_pred`, `score` and `known` beside the columns named in `keep` (a schema)."""
     names = [c.split()[0] for c in keep.split(",")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(*names, F.col("text").alias("_")).mapInArrow(_predict(shared), f"{keep}, lang_pred string, score double")
+    return docs.select(*names, F.col("text").alias("_")).mapInArrow(_predict(shared), f"{keep}, lang_pred string, score double, known boolean")
 
 
 @query("op7_language_id")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents")
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return predict(rows, train(docs), "doc_id long, held_out boolean")
+    return predict(rows, train(docs), "doc_id long, held_out boolean").drop("known")

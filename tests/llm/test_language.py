@@ -61,3 +61,13 @@ def test_odd_rows(spark):
     none = g.train(df.filter("lang = 'no such'"))
     assert {(r.lang_pred, r.score) for r in g.predict(df, none).collect()} == {("und", 0.0)}
     assert g.predict(df.limit(0), none).count() == 0
+
+
+def test_what_is_known(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for lang in ("de", "es", "fr"):  # English is also in texts of the other languages
+        learned = g.train(docs.filter(docs.lang != lang))
+        got = g.predict(docs, learned, "doc_id long, lang string, n_chars long").collect()
+        assert all(r.known for r in got if r.lang != lang)
+        unlearned = [r.known for r in got if r.lang == lang and r.n_chars > 500]
+        assert len(unlearned) > 20 and sum(unlearned) <= 0.1 * len(unlearned)

@@ -71,3 +71,19 @@ def test_no_documents(spark, tables):
     docs = spark.read.parquet(f"{tables[0]}/documents.parquet").limit(0)
     for _, stage in c.STAGES:
         assert stage(spark, docs, tables[0]).count() == 0
+
+
+def test_only_learned_languages_stay(spark):
+    r = random.Random(2)
+    other = "hän ei ollut kyllä missään vaan tuli takaisin hyvää yötä kaikki myös jälkeen".split()
+
+    def text(words, n):
+        return " ".join(r.choice(words) + r.choice(("", "", "s", "ing", "ung")) for _ in range(n))
+    clean = [(i, text(WORDS[lang], r.choice((1, 2, 10, 60, 400))), lang) for i in range(160) for lang in [r.choice(("en", "de"))]]
+    clean += [(200 + i, text(WORDS["de"], n), None) for i, n in enumerate((1, 3, 30, 3000))]
+    dirty = [" ".join(r.choice(other) for _ in range(n)) for n in (10, 100, 2000)]
+    dirty += [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 10))) for _ in range(n)) for n in (5, 50, 5000)]
+    dirty += ["\n".join("".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(50)), "Привет как дела сегодня вечером"]
+    rows = clean + [(1000 + i, t, None) for i, t in enumerate(dirty)]
+    docs = spark.createDataFrame([(d, t, lang, "s", len(t), "x") for d, t, lang in rows], SCHEMA)
+    assert ids(x.doc_id for x in c.identify_language(spark, docs, "").collect()) == ids(d for d, *_ in clean)
