@@ -1,18 +1,19 @@
 """Personal data, and the terms that give it away.
 
-Base spans are e-mail and IP addresses, card and phone numbers, found by pattern and checked. Around each of them the words of a
-window are its context. Over the whole corpus, p(entity | term) is the share of the documents with the term that have it in
-the entity's context, p(entity) the entity's share of all documents. The term's disclosure is the part of the entity's
-information that it gives away, PMI(entity, term) / -log p(entity): 1 if the term occurs beside that entity only, 0 if it
-is independent. Terms seen beside an entity in `support` documents or more are generalised to their shape from `generalise`
-on and removed from `remove` on, in the contexts of that entity; their spans are of kind `term`.
+Base spans are e-mail and IP addresses, card and phone numbers, found by pattern and checked; what they hold are entities. The words of a
+document beside its base spans are its terms. Over the whole corpus, p(entity | term) is the share of the documents with the term that
+hold the entity, p(entity) the entity's share of all documents. The term's disclosure is the part of the entity's information that it
+gives away, PMI(entity, term) / -log p(entity): 1 if the term occurs with that entity only, 0 if it is independent. Terms
+seen with an entity in `support` documents or more are generalised to their shape from `generalise` on and removed from `remove` on,
+wherever they stand in a document that holds the entity; their spans are of kind `term`.
 
 Null texts are empty. A document row is a document, so repeated rows count each and come back each; rows with a null id are
 documents too. An empty table gives no rows. Spans are code points, end exclusive. Other columns are not carried, so their
 names don't matter.
 
-Python reads a text once; contexts are a few words per entity. Terms are counted by Spark with partial sums before the shuffle,
-and nothing is gathered but the spans of one document.
+Python reads a text once for its base spans, and those with some once more for the terms told. Only entities of `support` documents or more can
+have a term, so only their documents' words are paired. Pairs and words are counted by Spark with partial sums before the shuffle, the words
+by 64 bits, and nothing is gathered but the terms of one document.
 """
 
 from __future__ import annotations
@@ -74,71 +75,70 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in out]
 
 
-def _context(text: str, start: int, end: int, window: int, covered: tuple[list[int], list[int]]) -> list[tuple[int, int]]:
-    """Places of the words that lie wholly beside a span, up to `window` on either side, base spans left out.
-
-    covered: where spans start, and the furthest end of those up to each.
-    """
-    after = []
-    at = m.end() if (m := _WORD.match(text, end)) else end  # past the rest of a word that the span ends in
-    while len(after) < window and (m := _WORD.search(text, at)):
-        after.append(m.span())
-        at = m.end()
-    before, size = [], 32 * window
-    low = max(0, start - size)
-    while True:  # a longer stretch, until it has enough words
-        before = [m.span() for m in _WORD.finditer(text, low, start)]
-        if low == 0 or len(before) > window + 1:
-            break
-        size *= 4
-        low = max(0, start - size)
-    if low and before:
-        before = before[1:]  # may be cut off at its start
-    if before and before[-1][1] == start:
-        before = before[:-1]  # goes on into the span
-    near = before[-window:] + after
-    return [(a, b) for a, b in near if not (i := bisect_left(covered[0], b)) or covered[1][i - 1] <= a]
-
-
-FOUND = "row long, doc_id long, spans array<struct<start:int,end:int,kind:string,entity:string>>, near array<struct<entity:string,term:string,start:int,end:int>>, n_chars long"
-
-
-def _find(window: int):
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _beside(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the words that no base span touches."""
+    starts, ends = [a for a, _, _ in spans], list(accumulate((b for _, b, _ in spans), max))  # the furthest end up to each
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        if not (i := bisect_left(starts, b)) or ends[i - 1] <= a:
+            yield m[0].translate(_LOWER), a, b
+
+
+SPANS = "array<struct<start:int,end:int,kind:string>>"
+FOUND = f"row long, doc_id long, n_chars long, spans {SPANS}, entities array<string>, terms array<string>, text string"
+
+
+def _find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Base spans of every text; entities, distinct terms and the text itself where there are some."""
+    for frame in frames:
+        out = []
+        for row, doc, text in zip(frame["row"], frame["doc_id"], frame["text"]):
+            text = text or ""
+            spans = base_spans(text)
+            entities = list(dict.fromkeys(f"{k}:{text[a:b].translate(_LOWER)}" for a, b, k in spans))
+            terms = list(dict.fromkeys(t for t, _, _ in _beside(text, spans))) if spans else []
+            out.append((row, doc, len(text), [{"start": a, "end": b, "kind": k} for a, b, k in spans], entities, terms, text if spans else None))
+        result = pd.DataFrame(out, columns=["row", "doc_id", "n_chars", "spans", "entities", "terms", "text"])
+        result["doc_id"] = result["doc_id"].astype("Int64")
+        yield result
+
+
+TERMS = "array<struct<start:int,end:int,kind:string,disclosure:double,action:string>>"
+
+
+def _place(remove: float):
+    """Every place of the terms told in a text."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for row, doc, text in zip(frame["row"], frame["doc_id"], frame["text"]):
-                text = text or ""
-                spans = base_spans(text)
-                covered = [a for a, _, _ in spans], list(accumulate((b for _, b, _ in spans), max))
-                near = []
-                for a, b, kind in spans:
-                    entity = f"{kind}:{text[a:b].translate(_LOWER)}"
-                    near += [{"entity": entity, "term": text[x:y].translate(_LOWER), "start": x, "end": y}
-                             for x, y in _context(text, a, b, window, covered)]
-                out.append((row, doc, [{"start": a, "end": b, "kind": k, "entity": f"{k}:{text[a:b].translate(_LOWER)}"} for a, b, k in spans], near, len(text)))
-            result = pd.DataFrame(out, columns=["row", "doc_id", "spans", "near", "n_chars"])
-            result["doc_id"] = result["doc_id"].astype("Int64")
-            yield result
-    return find
-
-
-def disclosure(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
-    """(entity, term, disclosure) of the pairs seen together in `support` documents or more."""
+            for row, text, spans, told in zip(frame["row"], frame["text"], frame["spans"], frame["told"]):
+                share = {t["term"]: t["disclosure"] for t in told}
+                spans = [(s["start"], s["end"], s["kind"]) for s in spans]
+                out.append((row, [{"start": a, "end": b, "kind": "term", "disclosure": share[t], "action": "remove" if share[t] >= remove else "generalise"}
+                                  for t, a, b in _beside(text, spans) if t in share]))
+            yield pd.DataFrame(out, columns=["row", "terms"])
+    return run
+
+
+def _pairs(found: DataFrame, entities: DataFrame) -> DataFrame:
+    """(row, entity, term) of the documents that hold one of the entities."""
+    holders = found.select("row", F.explode("entities").alias("entity"), "terms").join(entities.select("entity"), "entity")
+    return holders.select("row", "entity", F.explode("terms").alias("term"))
+
+
+def disclosure(docs: DataFrame, found: DataFrame, entities: DataFrame, support: int) -> DataFrame:
+    """(entity, term, disclosure) of the pairs seen together in `support` documents or more. entities: (entity, with_entity)."""
     n = docs.count()
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term").distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("together")).filter(F.col("together") >= support)
-    pairs = stored(pairs, "pairs")
-    entities = (found.select(F.explode(F.array_distinct("spans.entity")).alias("entity")).groupBy("entity")
-                .agg(F.count("*").alias("with_entity")))
-    terms = pairs.select("term").distinct()
-    # The words of all documents; tasks add up their counts before anything is moved.
+    pairs = _pairs(found, entities).groupBy("entity", "term").agg(F.count("*").alias("together")).filter(F.col("together") >= support)
+    pairs = stored(pairs.withColumn("key", F.xxhash64("term")), "pairs")
+    # The words of all documents, added up before they meet the terms: one row for each word there is.
     said = docs.select(F.explode_outer(F.array_distinct(F.split(lower_ascii(F.col("text")), GAPS))).alias("term"))
-    counts = said.groupBy("term").agg(F.count("*").alias("with_term")).join(terms, "term", "left_semi")
+    counts = said.groupBy(F.xxhash64("term").alias("key")).agg(F.count("*").alias("with_term"))
+    of_terms = stored(pairs.select("key").distinct().join(counts, "key"), "term-counts")
     information = -F.log(F.col("with_entity") / F.lit(n))
     gain = F.log(F.col("together") * F.lit(n) / (F.col("with_term") * F.col("with_entity")))
     share = F.when(information > 0, gain / information).otherwise(F.lit(0.0))
-    return (pairs.join(entities, "entity").join(counts, "term")
+    return (pairs.join(entities, "entity").join(of_terms, "key")
             .select("entity", "term", F.least(share, F.lit(1.0)).alias("disclosure")))
 
 
@@ -146,19 +146,18 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def sanitise(docs: DataFrame, window: int = 8, support: int = 3, generalise: float = 0.6, remove: float = 0.9) -> DataFrame:
+def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.6, remove: float = 0.9) -> DataFrame:
     """Per document its base spans and `terms` (start, end, kind `term`, disclosure, action), both by start; and `row`, a row number."""
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    found = stored(rows.select("row", "doc_id", "text").mapInPandas(_find(window), FOUND), "personal")
-    told = disclosure(docs, found, support).filter(F.col("disclosure") >= generalise)
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.*")
-    action = F.when(F.col("disclosure") >= remove, F.lit("remove")).otherwise(F.lit("generalise"))
-    terms = (near.join(told, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-             .withColumn("action", action)
-             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit("term").alias("kind"), "disclosure", "action"))).alias("terms")))
-    return (found.join(terms, "row", "left")
-            .select("row", "doc_id", "n_chars", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("spans"),
-                    F.coalesce("terms", F.expr("cast(array() as array<struct<start:int,end:int,kind:string,disclosure:double,action:string>>)")).alias("terms")))
+    found = stored(rows.select("row", "doc_id", "text").mapInPandas(_find, FOUND), "personal")
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
+    entities = stored(entities.filter(F.col("with_entity") >= support), "entities")
+    told = disclosure(docs, found, entities, support).filter(F.col("disclosure") >= generalise)
+    of_row = (_pairs(found, entities).join(told, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+              .groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("told")))
+    placed = found.select("row", "text", "spans").join(of_row, "row").mapInPandas(_place(remove), f"row long, terms {TERMS}")
+    return (found.select("row", "doc_id", "n_chars", "spans").join(placed, "row", "left")
+            .select("row", "doc_id", "n_chars", "spans", F.coalesce("terms", F.expr(f"cast(array() as {TERMS})")).alias("terms")))
 
 
 def cleaned(text: Column, spans: Column, terms: Column) -> Column:
