@@ -10,11 +10,12 @@ Candidates are confirmed on the full sets in rounds: first each node's most freq
 different components, until none is left. A candidate between nodes that are connected already can't change the answer.
 
 In a crowd the neighbours in the order aren't all that may link. So nodes are clustered by candidates that two trees agree on, and
-within a cluster every node outside its largest component is compared with all nodes of other components, in blocks of BLOCK
-by BLOCK sets that give back links only. This costs the number of such nodes times the cluster's size, nothing for a group of
-copies that has become one component.
+what isn't connected within a cluster is joined by prefixes: of a set of n shingles, ordered by how many sets of the cluster
+hold them, the rarest n - ceil(0.8 n) + 1 must share one with every set it links to. Those pairs of different components, of fitting
+sizes, are confirmed on the full sets. That is exact within a cluster; copies that have become one component cost nothing.
 
-A link at similarity 0.8 is missed only if no tree brings it into a cluster: at depth 4, (1 - 0.8**4)**32, less than 1e-7.
+A link at similarity 0.8 is missed only if no candidate chain that two trees agree on (or one tree names it) brings it into a cluster. Outside
+a crowd that takes two sets that share a region in one of the 32 trees at most, 1e-6 at depth 4; the tests measure it in crowds.
 
 Null and blank texts have an empty set and are linked with nothing; a text with fewer words than a shingle has all of them as its one
 shingle. Rows with one id are each a document; a row without an id can link others, has the component of its group and isn't
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window as W
 from framelake.llm.common import discard, lowered, mix64, query, read, stored, word_hashes
 from framelake.llm.components import components
 
-VALUES, TREES, DEPTH, NEAR, CROWD, BLOCK = 128, 32, 4, 2, 4000, 512
+VALUES, TREES, DEPTH, NEAR, CROWD = 128, 32, 4, 2, 4000
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(1 << 31, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)
@@ -142,25 +143,13 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).drop("in_a", "in_b")
 
 
-def _compare(percent: int):
-    """Links between the nodes `left` and the nodes `right` of other components, one for each pair of components at least."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_a, out_b = [], []
-        if left.num_rows and right.num_rows:
-            sets = [np.array(s, np.int64) for s in left.column("set").to_pylist()]
-            size = np.array([len(s) for s in sets])
-            first, every = np.cumsum(size) - size, np.concatenate(sets)
-            node, part = left.column("node").to_numpy(), left.column("part").to_numpy()
-            for a, own, s in zip(*[right.column(c).to_pylist() for c in ("node", "part", "set")]):
-                s = np.sort(np.array(s, np.int64))
-                at = np.searchsorted(s, every)
-                both = np.add.reduceat((s[np.minimum(at, len(s) - 1)] == every).astype(np.int64), first)
-                hits = np.flatnonzero((100 * both >= percent * (size + len(s) - both)) & (part != own))
-                hits = hits[np.unique(part[hits], return_index=True)[1]]
-                out_a += [a] * len(hits)
-                out_b += node[hits].tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-    return run
+def _joined(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components with more links: those so far come as one pair for each node."""
+    if groups is not None:
+        links = links.unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    out = components(links)
+    discard(groups)
+    return out
 
 
 def _stragglers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -169,23 +158,27 @@ def _stragglers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, percent: i
     members = (clusters.join(groups, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("part")))
     members = stored(members, "members")
     parts = members.groupBy("cluster", "part").agg(F.count("*").alias("n"))
-    several = (parts.groupBy("cluster").agg(F.sum("n").alias("size"), F.max(F.struct("n", "part"))["part"].alias("largest"), F.count("*").alias("parts"),
-                                            F.max("n").alias("most"))
-               .filter((F.col("parts") > 1) & (F.col("size") > NEAR + 1)))
-    several = several.withColumn("pieces", F.ceil(F.col("size") / BLOCK)).withColumn("chunks", F.ceil((F.col("size") - F.col("most")) / BLOCK))
-    work = work_rows = stored(members.join(several, "cluster").select("node", "cluster", "part", "largest", "pieces", "chunks"), "work")
-    outside = stored(work.filter("part <> largest"), "outside")
-
-    def spread(own: str, other: str, rows: DataFrame) -> DataFrame:
-        """Every node in one place along its own axis, and in all along the other."""
-        place = {own: F.pmod(F.xxhash64("node"), F.col(f"{own}s")).cast("int"), other: F.explode(F.sequence(F.lit(0), F.col(f"{other}s").cast("int") - 1))}
-        with_sets = rows.join(sets.select(F.col("node").alias("node"), F.col("set").alias("set")), "node")
-        return with_sets.select("cluster", place["piece"].alias("piece"), place["chunk"].alias("chunk"), "node", "part", "set")
-
-    left, right = spread("piece", "chunk", work), spread("chunk", "piece", outside)
-    key = ["cluster", "piece", "chunk"]
-    out = stored(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_compare(percent), "a long, b long"), "stragglers")
-    discard(members, work_rows, outside)
+    several = (parts.groupBy("cluster").agg(F.max(F.struct("n", "part"))["part"].alias("largest"), F.count("*").alias("parts"))
+               .filter("parts > 1").select("cluster", "largest"))
+    size = F.size("set")
+    work = members.join(several, "cluster").join(sets, "node").select("node", "cluster", "part", (F.col("part") != F.col("largest")).alias("outside"), "set")
+    work = stored(work, "work")
+    shingles = work.select("cluster", "node", "part", "outside", size.alias("size"), F.explode("set").alias("shingle"))
+    # A shingle of one set links nothing, but takes a place in its prefix.
+    counts = shingles.groupBy("cluster", "shingle").agg(F.count("*").alias("n"), F.bool_or("outside").alias("any")).filter("n > 1")
+    shared = shingles.join(counts, ["cluster", "shingle"]).groupBy("cluster", "node", "part", "outside", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "shingle", "any"))).alias("shared"))
+    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    room = F.greatest(prefix - (F.col("size") - F.size("shared")), F.lit(0)).cast("int")
+    rows = (shared.select("cluster", "node", "part", "outside", "size", F.explode(F.slice("shared", F.lit(1), room)).alias("x"))
+            .filter("x.any").select("cluster", "node", "part", "outside", "size", "x.shingle"))
+    rows = stored(rows, "prefixes")
+    a, b = (rows.select("cluster", "shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "size", "outside")]) for x in "ab")
+    fits = ((F.col("part_a") != F.col("part_b")) & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+            & (~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))))
+    met = a.filter("outside_a").join(b, ["cluster", "shingle"]).filter(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    out = stored(_confirmed(met, work.select("node", "set"), percent), "stragglers")
+    discard(members, work, rows)
     return out
 
 
@@ -226,18 +219,16 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, crowd: int = CROWD)
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stored(_sets_of(docs, classes.select("node", "least_id", "class").join(nodes, "node"), words), "sets")
 
-    found, links, groups = pairs, None, None
+    found, groups = pairs, None
     for most in (2, None):
         left = pairs if groups is None else stored(_apart(pairs, groups), "left")
         chosen = left.select("a", "b") if most is None else stored(_best(left, most), "chosen")
         confirmed = stored(_confirmed(chosen, sets, percent), "links")
         pairs = left.join(chosen, ["a", "b"], "left_anti")
-        links = confirmed if links is None else links.unionByName(confirmed)
-        discard(groups)
-        groups = components(links)
-    more = _stragglers(found, groups, sets, percent)
-    discard(groups, sets, found)
-    groups = components(links.unionByName(more))
+        groups = _joined(groups, confirmed)
+        discard(confirmed)
+    groups = _joined(groups, _stragglers(found, groups, sets, percent))
+    discard(sets, found)
 
     reached = classes.join(groups, "node", "left").select("class", "least_id", F.coalesce("component", "node").alias("component"))
     least = reached.groupBy("component").agg(F.min("least_id").alias("component_id"))

@@ -83,11 +83,37 @@ def test_signature_estimates_similarity():
     assert len(np.unique(f._ORDERS[:, :f.DEPTH])) == f.VALUES
 
 
-def test_components(spark):
+@pytest.mark.parametrize("likeness,crowd", [(0.76, 40), (0.78, 4000)])
+def test_links_within_families_of_look_alikes(spark, likeness, crowd):
+    """Documents of a family share most words, too few to link; planted pairs among them do link."""
+    r = random.Random(likeness)
+    base = [f"w{i}" for i in range(400)]
+    changed = round(len(base) * (1 - (2 * likeness / (1 + likeness)) ** .5))
+
+    def altered(words, n, mark):
+        out = list(words)
+        at = r.randrange(len(out) - n)
+        out[at:at + n] = [f"{mark}x{i}" for i in range(n)]
+        return out
+    rows, planted = [], []
+    for i in range(600):
+        own = altered(base, changed, f"d{i}")
+        rows.append((2 * i, " ".join(own)))
+        if i % 6 == 0:
+            planted.append((2 * i, 2 * i + 1))
+            rows.append((2 * i + 1, " ".join(altered(own, 40, f"p{i}"))))
+    want = dict((x[0], x[2]) for x in plain(rows, 2))
+    got = {x.doc_id: x.component_id for x in f.link(frame(spark, rows), 2, crowd=crowd).collect()}
+    assert got == want
+    assert sum(want[a] == want[b] for a, b in planted) > 50
+
+
+@pytest.mark.parametrize("few", [1 << 17, 100, 0])
+def test_components(spark, few):
     r = random.Random(5)
     pairs = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 300)] + [(r.randrange(2000, 3000), r.randrange(2000, 3000)) for _ in range(600)]
     pairs += [(5000, 5000), (None, 3), (4, 3), (4, 3)]
-    got = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long")).collect()))
+    got = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long"), few).collect()))
     group = {}
     for a, b in pairs:
         if a is not None and a != b:
