@@ -42,8 +42,8 @@ RARE, NEAREST, CHANCE = 0.01, 0.8, 3
 
 
 def _letters() -> np.ndarray:
-    """Class of each code point: a to z are 1 to 26, other letters one of 27 to 63, all else 0."""
-    out = np.zeros(0x32000, np.int32)
+    """Class of every code point: a to z are 1 to 26, other letters one of 27 to 63, all else 0."""
+    out = np.zeros(0x110000, np.int8)
     for c in range(len(out)):
         if chr(c).isalpha():
             out[c] = c - 96 if 97 <= c <= 122 else 27 + c % 37
@@ -60,7 +60,7 @@ def grams(text: str | None) -> np.ndarray:
     table = _LETTERS[0]
     p = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     c = np.zeros(len(p) + 2, np.int32)
-    c[1:-1] = table[np.minimum(p, len(table) - 1)]
+    c[1:-1] = table[p]
     c = c[np.concatenate(([True], (c[1:] > 0) | (c[:-1] > 0)))]
     if len(c) < 3:
         return c[:0]

@@ -19,6 +19,9 @@ def test_grams_are_a_blended_spectrum():
     for _ in range(300):
         text = "".join(r.choice("abCD é1. \n") for _ in range(r.randrange(30)))
         assert len(np.unique(g.grams(text))) == len(plain_grams(text)), repr(text)
+    for text in ("\U000e0100 \U000f0000 12", "\U0010ffff", "\U0001f600 7"):
+        assert len(g.grams(text)) == 0
+    assert len(g.grams("\U00031350")) > 0 and len(g.grams("\U000320aa a\U000320ab")) == len(plain_grams("\U000320aa a\U000320ab"))
     assert len(g.grams(None)) == len(g.grams("12 %%")) == 0 and len(g.grams("x" * 500_000)) > 0
 
 
