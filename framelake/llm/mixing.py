@@ -2,7 +2,7 @@
 
 The words of a source, its documents in the order of a hash, are cut into blocks of fixed length. A mix is a number of shards of
 `slots` blocks each. A shard's slots are dealt to the sources: the whole part of a source's expected count is its own, and in
-every unit of what remains one categorical draw decides (a multinomial draw with the smallest variance that keeps every expectation).
+every unit of what remains one categorical draw decides (a stratified multinomial: every expectation is kept, at the smallest variance).
 The j-th slot of a source takes the block at place j modulo n of a permutation of its n blocks, a new permutation for each round.
 
 Targets: sources by code point, null last, weigh 5, 2, 1, repeating, and share `share` of all words. A target stops at `most`
@@ -75,7 +75,10 @@ def mix(sources: DataFrame, block: int = BLOCK, slots: int = SLOTS, most: int =
     plan, shards = _plan(sources, block, slots, most)
     if not shards:
         return sources.sparkSession.createDataFrame([], "shard long, sid int, slot long, block long")
-    rows = plan.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    n = plan.count()
+    numbered = plan.withColumn("source_no", F.row_number().over(W.orderBy("sid")).cast("long") - 1)
+    dealt = sources.sparkSession.range(shards * n).select(F.floor(F.col("id") / n).alias("shard"), (F.col("id") % n).alias("source_no"))
+    rows = dealt.join(numbered, "source_no")
 
     def hit(unit: Column) -> Column:
         """The draw in this unit of the rest falls to the source."""
