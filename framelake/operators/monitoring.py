@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -24,14 +25,31 @@ def counter_rate(samples: DataFrame, series: Sequence[str], by: Sequence[str], w
                  limit: int = ordered.LIMIT) -> DataFrame:
     """Increase per second in time windows, summed over the series that share `by`.
 
-    Windows tumble, or slide by `slide`. `sum without(instance)` is `by` without that label.
+    Windows tumble, or slide by `slide`. A sample counts once, in its pane (the common divisor of window and slide); what slides is
+    the sums of panes, of which there are no more than time gives. `sum without(instance)` is `by` without that label.
     """
     grown = counter_increase(samples, series, time, tie, value, limit)
-    at = F.timestamp_millis(F.col(time))
-    spanned = F.window(at, window, slide) if slide else F.window(at, window)
-    total = grown.groupBy(*by, spanned.alias("_w")).agg(F.sum("increase").alias("increase"))
-    length = F.unix_seconds("_w.end") - F.unix_seconds("_w.start")
-    return total.select(*by, F.col("_w.end").alias("window_end"), (F.col("increase") / length).alias("rate"))
+    length, step = _milliseconds(window), _milliseconds(slide or window)
+    pane = math.gcd(length, step)
+    panes = grown.groupBy(*by, F.floor(F.col(time) / pane).cast("long").alias("_pane")).agg(F.sum("increase").alias("_sum"))
+    if step == length:
+        total = panes.select(*by, ((F.col("_pane") + 1) * pane).alias("_end"), F.col("_sum").alias("_total"))
+    else:
+        # Window ends that some pane lies in: after it, up to a window's length on.
+        first = (F.floor((F.col("_pane") * pane - length) / step) + 1) * step + length
+        ends = panes.select(*by, F.explode(F.sequence(first, F.col("_pane") * pane + length, F.lit(step))).alias("_end")).distinct()
+        places = panes.select(*by, ((F.col("_pane") + 1) * pane).alias("_end"), "_sum", F.lit(False).alias("_wanted")).unionByName(
+            ends.select(*by, "_end", F.lit(0.0).alias("_sum"), F.lit(True).alias("_wanted")))
+        past = Window.partitionBy(*by).orderBy("_end").rangeBetween(pane - length, 0)
+        total = places.withColumn("_total", F.sum("_sum").over(past)).filter("_wanted")
+    return total.select(*by, F.timestamp_millis("_end").alias("window_end"), (F.col("_total") / (length / 1000)).alias("rate"))
+
+
+def _milliseconds(duration: str) -> int:
+    """A duration such as `5 minutes`."""
+    units = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+    number, unit = duration.split()
+    return int(number) * units[unit.lower().removesuffix("s")]
 
 
 def last_per_bucket(samples: DataFrame, series: Sequence[str], bucket_seconds: int, time: str = "ts_ms",

@@ -105,7 +105,7 @@ SELECT event_id, CASE WHEN lat IS NULL OR lon IS NULL THEN 'Unknown' ELSE coales
 
 @query("j2_locate", _LOCATED)
 def j2_locate(spark, sf):
-    return locate.locate(inputs.points(spark, sf), inputs.regions(spark, sf), 2.5).select("event_id", "location")
+    return locate.locate(inputs.points(spark, sf), inputs.regions(spark, sf)).select("event_id", "location")
 
 
 @query("j2_attach_location", _LOCATED)
@@ -114,7 +114,25 @@ def j2_attach_location(spark, sf):
     videos = inputs.points(spark, sf).select("event_id", F.concat(F.lit("http://h/b/v/"), name, F.lit(".mov")).alias("url"))
     info = inputs.points(spark, sf).filter(F.col("lat").isNotNull()).select(
         name.alias("stem"), F.to_json(F.struct(F.array(F.struct(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))).alias("locations"))).alias("value"))
-    return locate.attach_location(videos, files.sidecar_positions(info, "stem"), inputs.regions(spark, sf), 2.5).select("event_id", "location")
+    return locate.attach_location(videos, files.sidecar_positions(info, "stem"), inputs.regions(spark, sf)).select("event_id", "location")
+
+
+@query("j2_locate_mixed", """
+WITH m AS (SELECT region, lat_lo, lat_hi, lon_lo, lon_hi FROM regions_v UNION ALL
+  SELECT 'w' || n_nationkey, -90 + n_nationkey, n_nationkey, -180 + 2 * n_nationkey, -90 + 2 * n_nationkey FROM nation UNION ALL
+  SELECT 's' || event_id, lat - 0.005, lat + 0.005, lon - 0.005, lon + 0.005 FROM points_v WHERE event_id % 97 = 1)
+SELECT event_id, CASE WHEN lat IS NULL THEN 'Unknown' ELSE coalesce(arg_min(region, (area, region)), 'Oversea') END AS location
+FROM points_v p LEFT JOIN (SELECT *, CAST((lat_hi - lat_lo) * (lon_hi - lon_lo) AS DOUBLE) AS area FROM m) m
+  ON p.lat >= m.lat_lo AND p.lat < m.lat_hi AND p.lon >= m.lon_lo AND p.lon < m.lon_hi GROUP BY event_id, lat""")
+def j2_locate_mixed(spark, sf):
+    """Regions from 0.01 to 90 degrees together."""
+    n, edges = F.col("n_nationkey"), ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
+    wide = inputs.table(spark, sf, "nation").select(F.concat(F.lit("w"), n.cast("string")).alias("region"), *[
+        v.cast("double").alias(c) for c, v in zip(edges, (n - 90, n, 2 * n - 180, 2 * n - 90))])
+    spots = inputs.points(spark, sf).filter("event_id % 97 = 1").select(F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("region"), *[
+        v.alias(c) for c, v in zip(edges, (F.col("lat") - 0.005, F.col("lat") + 0.005, F.col("lon") - 0.005, F.col("lon") + 0.005))])
+    regions = inputs.regions(spark, sf).unionByName(wide).unionByName(spots.filter("lat_lo is not null"))
+    return locate.locate(inputs.points(spark, sf), regions).select("event_id", "location")
 
 
 @query("s7_sidecar", "SELECT event_id, lat, lon FROM points_v")

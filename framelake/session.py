@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,3 +47,10 @@ def scratch_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="framelake-")
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the scratch folder: lineage ends here."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
