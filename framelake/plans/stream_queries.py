@@ -37,7 +37,9 @@ def finished(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
-_ARRIVAL = "event_id * 1327217885 % 2147483648"
+#: Frames come up to 63 numbers late, so up to 63 frames of a camera, however many it has; the last bits keep arrivals apart.
+_ARRIVAL = "(event_id + event_id * 7919 % 64) * 4096 + event_id % 4096"
+CAPACITY = 128
 
 
 def _arrivals(spark: SparkSession, sf: str, folder: str, *more) -> DataFrame:
@@ -45,22 +47,22 @@ def _arrivals(spark: SparkSession, sf: str, folder: str, *more) -> DataFrame:
     frames = event_stream(spark, sf).select("camera", "frame_num", F.expr(_ARRIVAL).alias("arrival"), *more)
     marks = inputs.frames(spark, sf).select("camera").distinct().select(
         "camera", *[F.lit(None).cast(f.dataType).alias(f.name) for f in frames.schema if f.name != "camera"])
-    marks.withColumn("arrival", F.lit(1 << 40)).write.parquet(f"{folder}/marks")
+    marks.withColumn("arrival", F.lit(1 << 60)).write.parquet(f"{folder}/marks")
     return frames.unionByName(spark.readStream.schema(frames.schema).parquet(f"{folder}/marks"))
 
 
 @query("st1_reorder", f"SELECT camera, frame_num, {_ARRIVAL} AS arrival, false AS late FROM frames_v")
 def st1_reorder(spark, sf):
-    """A buffer that holds all frames of a camera restores their order: none is late."""
+    """A buffer that holds more frames than any comes late restores their order: none is late."""
     folder = run_folder(spark, "reorder")
-    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=4096, idle_ms=0), folder)
+    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=CAPACITY, idle_ms=0), folder)
 
 
 @query("st9_late", f"""
 WITH a AS (SELECT camera, frame_num, {_ARRIVAL} AS arrival FROM frames_v),
 held AS (SELECT camera, arrival, frame_num, max(frame_num) OVER (PARTITION BY camera ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
   max(frame_num) OVER (PARTITION BY camera) AS last FROM a),
-gone AS (SELECT camera, arrival, least(frame_num, before) AS frame_num FROM held WHERE before IS NOT NULL UNION ALL SELECT DISTINCT camera, 4294967296, last FROM held)
+gone AS (SELECT camera, arrival, least(frame_num, before) AS frame_num FROM held WHERE before IS NOT NULL UNION ALL SELECT DISTINCT camera, 1152921504606846976, last FROM held)
 SELECT camera, frame_num, coalesce(frame_num < max(frame_num) OVER (PARTITION BY camera ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM gone""")
 def st9_late(spark, sf):
     """A buffer that holds one frame lets the lower of two go; what goes after a higher one is late."""
@@ -73,7 +75,7 @@ def st2_stream_keyframes(spark, sf):
     """Key frames of cameras whose frames arrive in scrambled order."""
     folder = run_folder(spark, "keyframes")
     rows = _arrivals(spark, sf, folder, messages.class_list(F.col("objs")).alias("classes"))
-    return finished(reorder.stream_keyframes(rows, capacity=4096, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
+    return finished(reorder.stream_keyframes(rows, capacity=CAPACITY, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
 def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
@@ -81,7 +83,7 @@ def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
     frames = inputs.frames(spark, sf)
     body = ["camera", "frame_num", "timestamp", "location", "objs", "scenes", F.expr(_ARRIVAL).alias("arrival")]
     lines = frames.select(F.to_json(F.struct(*body)).alias("value"))
-    marks = frames.select("camera").distinct().select(F.to_json(F.struct("camera", F.lit(1 << 40).alias("arrival"))).alias("value"))
+    marks = frames.select("camera").distinct().select(F.to_json(F.struct("camera", F.lit(1 << 60).alias("arrival"))).alias("value"))
     lines.unionByName(marks).write.text(f"{folder}/wire")
     return f"{folder}/wire"
 
@@ -100,7 +102,7 @@ def e1_live_statistic(spark, sf):
     """Messages of scrambled cameras through the live query to all counters of the statistic table."""
     folder = run_folder(spark, "live")
     wire = source.stream_wire(spark, _message_files(spark, sf, folder))
-    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, 4096, 0, {"availableNow": True}).awaitTermination()
+    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, CAPACITY, 0, {"availableNow": True}).awaitTermination()
     return stream_sink.read_statistic(spark, folder).select("dashcam_id", "store_date", "location", "frames", "keyframes", "total", *TYPES)
 
 
@@ -112,7 +114,7 @@ def sk6_live(spark, sf):
     """The manifest that the live query writes, with frames without objects not worth storing."""
     folder = run_folder(spark, "live")
     wire = source.stream_wire(spark, _message_files(spark, sf, folder))
-    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, 4096, 0, {"availableNow": True},
+    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, CAPACITY, 0, {"availableNow": True},
                     inputs.TMP_PREFIX, F.size("objs") > 0).awaitTermination()
     return stream_sink.read_manifest(spark, folder).select("action", "key")
 
