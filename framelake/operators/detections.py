@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from framelake.functions import boxes, text, vectors
 from framelake.functions.messages import object_class, object_name
+from framelake.session import stored
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -93,14 +96,79 @@ def _streamed(distinct: DataFrame, group: Sequence[str], threshold: float) -> Da
     return rows.mapInArrow(_kept_in_order(group, threshold), rows.schema)
 
 
+def _level(reach: Column) -> Column:
+    """Power of two of the smallest cell that is no narrower."""
+    return F.greatest(F.ceil(F.log2(reach)), F.lit(-30)).cast("int")
+
+
+def _cells(rows: DataFrame, level: Column, *keep: str) -> DataFrame:
+    """Cells (of the level, twice 2**level wide) that a box reaches into, four at most when it is no wider than the level."""
+    rows = rows.withColumn("level", level)
+    size = F.pow(F.lit(2.0), F.col("level") + 1)
+
+    def span(lo: str, hi: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(lo) / size).cast("long"), F.floor((F.col(hi) + 1) / size).cast("long")))
+    return rows.withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2")).select("level", "cx", "cy", *keep)
+
+
+def overlapping(rows: DataFrame, group: Sequence[str], threshold: float) -> DataFrame:
+    """(a, b): pairs of a group whose pixel IoU reaches the threshold, a before b in `place`. Boxes with no area overlap none.
+
+    IoU bounds the ratio of widths and heights, so a box meets boxes of its own size and of a few larger ones only, in the cells of these.
+    A pair is looked at in the one cell that holds the lower corner of its intersection.
+    """
+    reach = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) + 1
+    rows = rows.filter((F.col("x2") + 1 > F.col("x1")) & (F.col("y2") + 1 > F.col("y1"))).withColumn("own", _level(reach))
+    keep = [*group, "id", "place", *CORNERS, "own"]
+    up = math.ceil(math.log2(1 / threshold))
+    large = _cells(rows, F.col("own"), *keep)
+    small = _cells(rows.withColumn("up", F.explode(F.array(*[F.lit(i) for i in range(up + 1)]))), F.col("own") + F.col("up"), *keep)
+    l, r = ({c: F.col(f"{side}.{c}") for c in keep} for side in ("l", "r"))
+    pairs = large.alias("l").join(small.alias("r"), [*group, "level", "cx", "cy"])
+    size = F.pow(F.lit(2.0), F.col("level") + 1)
+    here = ((F.floor(F.greatest(l["x1"], r["x1"]) / size) == F.col("cx")) & (F.floor(F.greatest(l["y1"], r["y1"]) / size) == F.col("cy")))
+    once = (l["own"] > r["own"]) | (l["place"] < r["place"])
+    near = boxes.iou(tuple(l[c] for c in CORNERS), tuple(r[c] for c in CORNERS), "pixel") >= threshold
+    first = l["place"] < r["place"]
+    return pairs.filter(here & once & near).select(F.when(first, l["id"]).otherwise(r["id"]).alias("a"), F.when(first, r["id"]).otherwise(l["id"]).alias("b"))
+
+
+def _suppressed(edges: DataFrame) -> tuple[DataFrame, int]:
+    """Ids that greedy suppression drops, and the rounds it took. edges: (a, b), a is the better one of an overlapping pair.
+
+    A box that no undecided better one overlaps is kept, in all places at once, and drops what it overlaps; each round settles the best of
+    every neighbourhood, so their number follows the longest falling chain of overlaps, not the number of boxes.
+    """
+    out, rounds = None, 0
+    edges = stored(edges, "overlaps")
+    while not edges.isEmpty():
+        kept = edges.select(F.col("a").alias("id")).distinct().join(edges.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
+        lost = stored(edges.join(kept.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct(), "lost")
+        out = lost if out is None else out.unionByName(lost)
+        for end in "ab":
+            edges = edges.join(lost.withColumnRenamed("id", end), end, "left_anti")
+        edges = stored(edges, "overlaps")
+        rounds += 1
+    return (edges.select(F.col("a").alias("id")) if out is None else out), rounds
+
+
+def _settled(distinct: DataFrame, group: Sequence[str], threshold: float) -> DataFrame:
+    """Kept boxes of crowded groups: all groups at once, in rounds over pairs of overlapping boxes."""
+    place = F.struct((-F.col("_b._score")).alias("o1"), F.col("_b._tie").alias("o2"), *CORNERS)
+    rows = stored(distinct.withColumns({"id": F.monotonically_increasing_id(), "place": place}), "crowded")
+    lost, _ = _suppressed(overlapping(rows.select("id", "place", *group, *[F.col(c).cast("double").alias(c) for c in CORNERS]), group, threshold))
+    return rows.join(lost, "id", "left_anti").select(*group, *CORNERS, "_b")
+
+
 def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Sequence[str] = ("image_id",),
         score: str = "score", tie: str = "box_id", crowd: int | None = 1000) -> DataFrame:
     """Greedy suppression per image and class of corner boxes, highest score first, ties to the lower `tie`.
 
-    A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU); a box without a corner
+    A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU, above 0); a box without a corner
     overlaps none. Copies of one box always lose to the best of them, so they shrink to one row before the
-    shuffle. Groups of at most `crowd` boxes are gathered, larger ones stream through their task with the boxes kept
-    so far; the rows are the same. None gathers all, where the detector bounds the boxes of an image.
+    shuffle. Groups of at most `crowd` boxes are gathered, larger ones are settled in rounds over their overlapping pairs, by many tasks; the
+    rows are the same (but boxes with a corner that is no finite number go with a walk in one task). None gathers all, where the detector
+    bounds the boxes of an image.
     """
     group = [*image, "class_id"]
     sure = df.filter(F.col(score) >= conf)
@@ -110,9 +178,15 @@ def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Seq
     if crowd is None:
         kept = _greedy(distinct, group, iou_threshold)
     else:
-        sized = distinct.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
-        few, many = (sized.filter(c).drop("_n") for c in (F.col("_n") <= crowd, F.col("_n") > crowd))
-        kept = _greedy(few, group, iou_threshold).unionByName(_streamed(many, group, iou_threshold))
+        odd = reduce(lambda a, b: a | b, [F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf")) for c in CORNERS])
+        sizes = distinct.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.bool_or(odd), F.lit(False)).alias("_odd"))
+        many = stored(sizes.filter(F.col("_n") > crowd).drop("_n"), "crowds")
+        kinds = {r._odd for r in many.select("_odd").distinct().collect()}
+        few = distinct.join(many, group, "left_anti") if kinds else distinct
+        kept = _greedy(few, group, iou_threshold)
+        for is_odd, walk in ((True, _streamed), (False, _settled)):
+            if is_odd in kinds:
+                kept = kept.unionByName(walk(distinct.join(many.filter(F.col("_odd") == is_odd).drop("_odd"), group), group, iou_threshold))
     return kept.select(*group, *CORNERS, *[F.col("_b")[c].alias(c) for c in rest])
 
 

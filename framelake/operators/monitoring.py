@@ -35,11 +35,13 @@ def counter_rate(samples: DataFrame, series: Sequence[str], by: Sequence[str], w
     if step == length:
         total = panes.select(*by, ((F.col("_pane") + 1) * pane).alias("_end"), F.col("_sum").alias("_total"))
     else:
-        # Window ends that some pane lies in: after it, up to a window's length on.
+        # The windows' ends that a pane lies before, up to a window's length on; its own sum stands at its own end.
         first = (F.floor((F.col("_pane") * pane - length) / step) + 1) * step + length
-        ends = panes.select(*by, F.explode(F.sequence(first, F.col("_pane") * pane + length, F.lit(step))).alias("_end")).distinct()
-        places = panes.select(*by, ((F.col("_pane") + 1) * pane).alias("_end"), "_sum", F.lit(False).alias("_wanted")).unionByName(
-            ends.select(*by, "_end", F.lit(0.0).alias("_sum"), F.lit(True).alias("_wanted")))
+        ends = F.transform(F.sequence(first, F.col("_pane") * pane + length, F.lit(step)),
+                           lambda e: F.struct(e.alias("_end"), F.lit(0.0).alias("_sum"), F.lit(True).alias("_wanted")))
+        own = F.struct(((F.col("_pane") + 1) * pane).alias("_end"), F.col("_sum").alias("_sum"), F.lit(False).alias("_wanted"))
+        places = panes.select(*by, F.inline(F.concat(F.array(own), ends))).groupBy(*by, "_end").agg(
+            F.sum("_sum").alias("_sum"), F.bool_or("_wanted").alias("_wanted"))
         past = Window.partitionBy(*by).orderBy("_end").rangeBetween(pane - length, 0)
         total = places.withColumn("_total", F.sum("_sum").over(past)).filter("_wanted")
     return total.select(*by, F.timestamp_millis("_end").alias("window_end"), (F.col("_total") / (length / 1000)).alias("rate"))

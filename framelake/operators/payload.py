@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from framelake.functions import keys
 
-# Blue, green and red parts of a grey value.
-GREY = (0.114, 0.587, 0.299)
+# Red, green and blue parts of a grey value, in thousandths.
+GREY = (299, 587, 114)
 
 
 def encode_tensor(data: Column, dtype: str, shape: Column, prefix: str = "original") -> list[Column]:
@@ -30,27 +30,33 @@ def decode_tensor(df: DataFrame, prefix: str = "original") -> DataFrame:
         "intact", F.coalesce(F.octet_length("data") == size * items, F.lit(False)))
 
 
-def _profile(data: bytes, dtype: str, shape: Sequence[int]) -> tuple[float, float, float, int]:
-    """Grey mean, grey sums of the top and bottom ten rows, and degrees to turn the image."""
-    img = np.frombuffer(data, np.dtype(dtype)).reshape(shape).astype(np.uint8)
-    turn = 90 if img.shape[0] > img.shape[1] else 0
+def _profiles(images: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Grey mean, grey sums of the top and bottom ten rows, and degrees to turn of images of one size."""
+    turn = 90 if images.shape[1] > images.shape[2] else 0
     if turn:
-        img = np.rot90(img)
+        images = np.rot90(images, axes=(1, 2))
     # the channels arrive swapped, so the first one is weighted as red
-    grey = np.floor(img.astype(np.float64) @ np.array(GREY[::-1]) + 0.5)
-    top, bottom = float(grey[:10].sum()), float(grey[-10:].sum())
-    return float(grey.mean()), top, bottom, turn + (0 if top > bottom else 180)
+    grey = (images.astype(np.int64) @ np.array(GREY) + 500) // 1000
+    top, bottom = grey[:, :10].sum(axis=(1, 2)), grey[:, -10:].sum(axis=(1, 2))
+    return grey.mean(axis=(1, 2)), top.astype(float), bottom.astype(float), turn + np.where(top > bottom, 0, 180)
 
 
 def frame_profile(df: DataFrame, *keep: str, prefix: str = "original") -> DataFrame:
-    """Brightness and turning of each intact decoded frame; the images themselves are not rewritten."""
-    wanted = df.filter("intact").select(*keep, "data", f"{prefix}_dtype", f"{prefix}_shape")
+    """Brightness and turning of each intact decoded frame, frames of one size together; the images themselves are not rewritten."""
+    wanted = df.filter("intact").select(*keep, "data", F.col(f"{prefix}_dtype").alias("_dtype"), F.col(f"{prefix}_shape").alias("_shape"))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema if f.name in keep)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            found = [_profile(d, t, s) for d, t, s in zip(part["data"], part[f"{prefix}_dtype"], part[f"{prefix}_shape"])]
-            cols = pd.DataFrame(found, columns=["grey_mean", "top_sum", "bottom_sum", "turn"], index=part.index)
+            cols = pd.DataFrame({"grey_mean": 0.0, "top_sum": 0.0, "bottom_sum": 0.0, "turn": 0}, index=part.index)
+            sizes: dict[tuple, list[int]] = {}
+            for i, (kind, shape) in enumerate(zip(part["_dtype"], part["_shape"])):
+                sizes.setdefault((kind, tuple(shape)), []).append(i)
+            data = part["data"].tolist()
+            for (kind, shape), at in sizes.items():
+                images = np.frombuffer(b"".join(data[i] for i in at), np.dtype(kind)).reshape(len(at), *shape).astype(np.uint8)
+                for name, values in zip(cols.columns, _profiles(images)):
+                    cols.iloc[at, cols.columns.get_loc(name)] = values
             yield pd.concat([part[list(keep)], cols], axis=1)
 
     return wanted.mapInPandas(run, f"{kept}, grey_mean double, top_sum double, bottom_sum double, turn int")

@@ -327,15 +327,35 @@ def a8_frame_object_counts(spark, sf):
     return dashboards.object_counts_long(keyframes.prepare_value(inputs.frames(spark, sf)), "event_id")
 
 
-def _tracks(spark, sf):
+def _followed(spark, sf):
     """Each camera's frames in dense order; a video is twenty frames, its boxes move with the frame number."""
     frames = inputs.frames(spark, sf).select("camera", "event_id", "objs")
     dense = ordered.number_rows(frames, ["camera"], ["event_id"], "frame_num")
     dets = detections.detections_long(dense, "camera", "frame_num")
     drift = F.pmod("frame_num", F.lit(20)) * 2
     place = {"x1": 40 * F.col("class_id") + drift, "y1": 30.0 * F.col("pos"), "x2": 40 * F.col("class_id") + drift + 30, "y2": 30.0 * F.col("pos") + 25}
-    dets = dets.withColumns({"video_id": F.floor(F.col("frame_num") / 20).cast("long"), "det_id": F.col("pos"), **{k: v.cast("double") for k, v in place.items()}})
-    return tracking.track(dets)
+    return dets.withColumns({"video_id": F.floor(F.col("frame_num") / 20).cast("long"), "det_id": F.col("pos"), **{k: v.cast("double") for k, v in place.items()}})
+
+
+def _tracks(spark, sf):
+    return tracking.track(_followed(spark, sf))
+
+
+#: Boxes of one place and class are one object, far from the others; it is lost after two frames without it, and shown when seen in three
+#: frames running after its first (or in the first three frames).
+_ISLANDS = """
+WITH dense AS (SELECT * EXCLUDE (frame_num), row_number() OVER (PARTITION BY camera ORDER BY event_id) - 1 AS frame_num FROM frames_v),
+dets AS (SELECT d.camera, d.frame_num // 20 AS video_id, d.frame_num, o.pos, o.class_id FROM dense d JOIN objects_v o USING (event_id)),
+seen AS (SELECT *, frame_num - lag(frame_num) OVER o AS gap, frame_num - min(frame_num) OVER (PARTITION BY camera, video_id) + 1 AS frame_count
+  FROM dets WINDOW o AS (PARTITION BY camera, video_id, pos, class_id ORDER BY frame_num)),
+islands AS (SELECT *, sum((gap IS NULL OR gap > 2)::INT) OVER o AS island, sum((gap IS NULL OR gap > 1)::INT) OVER o AS run FROM seen
+  WINDOW o AS (PARTITION BY camera, video_id, pos, class_id ORDER BY frame_num)),
+streaks AS (SELECT *, row_number() OVER (PARTITION BY camera, video_id, pos, class_id, run ORDER BY frame_num)
+    - (min(frame_num) OVER (PARTITION BY camera, video_id, pos, class_id, run) = min(frame_num) OVER (PARTITION BY camera, video_id, pos, class_id, island))::INT AS streak,
+  min(frame_num) OVER (PARTITION BY camera, video_id, pos, class_id, island) AS born FROM islands),
+tracks AS (SELECT *, dense_rank() OVER (PARTITION BY camera, video_id ORDER BY born, pos, class_id) AS track_id FROM streaks),
+shown AS (SELECT camera, video_id, frame_num, track_id, CAST(class_id AS INTEGER) AS class_id FROM tracks WHERE streak >= 3 OR frame_count <= 3)
+"""
 
 
 @query("d9_track")
@@ -343,7 +363,15 @@ def d9_track(spark, sf):
     return _tracks(spark, sf).select("camera", "video_id", "frame_num", "track_id", "class_id", *[_r(F.col(c), c, 4) for c in detections.CORNERS])
 
 
-@query("a11_track_summary")
+@query("d9_track_numbers", _ISLANDS + "SELECT * FROM shown")
+def d9_track_numbers(spark, sf):
+    """Which object has which track in which frame."""
+    return _tracks(spark, sf).select("camera", "video_id", "frame_num", "track_id", "class_id")
+
+
+@query("a11_track_summary", _ISLANDS + """
+SELECT camera, count(DISTINCT (video_id, frame_num)) AS frames, count(DISTINCT (video_id, track_id)) AS tracks,
+  count(*) / count(DISTINCT (video_id, track_id)) AS mean_length FROM shown GROUP BY camera""")
 def a11_track_summary(spark, sf):
     return tracking.track_summary(_tracks(spark, sf))
 
@@ -417,7 +445,13 @@ def _page_messages(spark, sf):
         (F.lit(1704067200000) + F.col("page_id") * 1000).alias("timestamp"), F.lit("CA").alias("location"))
 
 
-@query("p16_frame_profile")
+@query("p16_frame_profile", """
+WITH t AS (SELECT doc_id, encode(text) AS b FROM documents WHERE octet_length(encode(text)) > 0),
+d AS (SELECT doc_id, rpad(hex(b), CAST(ceil(octet_length(b) / 24) * 48 AS INTEGER), '20') AS h, CAST(ceil(octet_length(b) / 24) AS INTEGER) AS rows FROM t),
+p AS (SELECT doc_id, rows, unnest(regexp_extract_all(h, '.{6}')) AS x FROM d),
+g AS (SELECT doc_id, rows, (299 * ('0x' || x[1:2])::INT + 587 * ('0x' || x[3:4])::INT + 114 * ('0x' || x[5:6])::INT + 500) // 1000 AS grey FROM p)
+SELECT doc_id, avg(grey) AS grey_mean, CAST(sum(grey) AS DOUBLE) AS top_sum, CAST(sum(grey) AS DOUBLE) AS bottom_sum,
+  CASE WHEN any_value(rows) > 8 THEN 270 ELSE 180 END AS turn FROM g GROUP BY doc_id""")
 def p16_frame_profile(spark, sf):
     """Texts of documents as three-channel frames eight pixels wide, padded to full rows."""
     size = F.octet_length("text")

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from framelake.functions import messages
 from framelake.operators import keyframes
-from framelake.plans import inputs, live
+from framelake.plans import box_queries, inputs, live
 from framelake.plans.catalog import query
 from framelake.plans.views import TYPES
-from framelake.session import scratch_dir
+from framelake.session import scratch_dir, stored
 from framelake.sinks import stream as stream_sink
 from framelake.sources import messages as source
-from framelake.streaming import reorder, windows
+from framelake.streaming import reorder, tracks, windows
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,6 +78,22 @@ def st2_stream_keyframes(spark, sf):
     return finished(reorder.stream_keyframes(rows, capacity=CAPACITY, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
+@query("d9_stream", box_queries._ISLANDS + "SELECT *, false AS late FROM shown")
+def d9_stream(spark, sf):
+    """Tracks of boxes that arrive scrambled, by a stream that is stopped half-way and started again."""
+    folder = run_folder(spark, "tracks")
+    dets = stored(box_queries._followed(spark, sf), "boxes").withColumn(
+        "arrival", F.col("frame_num") % 20 + F.pmod(F.xxhash64("camera", "frame_num", "det_id"), F.lit(6)))
+    marks = dets.select("camera", "video_id").distinct()
+    for half in range(2):
+        part = dets.filter((F.col("arrival") >= 11) == bool(half)).drop("arrival")
+        part = part if half == 0 else part.unionByName(marks, allowMissingColumns=True)
+        part.write.mode("append").parquet(f"{folder}/boxes")
+        stream = tracks.stream_tracks(spark.readStream.schema(part.schema).parquet(f"{folder}/boxes"), idle_ms=0)
+        out = finished(stream, folder)
+    return out.select("camera", "video_id", "frame_num", "track_id", "class_id", "late")
+
+
 def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
     """Frames as lines of JSON in scrambled order with their numbers of arrival, and an end mark for every camera."""
     frames = inputs.frames(spark, sf)

@@ -262,3 +262,62 @@ def test_stretches_are_tracked_alike(spark):
     a = ids((r.camera, r.sequence, r.track_id) for r in sorted(got, key=lambda r: (r.camera, r.frame_num, r.track_id)))
     b = ids((w[0], w[6]) for w in sorted(want, key=lambda w: (w[0], w[1], w[6])))
     assert len(a) == len(b)
+
+
+def plain_nms(rows, threshold):
+    """Kept box ids of each group, one box after the other. rows: (image, class, box id, score, x1, y1, x2, y2)."""
+    kept = {}
+    for r in sorted(rows, key=lambda r: (-r[3], r[2])):
+        own = kept.setdefault(r[:2], [])
+        if None in r[4:]:
+            own.append(r)
+            continue
+
+        def iou(k):
+            if None in k[4:]:
+                return 0.0
+            w, h = max(min(k[6], r[6]) - max(k[4], r[4]) + 1, 0), max(min(k[7], r[7]) - max(k[5], r[5]) + 1, 0)
+            area = sum((b[6] - b[4] + 1) * (b[7] - b[5] + 1) for b in (k, r))
+            return w * h / (area - w * h + 1e-16)
+        if all(iou(k) < threshold for k in own):
+            own.append(r)
+    return sorted((*g, r[2]) for g, rs in kept.items() for r in rs)
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.4, 0.7])
+def test_crowds_are_settled_in_rounds(spark, threshold):
+    rng, rows = random.Random(int(threshold * 10)), []
+    for i in range(1500):
+        image = 0 if i % 3 else i % 7  # one group with most of the boxes
+        x, y, size = rng.uniform(-200, 300), rng.uniform(0, 200), rng.choice([0.2, 3, 20, 90])
+        w, h = size * rng.uniform(0.7, 1.4), size * rng.uniform(0.7, 1.4)
+        x1 = None if i % 50 == 0 else x
+        rows.append((image, i % 2, i, rng.randrange(60) / 60, x1, y, x - 5.0 if i % 40 == 1 else x + w, y + h))
+    schema = "image_id long, class_id int, box_id long, score double, x1 double, y1 double, x2 double, y2 double"
+    df = spark.createDataFrame(rows, schema)
+    want = plain_nms(rows, threshold)
+    for crowd in (0, 30, None):
+        got = detections.nms(df, 0.0, threshold, crowd=crowd).select("image_id", "class_id", "box_id")
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_rounds_follow_chains_not_boxes(spark):
+    # a row of boxes, each overlapping the next; scores fall from the left, so the second round needs the first
+    def edges(scores):
+        rows = [(i, 0, (-s, i), 10.0 * i, 0.0, 10.0 * i + 18, 9.0) for i, s in enumerate(scores)]
+        df = spark.createDataFrame(rows, "id long, g int, place struct<o1:double,o2:long>, x1 double, y1 double, x2 double, y2 double")
+        return detections.overlapping(df, ["g"], 0.25)
+    rng = random.Random(1)
+    lost, rounds = detections._suppressed(edges([rng.random() for _ in range(400)]))
+    assert 0 < lost.count() < 400 and rounds < 12
+    lost, rounds = detections._suppressed(edges([1 - i / 20 for i in range(20)]))
+    assert sorted(r.id for r in lost.collect()) == list(range(1, 20, 2)) and rounds == 10
+    assert edges([1.0] * 50).count() == 49
+
+
+def test_crowded_groups_are_no_single_task(spark):
+    rows = spark.range(3000).selectExpr("0L as image_id", "cast(0 as int) as class_id", "id as box_id", "0.5 + id % 50 / 100 as score",
+                                        "cast(id * 3 % 1999 as double) as x1", "cast(id * 7 % 1999 as double) as y1",
+                                        "cast(id * 3 % 1999 + 12 as double) as x2", "cast(id * 7 % 1999 + 12 as double) as y2")
+    plan = detections.nms(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Window" not in plan

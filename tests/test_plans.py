@@ -40,3 +40,10 @@ def test_filters_reach_the_scan(spark):
 @pytest.mark.parametrize("name", ["f3_diversity_select", "f3_diversity_by_location", "p25_annotation_labels"])
 def test_ranks_are_limited_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .*Partial", plan(spark, name))
+
+
+def test_a_sample_of_sliding_rates_counts_once(spark):
+    text = plan(spark, "st6_counter_rate_sliding")
+    panes = text.index("partial_sum(increase")
+    assert "Expand" not in text and text.count("partial_sum(increase") == 1
+    assert text.index("Generate") < panes and "Generate" not in text[panes:]

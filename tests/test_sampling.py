@@ -93,7 +93,7 @@ def test_locate(spark):
     regions = spark.createDataFrame(REGIONS, "region string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
     pts = [(3.0, 3.0), (2.0, 2.0), (4.0, 4.0), (10.0, 5.0), (0.0, 0.0), (-1.0, 20.0), (-5.0, 20.0), (None, 1.0), (1.0, None)]
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i int, lat double, lon double")
-    got = [r.location for r in locate.locate(df, regions, 1.0).orderBy("i").collect()]
+    got = [r.location for r in locate.locate(df, regions).orderBy("i").collect()]
     assert got == ["small", "small", "big", "Oversea", "big", "Oversea", "far", "Unknown", "Unknown"]
 
 
@@ -103,3 +103,19 @@ def test_attach_location(spark):
     side = spark.createDataFrame([("x", 3.0, 3.0)], "stem string, lat double, lon double")
     got = {r.url[-5:]: r.location for r in locate.attach_location(videos, side, regions).collect()}
     assert got == {"y.mov": "small", "z.mov": "Unknown"}
+
+
+def test_regions_have_few_cells(spark):
+    rng, rows = random.Random(3), []
+    for i in range(300):
+        lat, lon, w, h = rng.uniform(-90, 80), rng.uniform(-180, 170), 10 ** rng.uniform(-4, 2), 10 ** rng.uniform(-4, 2)
+        rows.append((f"r{i:03d}", lat, lat + h, lon, lon + w))
+    rows += [("all", -90.0, 90.0, -180.0, 180.0), ("none", 5.0, 5.0, 5.0, 5.0), ("turned", 9.0, 8.0, 9.0, 8.0)]
+    regions = spark.createDataFrame(rows, "region string, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
+    cells = locate.region_cells(regions).selectExpr("explode(_regions.region) as region").groupBy("region").count()
+    assert all(r["count"] <= (9 if r.region == "all" else 4) for r in cells.collect())
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(500)] + [(1000 + i, r[1], r[3]) for i, r in enumerate(rows)]
+    got = {r.i: r.location for r in locate.locate(spark.createDataFrame(points, "i long, lat double, lon double"), regions).collect()}
+    for i, lat, lon in points:
+        around = [((r[2] - r[1]) * (r[4] - r[3]), r[0]) for r in rows if r[1] <= lat < r[2] and r[3] <= lon < r[4]]
+        assert got[i] == (min(around)[1] if around else "Oversea")

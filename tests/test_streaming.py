@@ -203,3 +203,46 @@ def test_idle_camera_is_flushed(spark, tmp_path):
         query.stop()
     assert query.exception() is None
     assert sorted((r.camera, r.frame_num) for r in got) == sorted(r[:2] for r in rows)
+
+
+BOXES = "camera long, video_id long, frame_num long, det_id long, class_id int, x1 double, y1 double, x2 double, y2 double"
+
+
+def walking(seed, videos=3, n=60):
+    """Boxes that walk, cross, vanish for a while and end."""
+    rng, rows = random.Random(seed), []
+    for v in range(videos):
+        for o in range(6):
+            x, y, dx, dy = rng.uniform(0, 60), rng.uniform(0, 60), rng.uniform(-2, 2), rng.uniform(-2, 2)
+            born, gone = rng.randrange(n // 2), rng.randrange(n // 2, n)
+            for f in range(born, gone):
+                if rng.random() > 0.15 and not 20 <= f < 26:
+                    px, py = x + dx * f + rng.gauss(0, .3), y + dy * f + rng.gauss(0, .3)
+                    rows.append((1, v, f, o, o % 2, px, py, px + 20, py + 25))
+    return rows
+
+
+def test_tracks_on_a_stream_equal_batch_over_restarts(spark, tmp_path):
+    from framelake.operators import tracking
+    from framelake.streaming import tracks
+    rows, rng = walking(5), random.Random(6)
+    want = sorted(map(tuple, tracking.track(spark.createDataFrame(rows, BOXES)).collect()))
+    sent = sorted(rows, key=lambda r: r[2] + rng.random() * 6)
+    third = -(-len(sent) // 3)
+    for i in range(3):
+        part = sent[i * third:(i + 1) * third] + [(1, v, *[None] * 7) for v in range(3)] * (i == 2)
+        spark.createDataFrame(part, BOXES).write.mode("append").parquet(f"{tmp_path}/in")
+        out = run(tracks.stream_tracks(spark.readStream.schema(BOXES).parquet(f"{tmp_path}/in"), idle_ms=0), tmp_path)
+        assert i == 2 or out.count() < len(want)
+    assert not out.filter("late").count() and len(want) > 200
+    assert sorted(map(tuple, out.drop("late").collect())) == want
+
+
+def test_boxes_of_frames_that_are_done_come_out_late(spark, tmp_path):
+    from framelake.streaming import tracks
+    box = (0, 1, 0.0, 0.0, 9.0, 9.0)
+    for part in ([(1, 1, f, *box) for f in range(10)], [(1, 1, 3, *box), (1, 1, 12, *box)]):
+        spark.createDataFrame(part, BOXES).write.mode("append").parquet(f"{tmp_path}/in")
+        out = run(tracks.stream_tracks(spark.readStream.schema(BOXES).parquet(f"{tmp_path}/in"), lag=2, idle_ms=0), tmp_path)
+    assert [(r.frame_num, r.track_id) for r in out.filter("late").collect()] == [(3, None)]
+    assert sorted(r.frame_num for r in out.filter("not late").collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]
