@@ -18,6 +18,19 @@ def coverage(statistic: DataFrame) -> DataFrame:
                          distinct("store_date").cast("long").alias("dates"))
 
 
+def daily_sketches(frames: DataFrame, *columns: str, day: str = "store_date", lg_k: int = 14) -> DataFrame:
+    """A sketch of the distinct values of each column, for every day. A null counts as one value."""
+    def sketch(c: str) -> Column:
+        return F.hll_sketch_agg(F.coalesce(F.col(c).cast("string"), F.lit("\0")), lg_k).alias(c)
+    return frames.groupBy(day).agg(*[sketch(c) for c in columns])
+
+
+def merged_coverage(sketches: DataFrame, *columns: str, by: str | None = None) -> DataFrame:
+    """About how many distinct values the days have together, from their sketches alone; with `by`, for each of its values."""
+    grouped = sketches.groupBy(by) if by else sketches
+    return grouped.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+
+
 def cameras_by_location(statistic: DataFrame) -> DataFrame:
     """Statistic rows with a camera per known place."""
     return (statistic.filter(F.col("location").isNotNull()).groupBy("location")

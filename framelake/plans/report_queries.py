@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from framelake.functions import keys
@@ -10,6 +12,7 @@ from framelake.plans import inputs
 from framelake.plans.catalog import query
 from framelake.plans.frame_queries import a1_scene_statistic
 from framelake.plans.views import TYPES
+from framelake.session import scratch_dir, stored
 from framelake.sources import files
 
 
@@ -148,6 +151,21 @@ def a3_coverage(spark, sf):
     return dashboards.coverage(a1_scene_statistic(spark, sf))
 
 
+@query("a3_coverage_sketches", """
+WITH d AS (SELECT store_date[1:6] AS month, count(DISTINCT camera) AS cameras, count(DISTINCT location) AS locations FROM frames_v GROUP BY 1)
+SELECT month, cameras // 10 AS cameras_tens, locations, true AS cameras_close FROM d""")
+def a3_coverage_sketches(spark, sf):
+    """Monthly coverage rolled up from stored daily sketches, beside the exact one: within two per cent."""
+    frames = inputs.frames(spark, sf).withColumn("store_date", keys.store_date(F.col("timestamp")))
+    days = stored(dashboards.daily_sketches(frames, "camera", "location"), "sketches")
+    month = F.substring("store_date", 1, 6)
+    about = dashboards.merged_coverage(days.withColumn("month", month), "camera", "location", by="month")
+    exact = frames.groupBy(month.alias("month")).agg(F.count_distinct("camera").alias("cameras"))
+    close = F.abs(F.col("camera") - F.col("cameras")) <= F.ceil(0.02 * F.col("cameras"))
+    return about.join(exact, "month").select("month", F.floor(F.col("cameras") / 10).cast("long").alias("cameras_tens"),
+                                             F.col("location").cast("long").alias("locations"), close.alias("cameras_close"))
+
+
 @query("a4_cameras_by_location", "SELECT location, count(dashcam_id) AS cameras FROM statistic_v GROUP BY location")
 def a4_cameras_by_location(spark, sf):
     return dashboards.cameras_by_location(a1_scene_statistic(spark, sf))
@@ -310,3 +328,17 @@ def st8_gauge_sum(spark, sf):
 @query("st8_label_values", "SELECT DISTINCT part FROM counters_v WHERE topic = 'click'")
 def st8_label_values(spark, sf):
     return monitoring.label_values(inputs.counters(spark, sf), "part", topic="click")
+
+
+@query("s3_list_objects", """
+SELECT CAST(page_id % 12 AS VARCHAR) AS folder, CAST(sum(octet_length(encode(url)) + 1) AS BIGINT) AS n_bytes, true AS linked FROM pages GROUP BY 1""")
+def s3_list_objects(spark, sf):
+    """Bytes below each folder of a tree of two levels that the pages were written to."""
+    path = f"{scratch_dir(spark)}/tree-{uuid.uuid4().hex}"
+    n = F.col("page_id")
+    pages = inputs.table(spark, sf, "pages").select("url", F.pmod(n, F.lit(3)).alias("a"), F.pmod(n, F.lit(12)).alias("b"))
+    pages.write.partitionBy("a", "b").text(path)
+    listed = files.list_tree(spark, path, inputs.URL_PREFIX)
+    folder = F.regexp_extract("key", "^a=[0-9]+/b=([0-9]+)/[^/]+$", 1).alias("folder")
+    linked = F.bool_and(F.col("url") == F.concat(F.lit(inputs.URL_PREFIX), F.col("key"))).alias("linked")
+    return listed.groupBy(folder).agg(F.sum("size").alias("n_bytes"), linked)

@@ -78,6 +78,19 @@ def st2_stream_keyframes(spark, sf):
     return finished(reorder.stream_keyframes(rows, capacity=CAPACITY, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
+@query("w2_stream", """
+WITH s AS (SELECT f.camera, f.event_id, f.ts_ms, f.ts_ms // 3600000 AS batch,
+    coalesce(string_agg(concat_ws(':', o.class_id, o.score, o.x1, o.y1, o.x2, o.y2), ',' ORDER BY o.pos), '') AS sig
+  FROM frames_v f LEFT JOIN objects_v o ON o.event_id = f.event_id GROUP BY ALL),
+p AS (SELECT *, lead(sig) OVER (PARTITION BY camera ORDER BY event_id) AS nxt, lead(batch) OVER (PARTITION BY camera ORDER BY event_id) AS next_batch FROM s)
+SELECT camera, event_id AS frame_num, sig <> nxt AS is_keyframe FROM p WHERE batch = next_batch""")
+def w2_stream(spark, sf):
+    """Pair differences of cameras whose frames arrive in scrambled order."""
+    folder = run_folder(spark, "pairs")
+    rows = _arrivals(spark, sf, folder, "timestamp", "objs")
+    return finished(reorder.stream_pair_diff(rows, batch_seconds=3600, capacity=CAPACITY, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
+
+
 @query("d9_stream", box_queries._ISLANDS + "SELECT *, false AS late FROM shown")
 def d9_stream(spark, sf):
     """Tracks of boxes that arrive scrambled, by a stream that is stopped half-way and started again."""
@@ -156,6 +169,17 @@ def st4_rolling_statistic(spark, sf):
     return _with_millis(windows.rolling_statistic(_marked(spark, sf)))
 
 
+@query("st4_stream", _ROLLING.format(by="store_date, location", f="f"))
+def st4_stream(spark, sf):
+    """All periods of a stream, those open at its end by the final flush."""
+    folder = run_folder(spark, "periods")
+    stored(_marked(spark, sf).select("camera", "timestamp", "location", "scenes", "is_keyframe"), "marked").write.parquet(f"{folder}/in")
+    schema = spark.read.parquet(f"{folder}/in").schema
+    marks = inputs.frames(spark, sf).select("camera").distinct()
+    marks.select("camera", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != "camera"]).write.mode("append").parquet(f"{folder}/in")
+    return _with_millis(finished(windows.flushed_statistic(spark.readStream.schema(schema).parquet(f"{folder}/in")), folder))
+
+
 @query("st4_rolling_statistic_flush", _ROLLING.replace("ts_ms // 10000 * 10000 AS period_ms FROM keyframes_v k)", """period_ms FROM
   (SELECT k.* EXCLUDE (store_date, location), ts_ms // 86400000 * 86400000 AS period_ms,
      last_value(store_date) OVER w AS store_date, last_value(location) OVER w AS location FROM keyframes_v k
@@ -201,3 +225,19 @@ def sk3_sink_stream_frames(spark, sf):
     stream_sink.sink_stream(values, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX,
                             {"availableNow": True}).awaitTermination()
     return stream_sink.read_frames(spark, folder).select("dashcam_id", "store_date", F.unix_millis("store_time").alias("store_ms"), "location")
+
+
+@query("sk3_snapshot", """
+SELECT 'dashcam_' || camera AS dashcam_id, store_date, location, count(*) AS frames, false AS shows_failed FROM frames_v WHERE event_id % 3 < 2 GROUP BY ALL""")
+def sk3_snapshot(spark, sf):
+    """The tables as of the second of three batches, and after a batch that failed between two tables."""
+    values = keyframes.prepare_value(inputs.frames(spark, sf))
+    folder = run_folder(spark, "sink")
+    writer = stream_sink.write_batch(folder, inputs.STORE_PREFIX, inputs.URL_PREFIX)
+    for batch in range(3):
+        writer(values.filter(F.pmod("event_id", F.lit(3)) == batch), batch)
+    values.limit(5).select(F.lit("dashcam_x").alias("dashcam_id")).write.parquet(f"{folder}/statistic/batch_id=9")
+    failed = stream_sink.read_statistic(spark, folder).filter("dashcam_id = 'dashcam_x'").select(F.lit(True).alias("shows_failed")).limit(1)
+    rows = stream_sink.read_statistic(spark, folder, upto=1).select("dashcam_id", "store_date", "location", "frames")
+    shown = rows.withColumn("_k", F.lit(1)).join(failed.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    return shown.withColumn("shows_failed", F.coalesce("shows_failed", F.lit(False)))

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake import schemas
+from framelake.session import stored
 
 
 def list_objects(spark: SparkSession, prefix: str, url_prefix: str = "") -> DataFrame:
@@ -19,6 +23,39 @@ def list_objects(spark: SparkSession, prefix: str, url_prefix: str = "") -> Data
             .filter(F.length("key") > 0).withColumn("url", F.concat(F.lit(url_prefix), "key")))
 
 
+def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies directly in each folder."""
+    for batch in batches:
+        for folder in batch.column("path").to_pylist():
+            scheme = m[0] if (m := re.match("[A-Za-z][A-Za-z0-9+.-]*://", folder)) and m[0] != "file://" else ""
+            store, place = fs.FileSystem.from_uri(folder) if scheme else (fs.LocalFileSystem(), re.sub("^file:(//)?", "", folder))
+            found = [f for f in store.get_file_info(fs.FileSelector(place, allow_not_found=True)) if not f.base_name.startswith(("_", "."))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([scheme + f.path for f in found], pa.string()), pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
+                pa.array([f.size or 0 for f in found], pa.int64()), pa.array([f.mtime for f in found], pa.timestamp("us", "UTC"))],
+                ["path", "is_folder", "size", "modified"])
+
+
+def list_tree(spark: SparkSession, prefix: str, url_prefix: str = "", partitions: int | None = None) -> DataFrame:
+    """`list_objects` for large trees: folders are dealt to tasks level by level, so the driver lists nothing.
+
+    For stores that Arrow's file systems reach from the executors. Names that begin with `_` or `.` are hidden, as in Spark's readers; a prefix that
+    doesn't exist has no objects.
+    """
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = re.sub("^file:(//)?", "", prefix).rstrip("/")
+    folders, found = spark.createDataFrame([(prefix,)], "path string"), None
+    while True:
+        level = stored(folders.repartition(partitions).mapInArrow(_children, "path string, is_folder boolean, size long, modified timestamp"), "listing")
+        files = level.filter("not is_folder")
+        found = files if found is None else found.unionByName(files)
+        folders = level.filter("is_folder").select("path")
+        if folders.isEmpty():
+            break
+    key = F.substring("path", len(root) + 2, 1 << 30)
+    return found.select(key.alias("key"), "size", "modified").withColumn("url", F.concat(F.lit(url_prefix), "key"))
+
+
 def taxonomy_lines(lines: DataFrame, line_no: str = "line_no", value: str = "value") -> DataFrame:
     """Lines `type raw raw ...` as (raw_scene, scene_type); a later line wins."""
     words = F.split(F.trim(F.col(value)), " ")

@@ -97,6 +97,33 @@ class BoundedOrder(StatefulProcessor):
         pass
 
 
+class ForwardPairs(BoundedOrder):
+    """Holds the newest frame back until its successor comes; a new batch of the clock, or the end, lets it go without a row."""
+
+    def __init__(self, schema: T.StructType, keys: Sequence[str], capacity: int, idle_ms: int, batch_ms: int | None):
+        super().__init__(schema, keys, capacity, idle_ms, None)
+        self.batch_ms = batch_ms
+        self.time, self.value = schema.names.index("timestamp"), schema.names.index("signature")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.newest = handle.getValueState("newest", self.schema)
+
+    def _emit(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if not rows:
+            return
+        before = tuple(self.newest.get()) if self.newest.exists() else None
+        out = []
+        for row in rows:
+            same = before is not None and (not self.batch_ms or before[self.time] // self.batch_ms == row[self.time] // self.batch_ms)
+            if same:
+                out.append((*before, before[self.value] != row[self.value]))
+            before = row
+        self.newest.update(before)
+        if out:
+            yield pd.DataFrame(out, columns=[*self.names, "is_keyframe"])
+
+
 def _plain(value, whole: bool):
     """Arrow values as the plain lists and numbers the state takes; whole numbers beside nulls arrive as floats."""
     if value is None:
@@ -131,3 +158,17 @@ def stream_keyframes(stream: DataFrame, keys: Sequence[str] = ("camera",), capac
     if "classes" not in stream.columns:
         stream = stream.withColumn("classes", messages.class_list(F.col("objs"))).drop("objs")
     return _ordered(stream, keys, capacity, idle_ms, "classes")
+
+
+def stream_pair_diff(stream: DataFrame, keys: Sequence[str] = ("camera",), batch_seconds: int | None = 60, capacity: int = 128,
+                     idle_ms: int = 30_000) -> DataFrame:
+    """`keyframes.pair_diff_keyframes` on a stream: the earlier frame of every adjacent pair of a batch, once the later one is in order.
+
+    `stream` has `frame_num`, `timestamp`, `arrival` and `objs`; the state holds the objects as text. For `capacity` and `idle_ms` see `reorder`.
+    """
+    use_rocksdb(stream.sparkSession)
+    rows = stream.withColumn("signature", F.coalesce(F.to_json("objs"), F.lit(""))).drop("objs")
+    out = T.StructType([*rows.schema.fields, T.StructField("is_keyframe", T.BooleanType())])
+    processor = ForwardPairs(rows.schema, keys, capacity, idle_ms, batch_seconds and batch_seconds * 1000)
+    paired = rows.groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "ProcessingTime" if idle_ms else "None")
+    return paired.drop("signature")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from framelake.functions import keys
 from framelake.operators import statistic
+from framelake.session import use_rocksdb
 
 
 def _timed(df: DataFrame, delay: str) -> DataFrame:
@@ -42,6 +47,72 @@ def rolling_statistic(stream: DataFrame, period: str = "10 seconds", delay: str
                           F.col("w.start").alias("period_start"), *statistic.COUNTERS)
 
 
+_OPEN = T.StructType([T.StructField("period_ms", T.LongType()), T.StructField("store_date", T.StringType()), T.StructField("location", T.StringType()),
+                      T.StructField("counts", T.ArrayType(T.LongType()))])
+
+
+class OpenPeriods(StatefulProcessor):
+    """Counters of a camera's open periods. A period closes when the camera's newest frame is `delay_ms` past its end, or at the end mark."""
+
+    def __init__(self, period_ms: int, delay_ms: int):
+        self.period_ms, self.delay_ms = period_ms, delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getListState("open", _OPEN)
+        self.newest = handle.getValueState("newest", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = {tuple(r)[:3]: list(r[3]) for r in self.open.get()} if self.open.exists() else {}
+        newest, ended = self.newest.get()[0] if self.newest.exists() else None, False
+        names = statistic.COUNTERS
+        for part in rows:
+            ended |= bool(part["timestamp"].isna().any())
+            part = part[part["timestamp"].notna()]
+            if not len(part):
+                continue
+            last = int(part["timestamp"].max())
+            newest = last if newest is None else max(newest, last)
+            places = [part["timestamp"].astype("int64") // self.period_ms * self.period_ms, part["store_date"], part["location"]]
+            sums = part[names].groupby(places, dropna=False).sum()
+            for place, counts in zip(sums.index, sums.to_numpy().tolist()):
+                place = (int(place[0]), *(None if pd.isna(v) else v for v in place[1:]))
+                old = held.get(place, [0] * len(names))
+                held[place] = [a + int(b) for a, b in zip(old, counts)]
+        done = [p for p in held if ended or p[0] + self.period_ms + self.delay_ms <= newest]
+        out = [(key[0], *p, *held.pop(p)) for p in done]
+        if held:
+            self.open.put([(*p, c) for p, c in held.items()])
+        else:
+            self.open.clear()
+        if newest is not None:
+            self.newest.update((newest,))
+        if out:
+            yield pd.DataFrame(out, columns=["camera", "period_ms", "store_date", "location", *names])
+
+    def close(self) -> None:
+        pass
+
+
+def flushed_statistic(stream: DataFrame, period_seconds: int = 10, delay_seconds: int = 120) -> DataFrame:
+    """`rolling_statistic` of a stream, with a final flush: a row without a timestamp ends its camera and closes all its periods.
+
+    Time is that of the camera, so one that lags behind closes nothing early. A frame more than the delay late opens its
+    period again: its row adds to the one before.
+    """
+    use_rocksdb(stream.sparkSession)
+    scenes = F.coalesce("scenes", F.expr("cast(array() as array<string>)"))
+    flags = {t: F.array_contains(scenes, t).cast("long") for t in statistic.COUNTERS if t not in ("total", "keyframes", "frames")}
+    counts = {**flags, "total": F.size(scenes).cast("long"), "keyframes": F.coalesce(F.col("is_keyframe").cast("long"), F.lit(0).cast("long")),
+              "frames": F.lit(1).cast("long")}
+    rows = stream.select("camera", "timestamp", keys.store_date(F.col("timestamp")).alias("store_date"), "location",
+                         *[counts[c].alias(c) for c in statistic.COUNTERS])
+    out = T.StructType([rows.schema["camera"], T.StructField("period_ms", T.LongType()), T.StructField("store_date", T.StringType()),
+                        T.StructField("location", T.StringType()), *[T.StructField(c, T.LongType()) for c in statistic.COUNTERS]])
+    closed = rows.groupBy("camera").transformWithStateInPandas(OpenPeriods(period_seconds * 1000, delay_seconds * 1000), out, "Append", "None")
+    return closed.select(keys.dashcam_id(F.col("camera")).alias("dashcam_id"), "store_date", "location",
+                         F.timestamp_millis("period_ms").alias("period_start"), *statistic.COUNTERS)
+
+
 def microbatch_counts(stream: DataFrame, name: str = "frames") -> DataFrame:
     """The stream with its number of frames per micro-batch observed under `name`."""
     return stream.observe(name, F.count(F.lit(1)).alias("n"))

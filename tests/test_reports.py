@@ -79,3 +79,12 @@ def test_latencies(spark):
 def test_date_spine(spark):
     got = [r.store_date for r in dashboards.date_spine(spark, "2019-03-02").collect()]
     assert got[0] == "20190223" and got[-1] == "20190302" and len(got) == 8
+
+
+def test_sketches_of_days_merge_to_the_sketch_of_all(spark):
+    rows = spark.range(30_000).selectExpr("id % 9000 as camera", "if(id % 100 = 0, null, cast(id % 37 as string)) as location",
+                                          "cast(20240101 + id % 10 as string) as store_date")
+    days = dashboards.daily_sketches(rows, "camera", "location")
+    merged = dashboards.merged_coverage(days, "camera", "location").first()
+    whole = dashboards.merged_coverage(dashboards.daily_sketches(rows.withColumn("store_date", F.lit("x")), "camera", "location"), "camera", "location").first()
+    assert all(abs(x.camera - 9000) < 180 and x.location == 38 for x in (merged, whole))

@@ -119,3 +119,22 @@ def test_routes_and_manifests(spark, tmp_path):
     for mode in ("camera", "frame", "round_robin"):
         spread = frame_sink.partition_by_key(df, 3, mode)
         assert spread.rdd.getNumPartitions() == 3 and spread.count() == 3
+
+
+def test_large_trees_are_listed_by_tasks(spark, tmp_path):
+    for a in range(5):
+        for b in range(4):
+            (tmp_path / f"t/a{a}/b{b}").mkdir(parents=True)
+            for c in range(50):
+                (tmp_path / f"t/a{a}/b{b}/{c}.jpg").write_bytes(b"x" * c)
+    (tmp_path / "t/top.txt").write_text("abc")
+    (tmp_path / "t/_hidden").write_text("x")
+    (tmp_path / "t/empty").mkdir()
+    for prefix in (f"{tmp_path}/t", f"file://{tmp_path}/t/"):
+        tree = files.list_tree(spark, prefix, "http://h/")
+        assert tree.schema.simpleString() == files.list_objects(spark, prefix, "http://h/").schema.simpleString()
+        got = {(r.key, r.size, r.url) for r in tree.collect()}
+        assert len(got) == 1001  # Spark's readers leave out files without content
+        assert {r for r in got if r[1]} == {(r.key, r.size, r.url) for r in files.list_objects(spark, prefix, "http://h/").collect()}
+    assert ("a4/b3/49.jpg", 49, "http://h/a4/b3/49.jpg") in got
+    assert files.list_tree(spark, f"{tmp_path}/none").count() == 0

@@ -246,3 +246,59 @@ def test_boxes_of_frames_that_are_done_come_out_late(spark, tmp_path):
         out = run(tracks.stream_tracks(spark.readStream.schema(BOXES).parquet(f"{tmp_path}/in"), lag=2, idle_ms=0), tmp_path)
     assert [(r.frame_num, r.track_id) for r in out.filter("late").collect()] == [(3, None)]
     assert sorted(r.frame_num for r in out.filter("not late").collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]
+
+
+def test_a_batch_that_fails_between_two_tables_shows_nothing(spark, tmp_path, monkeypatch):
+    batch = keyframes.prepare_value(messages.accepted(messages.parse_messages(spark.createDataFrame([(message(i),) for i in range(60)], "value string"))))
+    root = str(tmp_path / "db")
+    writer = sink.write_batch(root, "store/", "http://h/", "tmp/")
+    writer(batch.filter("frame_num < 20"), 0)
+    writer(batch.filter("frame_num between 20 and 39"), 1)
+    seen = [sorted(map(str, f(spark, root).collect())) for f in (sink.read_frames, sink.read_statistic, sink.read_manifest)]
+
+    def fails(*args):
+        raise OSError("disk full")
+    with monkeypatch.context() as m:
+        m.setattr(sink.statistic, "scene_statistic", fails)
+        with pytest.raises(OSError):
+            writer(batch.filter("frame_num >= 40"), 2)
+    with monkeypatch.context() as m:
+        m.setattr(sink, "commit", fails)
+        with pytest.raises(OSError):
+            writer(batch.filter("frame_num >= 40"), 2)
+    assert seen == [sorted(map(str, f(spark, root).collect())) for f in (sink.read_frames, sink.read_statistic, sink.read_manifest)]
+    writer(batch.filter("frame_num >= 40"), 2)
+    assert [sink.read_frames(spark, root, upto=n).count() for n in (0, 1, 2, None)] == [20, 40, 60, 60]
+    assert [sum(r.frames for r in sink.read_statistic(spark, root, upto=n).collect()) for n in (-1, 0, 1, 2)] == [0, 20, 40, 60]
+    named = {r.batch_id: r.files for r in sink.commits(spark, root).collect()}
+    assert set(named) == {0, 1, 2} and all({f.split("/batch_id=")[0].rsplit("/", 1)[1] for f in files} == set(sink.TABLES) for files in named.values())
+
+
+def test_pair_differences_over_restarts(spark, tmp_path):
+    rng, rows = random.Random(8), []
+    for cam in range(3):
+        for f in range(100):
+            rows.append((cam, f, f * 900, [{"class": rng.randrange(2), "name": "n", "probability": 0.5, "box": [0.0, 1.0]}] * rng.randrange(2)))
+    schema = "camera long, frame_num long, timestamp long, objs array<struct<class:int,name:string,probability:double,box:array<double>>>"
+    want = keyframes.pair_diff_keyframes(spark.createDataFrame(rows, schema), batch_seconds=20).select("camera", "frame_num", "is_keyframe").collect()
+    sent = [(*r, i) for i, r in enumerate(sorted(rows, key=lambda r: r[1] + rng.random() * 20))]
+    for half in range(2):
+        part = sent[half * 150:half * 150 + 150] + [(c, None, None, None, 10 ** 6) for c in range(3)] * half
+        df = spark.createDataFrame(part, schema + ", arrival long")
+        df.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+        out = run(reorder.stream_pair_diff(stream, batch_seconds=20, capacity=64, idle_ms=0), tmp_path)
+    assert sorted(map(tuple, out.select("camera", "frame_num", "is_keyframe").collect())) == sorted(map(tuple, want))
+
+
+def test_periods_close_by_time_or_by_the_end_mark(spark, tmp_path):
+    schema = "camera long, frame_num long, timestamp long, location string, scenes array<string>, is_keyframe boolean"
+    rows = [(i % 2, i, i * 1000, None if i % 5 == 0 else "CA", ["gas"] if i % 3 else ["park", "gas"], i % 4 == 0) for i in range(100)]
+    want = windows.rolling_statistic(spark.createDataFrame(rows, schema)).collect()
+    counts = []
+    for part in (rows[:60], [*rows[60:], (0, *[None] * 5), (1, *[None] * 5)]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        out = run(windows.flushed_statistic(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), delay_seconds=20), tmp_path)
+        counts.append(out.count())
+    assert 0 < counts[0] < counts[1]
+    assert sorted(map(str, out.collect())) == sorted(map(str, want))
