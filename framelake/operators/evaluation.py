@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions import boxes
 from framelake.operators import ordered
+from framelake.session import stored
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -27,31 +28,42 @@ def match_detections(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0
     splits a crowded image. Copies of one predicted box shrink to the best of them before the join, and
     copies of one truth are matched once.
     """
+    matched = _matched(pred, truth, iou_threshold, {"m": min_score}, image, cell).drop("copies")
+    return truth.join(matched, [image, "class_id", *CORNERS]).select(image, "class_id", "gt_id", "m.*")
+
+
+def _matched(pred: DataFrame, truth: DataFrame, iou_threshold: float, least: dict[str, float], image: str = "image_id", cell: float = 64.0) -> DataFrame:
+    """One join for several score limits: per place of truths that has some match its number of copies and, for each name in `least`, the best
+    prediction scored above that limit (null if none)."""
     if iou_threshold < 0.5:
         raise ValueError("the centre rule needs an IoU threshold of at least 0.5")
+    # The best copy of a box passes every limit that any copy passes.
     best = F.min_by(F.struct("score", "box_id"), F.struct(-F.col("score"), F.col("box_id")))
-    p = (pred.filter(F.col("score") > min_score).groupBy(image, "class_id", *CORNERS).agg(best.alias("b"))
+    p = (pred.filter(F.col("score") > min(least.values())).groupBy(image, "class_id", *CORNERS).agg(best.alias("b"))
          .select(image, "class_id", *[F.col(c).alias("p_" + c) for c in CORNERS], "b.score", "b.box_id",
                  _cell((F.col("x1") + F.col("x2") + 1) / 2, cell).alias("cell_x"),
                  _cell((F.col("y1") + F.col("y2") + 1) / 2, cell).alias("cell_y")))
     covered = lambda lo, hi: F.explode(F.sequence(_cell(F.col(lo), cell), _cell(F.col(hi) + 1, cell)))
     place = [image, "class_id", *CORNERS]
-    g = (truth.select(*place).distinct()
+    g = (truth.groupBy(*place).agg(F.count(F.lit(1)).alias("copies"))
          .withColumn("cell_x", covered("x1", "x2")).withColumn("cell_y", covered("y1", "y2")))
     overlap = boxes.iou(boxes.box(), boxes.box("p_"), "pixel")
     pairs = (g.join(p, [image, "class_id", "cell_x", "cell_y"]).withColumn("iou", overlap)
              .filter(F.col("iou") > iou_threshold))
     first = F.struct(-F.col("iou"), -F.col("score"), F.col("box_id"))
-    matched = pairs.groupBy(*place).agg(F.min_by(F.struct("box_id", "iou", "score"), first).alias("m"))
-    return truth.join(matched, place).select(image, "class_id", "gt_id", "m.*")
+    match = F.struct("box_id", "iou", "score")
+    return pairs.groupBy(*place, "copies").agg(*[F.min_by(match, F.when(F.col("score") > t, first)).alias(name) for name, t in least.items()])
 
 
 def detection_counts(pred: DataFrame, truth: DataFrame, matched: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Ground truths, proposals, correct ones, recall and precision per class."""
     n = lambda df, name: df.groupBy("class_id").agg(F.count(F.lit(1)).alias(name))
     proposals = pred.filter(F.col("score") > min_score)
-    counts = (n(truth, "n_truth").join(n(proposals, "n_proposals"), "class_id", "full")
-              .join(n(matched, "n_correct"), "class_id", "left").na.fill(0))
+    return _ratios(n(truth, "n_truth").join(n(proposals, "n_proposals"), "class_id", "full")
+                   .join(n(matched, "n_correct"), "class_id", "left").na.fill(0))
+
+
+def _ratios(counts: DataFrame) -> DataFrame:
     ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(1.0 if b == "n_truth" else 0.0))
     return counts.withColumns({"recall": ratio("n_correct", "n_truth"), "precision": ratio("n_correct", "n_proposals")})
 
@@ -91,10 +103,13 @@ def mean_average_precision(ap: DataFrame) -> DataFrame:
 
 def evaluate(pred: DataFrame, truth: DataFrame, iou_threshold: float = 0.5, min_score: float = 0.5) -> DataFrame:
     """Recall and precision above `min_score`, and average precision over all scores, per class."""
-    counts = detection_counts(pred, truth, match_detections(pred, truth, iou_threshold, min_score), min_score)
-    points = precision_points(pred, match_detections(pred, truth, iou_threshold, -1.0))
-    ap = average_precision(points, truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth")))
-    return counts.join(ap.select("class_id", "ap"), "class_id", "left")
+    matched = stored(_matched(pred, truth, iou_threshold, {"sure": min_score, "any": -1.0}), "matched")
+    points = precision_points(pred, matched.select("image_id", "class_id", "any.*"))
+    truths = truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
+    correct = matched.filter("sure is not null").groupBy("class_id").agg(F.sum("copies").alias("n_correct"))
+    proposed = points.groupBy("class_id").agg(F.sum(F.when(F.col("score") > min_score, F.col("n")).otherwise(F.lit(0).cast("long"))).alias("n_proposals"))
+    counts = _ratios(truths.join(proposed.filter("n_proposals > 0"), "class_id", "full").join(correct, "class_id", "left").na.fill(0))
+    return counts.join(average_precision(points, truths).select("class_id", "ap"), "class_id", "left")
 
 
 def assign_anchor(truth: DataFrame, anchors: Sequence[tuple[float, float]], grid: int, ignore: float = 0.5) -> DataFrame:

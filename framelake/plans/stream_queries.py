@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -241,3 +242,19 @@ def sk3_snapshot(spark, sf):
     rows = stream_sink.read_statistic(spark, folder, upto=1).select("dashcam_id", "store_date", "location", "frames")
     shown = rows.withColumn("_k", F.lit(1)).join(failed.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
     return shown.withColumn("shows_failed", F.coalesce("shows_failed", F.lit(False)))
+
+
+@query("st5_microbatch_counts", "SELECT count(*) AS n FROM events")
+def st5_microbatch_counts(spark, sf):
+    """Frames of all micro-batches, as a listener has counted them."""
+    listener = windows.CountListener("st5")
+    spark.streams.addListener(listener)
+    try:
+        finished(windows.microbatch_counts(event_stream(spark, sf).select("camera", "frame_num"), "st5"), run_folder(spark, "counted"))
+        waited = 0
+        while not listener.counts and waited < 100:  # events reach listeners a little later
+            time.sleep(0.1)
+            waited += 1
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.createDataFrame(listener.counts, "batch long, n long").agg(F.sum("n").alias("n"))
