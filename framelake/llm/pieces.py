@@ -290,6 +290,13 @@ def decoded(v: Vocabulary, data: bytes | None) -> str:
     return text[text.startswith(SPACE):].replace(SPACE, " ")
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The rows in small batches, as texts, ids and words lie side by side."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary(path))
 
@@ -300,7 +307,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in _small(batches):
             ids = pa.array(encoder.encode(batch.column("text").to_pylist()), pa.large_binary()).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
@@ -311,7 +318,7 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     shared = _shared(coded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             texts = pa.array((decoded(shared.value, d) for d in batch.column("ids").to_pylist()), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), texts], ["doc_id", "ids", "text"])
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
