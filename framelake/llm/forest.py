@@ -11,8 +11,8 @@ different components, until none is left. A candidate between nodes that are con
 
 In a crowd the neighbours in the order aren't all that may link. So nodes are clustered by candidates that two trees agree on, and
 what isn't connected within a cluster is joined by prefixes: of a set of n shingles, ordered by how many sets of the cluster
-hold them, the rarest n - ceil(0.8 n) + 1 must share one with every set it links to. Those pairs of different components, of fitting
-sizes, are confirmed on the full sets. That is exact within a cluster; copies that have become one component cost nothing.
+hold them, the rarest n - ceil(0.8 n) + 1 must share one with every set it links to, and the rarest n - ceil(8/9 n) + 1 with every larger
+one. Those pairs of different components, of fitting sizes, are confirmed on the full sets. That is exact within a cluster; copies that have become one component cost nothing.
 
 A link at similarity 0.8 is missed only if no candidate chain that two trees agree on (or one tree names it) brings it into a cluster. Outside
 a crowd that takes two sets that share a region in one of the 32 trees at most, 1e-6 at depth 4; the tests measure it in crowds.
@@ -168,14 +168,17 @@ def _stragglers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, percent: i
     counts = shingles.groupBy("cluster", "shingle").agg(F.count("*").alias("n"), F.bool_or("outside").alias("any")).filter("n > 1")
     shared = shingles.join(counts, ["cluster", "shingle"]).groupBy("cluster", "node", "part", "outside", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "shingle", "any"))).alias("shared"))
-    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    room = F.greatest(prefix - (F.col("size") - F.size("shared")), F.lit(0)).cast("int")
-    rows = (shared.select("cluster", "node", "part", "outside", "size", F.explode(F.slice("shared", F.lit(1), room)).alias("x"))
-            .filter("x.any").select("cluster", "node", "part", "outside", "size", "x.shingle"))
+    # Of two sets that link, their first common shingle stands in this prefix of the larger, and in a shorter one of the smaller.
+    alone = F.col("size") - F.size("shared")
+    prefix, shorter = F.expr(f"size - (size * {percent} + 99) div 100 + 1"), F.expr(f"size - (2 * {percent} * size + {99 + percent}) div {100 + percent} + 1")
+    room = F.greatest(prefix - alone, F.lit(0)).cast("int")
+    rows = (shared.select("cluster", "node", "part", "outside", "size", (shorter - alone).alias("early"), F.posexplode(F.slice("shared", F.lit(1), room)).alias("at", "x"))
+            .filter("x.any").select("cluster", "node", "part", "outside", "size", (F.col("at") < F.col("early")).alias("early"), "x.shingle"))
     rows = stored(rows, "prefixes")
-    a, b = (rows.select("cluster", "shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "size", "outside")]) for x in "ab")
+    a, b = (rows.select("cluster", "shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "size", "outside", "early")]) for x in "ab")
+    smaller = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b")))
     fits = ((F.col("part_a") != F.col("part_b")) & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-            & (~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))))
+            & (~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))) & F.when(smaller, F.col("early_a")).otherwise(F.col("early_b")))
     met = a.filter("outside_a").join(b, ["cluster", "shingle"]).filter(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     out = stored(_confirmed(met, work.select("node", "set"), percent), "stragglers")
     discard(members, work, rows)
