@@ -166,7 +166,7 @@ def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Seq
 
     A box is dropped when it overlaps a kept box by at least the threshold (pixel IoU, above 0); a box without a corner
     overlaps none. Copies of one box always lose to the best of them, so they shrink to one row before the
-    shuffle. Groups of at most `crowd` boxes are gathered, larger ones are settled in rounds over their overlapping pairs, by many tasks; the
+    shuffle. Groups of at most `crowd` boxes, copies counted, are gathered, larger ones are settled in rounds over their overlapping pairs, by many tasks; the
     rows are the same (but boxes with a corner that is no finite number go with a walk in one task). None gathers all, where the detector
     bounds the boxes of an image.
     """
@@ -179,7 +179,7 @@ def nms(df: DataFrame, conf: float = 0.5, iou_threshold: float = 0.4, image: Seq
         kept = _greedy(distinct, group, iou_threshold)
     else:
         odd = reduce(lambda a, b: a | b, [F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf")) for c in CORNERS])
-        sizes = distinct.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.bool_or(odd), F.lit(False)).alias("_odd"))
+        sizes = sure.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.bool_or(odd), F.lit(False)).alias("_odd"))
         many = stored(sizes.filter(F.col("_n") > crowd).drop("_n"), "crowds")
         kinds = {r._odd for r in many.select("_odd").distinct().collect()}
         few = distinct.join(many, group, "left_anti") if kinds else distinct
