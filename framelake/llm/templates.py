@@ -1,9 +1,12 @@
 """Line dedup with a log-template tree.
 
-A line's words with a digit become `<*>`. The tree has a fixed depth: number of words, then the first LEAD words; what shares both
-is a leaf. In a leaf of several lines the most frequent word of each place makes its template; lines that agree with it in
-`same` of their places or more belong to it, its other places being variable. The rest of the leaf goes through that again, `passes`
-times; what is left over, and lines too short to generalise, are templates of their own.
+A line's words with a digit become `<*>`. The tree has a fixed depth: number of words, then the first LEAD words (only the first one of
+lines below `general` words); what shares them is a leaf. Lines of a leaf make templates by the same step until none is left:
+a place is fixed if more than half of the lines (and two or more) have one word there, and lines that have the fixed words in `same` of
+their places or more belong to the group's template, its other places being variable. The rest is split by the words
+of the place that has fewest different ones, and every part goes through the step by itself. So a leaf holds any number of templates, and
+as each split fixes a place, the steps end. A line alone in its part is a template of its own, and so are lines too short to have a
+variable place (three words at `same` 0.7). Below `general` words a template with variable places needs SUPPORT different lines.
 
 A template that occurs in two documents or more recurs: its lines are dropped in all but the first document (smallest id) that has
 it. Lines of fewer than `least` words are always kept.
@@ -12,7 +15,7 @@ Null texts are empty. Rows with one id are one document, whose lines don't recur
 before all others. Lines end at a line feed; other white space counts only between words. Empty tables give no rows. Other
 columns are carried by `deduplicate` as they are, but for `n_lines` and `n_dropped`, which are replaced.
 
-Counts are partial sums by hashes of the lines. Only the words of lines in leaves with several templates are moved: a filter of fixed
+Counts are partial sums by hashes of the words. Only the words of lines in leaves with several lines are moved: a filter of fixed
 size, joined by broadcast, keeps the others back (it may let others through, which changes nothing).
 """
 
@@ -25,14 +28,24 @@ from pyspark.sql import functions as F
 
 from framelake.llm.common import discard, query, read, stored
 
-LEAD, LEAST, GENERAL, SAME, PASSES = 3, 3, 8, 0.7, 2
+LEAD, LEAST, GENERAL, SAME, SUPPORT = 3, 3, 8, 0.7, 3
 #: Bits of the filter; 64 to a row.
 FILTER_BITS = 22
 
 KEY = ["n_words", "leaf", "t1", "t2"]
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
+def _lead(general: int) -> Column:
+    """How many leading words a leaf shares."""
+    return F.when(F.col("n_words") < general, 1).otherwise(LEAD)
+
+
+def _needed(general: int) -> Column:
+    """How many different lines a template with variable places needs."""
+    return F.when(F.col("n_words") < general, SUPPORT).otherwise(2)
+
+
+def _lines(docs: DataFrame, least: int, general: int) -> DataFrame:
     """(doc, text_key, line_no, KEY, masked) of the lines of `least` words or more.
 
     What is used more than once goes through an explode of one value, so that it is made once; an outer one, as Spark would
@@ -47,7 +60,8 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
     rows = rows.select("doc", "text_key", "line_no", F.explode_outer(F.array(hidden)).alias("masked")).filter(F.col("masked") != "")
     n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     rows = rows.select("*", F.explode_outer(F.array(n)).alias("n_words")).filter(F.col("n_words") >= least)
-    return rows.select("*", F.xxhash64("n_words", F.substring_index("masked", " ", LEAD)).alias("leaf"),
+    return rows.select("*", F.when(F.col("n_words") < general, F.xxhash64("n_words", F.substring_index("masked", " ", 1))).otherwise(
+        F.xxhash64("n_words", F.substring_index("masked", " ", LEAD))).alias("leaf"),
                        F.xxhash64("masked").alias("t1"), F.xxhash64("masked", F.lit(1)).alias("t2"))
 
 
@@ -57,44 +71,55 @@ def _cell(leaf: Column) -> tuple[Column, Column]:
     return F.shiftright(slot, 6).cast("int"), F.expr("shiftleft(1L, cast(pmod(leaf, 64) as int))")
 
 
-def _generalised(lines: DataFrame, same: float, passes: int) -> list[DataFrame]:
-    """(KEY, turn), a table for each turn: the distinct lines that belong to a template of their leaf."""
-    at_place = ["n_words", "leaf", "place"]
-    left = lines.groupBy(*KEY).agg(F.any_value("masked").alias("masked"))
+def _step(left: DataFrame, same: float, general: int) -> DataFrame:
+    """Lines of groups (`node`) with whether they belong to their group's template; the others have the node of their part."""
+    cells = left.select("node", "n_words", F.posexplode("words").alias("place", "word")).filter(F.col("place") >= _lead(general))
+    counts = cells.groupBy("node", "n_words", "place", "word").agg(F.count("*").alias("n"))
+    places = counts.groupBy("node", "n_words", "place").agg(F.max(F.struct("n", "word")).alias("top"), F.count("*").alias("different"), F.sum("n").alias("size"))
+    fixed = F.when((F.col("top.n") > 1) & (2 * F.col("top.n") > F.col("size")), F.struct("place", F.col("top.word").alias("word")))
+    split = F.min(F.when(F.col("different") > 1, F.struct("different", "place")))["place"]
+    groups = (places.filter(F.col("size") >= _needed(general)).groupBy("node").agg(F.collect_list(fixed).alias("fixed"), split.alias("split"))
+              .filter("split is not null"))
+    agree = F.size(F.filter("fixed", lambda c: F.get(F.col("words"), c["place"]) == c["word"])) + _lead(general)
+    rows = left.join(groups, "node").select("*", (agree >= same * F.col("n_words")).alias("belongs"))
+    part = F.xxhash64("node", "split", F.get("words", F.col("split")))
+    return rows.select(*KEY, F.when(F.col("belongs"), F.col("node")).otherwise(part).alias("node"), "belongs",
+                       F.when(~F.col("belongs"), F.col("words")).alias("words"))
+
+
+def _generalised(lines: DataFrame, same: float, general: int) -> list[DataFrame]:
+    """(KEY, node), a table for each step: the distinct lines that belong to a template of several, and its node."""
+    hashes = F.transform(F.split("masked", " "), lambda w: F.xxhash64(w))
+    left = lines.groupBy(*KEY).agg(F.any_value("masked").alias("masked")).select(*KEY, F.col("leaf").alias("node"), hashes.alias("words"))
     out = []
-    for turn in range(passes):
-        words = left.select(*KEY, F.posexplode(F.split("masked", " ")).alias("place", "word")).filter(F.col("place") >= LEAD)
-        counts = words.groupBy(*at_place, "word").agg(F.count("*").alias("n"))
-        common = counts.groupBy(*at_place).agg(F.max(F.struct("n", "word"))["word"].alias("common"))
-        template = common.groupBy("n_words", "leaf").agg(F.sort_array(F.collect_list(F.struct("place", "common")))["common"].alias("template"))
-        same_word = F.zip_with(F.slice(F.split("masked", " "), LEAD + 1, F.col("n_words")), "template", lambda a, b: a == b)
-        agree = left.join(template, ["n_words", "leaf"]).withColumn("agree", F.size(F.filter(same_word, lambda x: x)))
-        own = stored(agree.filter((F.col("agree") + LEAD) >= same * F.col("n_words")).select(*KEY, F.lit(turn).alias("turn")), "templates")
-        out.append(own)
-        left = left.join(own.select(*KEY), KEY, "left_anti")
-    return out
-
-
-def repeats(docs: DataFrame, least: int = LEAST, general: int = GENERAL, same: float = SAME, passes: int = PASSES) -> DataFrame:
+    while True:
+        done = stored(_step(left, same, general), "templates")
+        out.append(done)
+        left = done.filter("not belongs").drop("belongs")
+        if left.isEmpty():
+            return out
+
+
+def repeats(docs: DataFrame, least: int = LEAST, general: int = GENERAL, same: float = SAME) -> DataFrame:
     """(doc, text_key, line_no) of the lines to drop."""
-    lines = stored(_lines(docs.select("doc_id", "text"), least), "lines")
-    span = F.min("doc").alias("first"), F.max("doc").alias("last")
-    exact = stored(lines.groupBy(*KEY).agg(*span), "exact")
-    several = (exact.filter(F.col("n_words") >= general).groupBy("n_words", "leaf").agg(F.count("*").alias("n")).filter("n > 1"))
+    lines = stored(_lines(docs.select("doc_id", "text"), least, general), "lines")
+    exact = stored(lines.groupBy(*KEY).agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "exact")
+    varies = F.ceil(same * F.col("n_words")) < F.col("n_words")
+    several = exact.filter(varies).groupBy("n_words", "leaf").agg(F.count("*").alias("n")).filter(F.col("n") >= _needed(general))
     cell, bit = _cell(F.col("leaf"))
     cells = several.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
     # At most 2**FILTER_BITS / 64 rows of 12 bytes.
-    wordy = lines.filter(F.col("n_words") >= general).withColumn("cell", cell).join(F.broadcast(cells), "cell").filter(F.col("bits").bitwiseAND(bit) != 0)
-    wordy = stored(wordy.select("doc", *KEY, "masked"), "wordy")
-    turns = _generalised(wordy, same, passes)
-    of_line = reduce(DataFrame.unionByName, turns)
-    groups = (exact.join(of_line, KEY).groupBy("n_words", "leaf", "turn").agg(F.min("first").alias("all_first"), F.max("last").alias("all_last")))
-    wide = of_line.join(groups, ["n_words", "leaf", "turn"]).select(*KEY, "all_first", "all_last")
+    wordy = lines.filter(varies).withColumn("cell", cell).join(F.broadcast(cells), "cell").filter(F.col("bits").bitwiseAND(bit) != 0)
+    steps = _generalised(wordy.select(*KEY, "masked"), same, general)
+    of_line = reduce(DataFrame.unionByName, [t.filter("belongs").select(*KEY, "node") for t in steps])
+    groups = (exact.join(of_line, KEY).groupBy("n_words", "node").agg(
+        F.min("first").alias("all_first"), F.max("last").alias("all_last"), F.count("*").alias("n")).filter(F.col("n") >= _needed(general)))
+    wide = of_line.join(groups, ["n_words", "node"]).select(*KEY, "all_first", "all_last")
     span = exact.join(wide, KEY, "left").select(
         *KEY, F.coalesce("all_first", "first").alias("first"), F.coalesce("all_last", "last").alias("last")).filter("first < last")
     dropped = lines.drop("masked").join(span, KEY).filter(F.col("doc") > F.col("first")).select("doc", "text_key", "line_no")
     dropped = stored(dropped, "dropped")
-    discard(lines, exact, wordy, *turns)
+    discard(lines, exact, *steps)
     return dropped
 
 
@@ -120,25 +145,29 @@ def deduplicate(docs: DataFrame, **how: float) -> DataFrame:
     return rows.select(*[F.col(c) if c in new else F.col(f"row.`{c}`") for c in (*names, *new[1:])])
 
 
-_PASS = """
-counts{i} AS (SELECT n_words, lead, place, word, count(*) AS n FROM
-    (SELECT n_words, lead, unnest(range(3, n_words)) AS place, words[unnest(range(4, n_words + 1))] AS word FROM left{i}) GROUP BY ALL),
-common{i} AS (SELECT n_words, lead, place, max(struct_pack(n, word)).word AS common FROM counts{i} GROUP BY ALL),
-own{i} AS (SELECT masked FROM (SELECT masked, n_words, lead, unnest(range(3, n_words)) AS place, words[unnest(range(4, n_words + 1))] AS word FROM left{i})
-    JOIN common{i} USING (n_words, lead, place) GROUP BY masked, n_words HAVING count(*) FILTER (word = common) + 3 >= 0.7 * n_words),
-left{j} AS (SELECT * FROM left{i} WHERE masked NOT IN (SELECT masked FROM own{i}))"""
-
 OP10_SQL = r"""
-WITH lines AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS line_no, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+WITH RECURSIVE lines AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS line_no, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
 plain AS (SELECT doc_id, line_no, line, trim(regexp_replace(line, '[\t\x0B\f\r ]+', ' ', 'g'), ' ') AS p FROM lines),
 masks AS (SELECT doc_id, line_no, line, regexp_replace(p, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM plain),
 rows AS (SELECT *, string_split(masked, ' ') AS words, CASE WHEN masked = '' THEN 0 ELSE len(string_split(masked, ' ')) END AS n_words FROM masks),
-exact AS (SELECT masked, n_words, words, array_to_string(words[1:3], ' ') AS lead, min(doc_id) AS first, max(doc_id) AS last FROM rows WHERE n_words >= 3 GROUP BY ALL),
-left0 AS (SELECT * FROM exact WHERE n_words >= 8),""" + _PASS.format(i=0, j=1) + "," + _PASS.format(i=1, j=2) + r""",
-belong AS (SELECT masked, 0 AS turn FROM own0 UNION ALL SELECT masked, 1 FROM own1),
-groups AS (SELECT n_words, lead, turn, min(first) AS all_first, max(last) AS all_last FROM exact JOIN belong USING (masked) GROUP BY ALL),
+exact AS (SELECT masked, n_words, words, CASE WHEN n_words < 8 THEN 1 ELSE 3 END AS lead, CASE WHEN n_words < 8 THEN 3 ELSE 2 END AS needed,
+                 min(doc_id) AS first, max(doc_id) AS last FROM rows WHERE n_words >= 3 GROUP BY ALL),
+tree AS (
+    SELECT masked, n_words, words, lead, needed, n_words || ' ' || array_to_string(words[1:lead], ' ') AS node, false AS belongs FROM exact WHERE n_words > 3
+    UNION ALL
+    (WITH lines_left AS (SELECT * FROM tree WHERE NOT belongs),
+    counts AS (SELECT node, needed, place, word, count(*) AS n FROM (SELECT node, needed, unnest(range(lead + 1, n_words + 1)) AS place,
+               words[unnest(range(lead + 1, n_words + 1))] AS word FROM lines_left) GROUP BY ALL),
+    places AS (SELECT node, place, max(n) AS most, arg_max(word, n) AS word, count(*) AS different, sum(n) AS size FROM counts GROUP BY node, needed, place HAVING sum(n) >= needed),
+    split AS (SELECT node, min(struct_pack(different, place)).place AS place FROM places WHERE different > 1 GROUP BY node),
+    agree AS (SELECT masked, count(*) AS n FROM lines_left JOIN places USING (node) WHERE most > 1 AND 2 * most > size AND words[place] = word GROUP BY masked),
+    judged AS (SELECT lines_left.* EXCLUDE (belongs), place, coalesce(agree.n, 0) + lead >= 0.7 * n_words AS belongs
+               FROM lines_left JOIN split USING (node) LEFT JOIN agree USING (masked))
+    SELECT masked, n_words, words, lead, needed, CASE WHEN belongs THEN node ELSE node || chr(10) || place || ' ' || words[place] END, belongs FROM judged)),
+belong AS (SELECT masked, node FROM tree WHERE belongs),
+groups AS (SELECT node, min(first) AS all_first, max(last) AS all_last FROM exact JOIN belong USING (masked) GROUP BY node, needed HAVING count(*) >= needed),
 span AS (SELECT masked, coalesce(all_first, first) AS first, coalesce(all_last, last) AS last
-         FROM exact LEFT JOIN belong USING (masked) LEFT JOIN groups USING (n_words, lead, turn)),
+         FROM exact LEFT JOIN belong USING (masked) LEFT JOIN groups USING (node)),
 judged AS (SELECT rows.doc_id, line_no, line, coalesce(span.first < span.last AND rows.doc_id > span.first, false) AS gone FROM rows LEFT JOIN span USING (masked))
 SELECT doc_id, count(*)::INTEGER AS n_lines, count(*) FILTER (gone)::INTEGER AS n_dropped,
        coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '') AS text

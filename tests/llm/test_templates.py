@@ -41,6 +41,33 @@ def test_variable_fields(spark):
     assert [got[i][1] for i in range(4)] == [0, 2, 2, 2]
 
 
+def test_many_templates_of_one_leaf(spark):
+    names = [a + b for a in "abcde" for b in "fghi"]
+    lines = [f"the same start {' '.join(f'kind{c}' + w for w in 'pqrstu')} for {n} here" for c in "vwxyz" for n in names]
+    got = compared(spark, list(enumerate(lines)))
+    assert sum(k for _, k, _ in got.values()) == 95
+
+
+def test_short_lines(spark):
+    names = ["ann", "bob", "cyd", "dee", "eva", "flo"]
+    got = compared(spark, [(i, f"user {n} left room\nuser {n} stays") for i, n in enumerate(names)])
+    assert [got[i][1] for i in range(6)] == [0, 1, 1, 1, 1, 1]
+    # Two different lines are too few for a short template, and no template comes from lines that share half of their words.
+    got = compared(spark, [(1, "the cat sat down"), (2, "the dog sat down"), (3, "a b c d e f g h i j k l"), (4, "a b c d e f q r s t u v")])
+    assert [k for _, k, _ in got.values()] == [0, 0, 0, 0]
+
+
+def test_crowded_leaf(spark):
+    """A third of all lines in one leaf, many templates and lines that belong to none."""
+    r = random.Random(3)
+    bodies = [[f"b{r.randrange(10**6):x}".translate(str.maketrans("0123456789", "ghijklmnop")) for _ in range(7)] for _ in range(40)]
+    name = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    lines = [" ".join(["all", "start", "so", *[w if i != 3 else name() for i, w in enumerate(r.choice(bodies))]]) for _ in range(1200)]
+    lines += [" ".join(["all", "start", "so", *[name() for _ in range(7)]]) for _ in range(300)]
+    got = compared(spark, list(enumerate(lines)))
+    assert sum(k for _, k, _ in got.values()) >= 1160
+
+
 def test_lines_of_one_document_and_short_ones_stay(spark):
     got = compared(spark, [(1, "a b c d\na b c d"), (2, "yes\nx y"), (3, "yes\nx y"), (4, "a b c d\nnew words come here")])
     assert got == {1: (2, 0, "a b c d\na b c d"), 2: (2, 0, "yes\nx y"), 3: (2, 0, "yes\nx y"), 4: (2, 1, "new words come here")}
