@@ -1,9 +1,10 @@
 """Secret scans whose false positives a random forest removes.
 
-Candidates are runs of MIN_LENGTH or more of the characters that keys and tokens are made of. Each has features: its length, how
+Candidates are runs of MIN_LENGTH or more of the characters that keys and tokens are made of, and runs of SHORT or more that are assigned
+to something and quoted, or assigned to a name like token. Each has features: its length, how
 often the kind of character changes, shares of digits and capitals, how much of it the corpus's dictionary covers (its letter
-trigrams that occur in enough different words of the corpus), whether it looks like a path, an address or a host, quotes, and the
-words around it (an assignment, a word like token or password). The forest is trained from labelled findings, `per_label` at most of
+trigrams that stand out among those of the words that several documents hold), whether it looks like a path, an address or a host, quotes,
+and the words around it (an assignment, a word like token or password). The forest is trained from labelled findings, `per_label` at most of
 either label, those with the smallest hash; every candidate gets the forest's probability, and those below `least` are false positives.
 
 Where no labelled findings are given, plain ones stand in: quoted values assigned to a name like token are secrets; addresses, numbers
@@ -27,31 +28,56 @@ from pyspark.sql.window import Window as W
 
 from framelake.llm.common import GAPS, lower_ascii, query, read, stored
 
-MIN_LENGTH, PER_LABEL, TREES, DEPTH, IN_WORDS = 16, 5000, 20, 6, 20
+MIN_LENGTH, SHORT, PER_LABEL, TREES, DEPTH = 16, 8, 5000, 20, 6
+#: A trigram of the dictionary occurs in IN_WORDS words, and in OUTSTANDING times as many as the mean of all 26**3; a word is in IN_DOCS documents.
+IN_WORDS, OUTSTANDING, IN_DOCS = 20, 2, 2
 RUN = rf"[A-Za-z0-9_/+=.@-]{{{MIN_LENGTH},}}"
+SHORT_RUN = rf"[A-Za-z0-9_/+=.@-]{{{SHORT},}}"
 NAMED = r"(?i)(token|secret|passw|pwd|api_?-?key|apikey|auth|credential|bearer|private|access)"
 FEATURES = ["n_chars", "transitions", "digits", "capitals", "coverage", "path", "dots", "address", "quoted", "assigned", "named", "after_plain"]
 
 
+def _assigned(word: Column, before: Column) -> Column:
+    return F.coalesce(before.rlike(r"[=:]$"), F.lit(False)) | word.rlike(r"^[A-Za-z_-]+[=:]")
+
+
+def _named(word: Column, before: Column, before2: Column) -> Column:
+    return F.coalesce(before.rlike(NAMED), F.lit(False)) | F.coalesce(before2.rlike(NAMED), F.lit(False)) | word.rlike(NAMED)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, place, value and the words around it) of every candidate."""
+    quote = """["'`]"""
+
+    def at(words: Column, i: Column) -> tuple[Column, Column, Column]:
+        return F.get(words, i), F.get(words, i - 1), F.get(words, i - 2)
+
+    def short(word: Column, before: Column, before2: Column) -> Column:
+        return word.rlike(SHORT_RUN) & _assigned(word, before) & (word.rlike(quote) | _named(word, before, before2))
+
     def around(words: Column) -> Column:
-        found = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).rlike(RUN))
+        found = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).rlike(RUN) | short(*at(words, i)))
         return F.transform(found, lambda i: F.struct(i.alias("place"), F.get(words, i).alias("word"), F.get(words, i - 1).alias("before"),
                                                      F.get(words, i - 2).alias("before2"), F.get(words, i + 1).alias("after")))
     # As a lambda's argument the array of words is made once, not for each of them.
     # The explodes are outer ones, as Spark would make their array twice, for a filter before any other.
-    rows = docs.filter(F.col("text").rlike(RUN)).select("doc_id", F.explode_outer(F.transform(F.array(F.split("text", GAPS)), around)[0]).alias("c"))
-    rows = rows.select("doc_id", "c.*", F.explode(F.regexp_extract_all("c.word", F.lit(RUN), 0)).alias("value"))
-    return rows.withColumn("value", F.regexp_replace("value", r"^[=.]+|[=.]+$", "")).filter(F.length("value") >= MIN_LENGTH)
+    some = F.col("text").rlike(rf"{RUN}|[=:]")
+    rows = docs.filter(some).select("doc_id", F.explode_outer(F.transform(F.array(F.split("text", GAPS)), around)[0]).alias("c"))
+    rows = rows.select("doc_id", "c.*", F.explode(F.regexp_extract_all("c.word", F.lit(SHORT_RUN), 0)).alias("value"))
+    rows = rows.withColumn("value", F.regexp_replace("value", r"^[=.]+|[=.]+$", ""))
+    name = F.col("word").startswith(F.concat("value", F.lit("="))) | F.col("word").startswith(F.concat("value", F.lit(":")))
+    return rows.filter((F.length("value") >= MIN_LENGTH) | ((F.length("value") >= SHORT) & ~name & short(F.col("word"), F.col("before"), F.col("before2"))))
 
 
-def dictionary(docs: DataFrame, in_words: int = IN_WORDS) -> DataFrame:
-    """Letter trigrams that occur in `in_words` different words of the corpus or more."""
+def dictionary(docs: DataFrame, in_words: int = IN_WORDS, outstanding: float = OUTSTANDING, in_docs: int = IN_DOCS) -> DataFrame:
+    """Letter trigrams of the words that `in_docs` documents or more hold, if they occur in `in_words` different ones or more and in
+    `outstanding` times as many as the mean of all trigrams, which letter noise doesn't reach however much of it there is."""
     words = docs.select(F.explode_outer(F.array_distinct(F.split(lower_ascii(F.col("text")), "[^a-z]+"))).alias("word")).filter(F.length("word") >= 3)
-    each = words.groupBy("word").agg(F.count("*").alias("n")).filter("length(word) <= 40")
-    trigrams = each.select(F.explode_outer(_windows(F.col("word"))).alias("trigram"))
-    return trigrams.groupBy("trigram").agg(F.count("*").alias("n")).filter(F.col("n") >= in_words).select("trigram")
+    each = words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= in_docs)
+    trigrams = each.select(F.explode_outer(F.array_distinct(_windows(F.col("word")))).alias("trigram"))
+    counts = trigrams.groupBy("trigram").agg(F.count("*").alias("n"))
+    mean = F.sum("n").over(W.partitionBy()) / 26 ** 3  # of at most 26**3 rows
+    return counts.withColumn("mean", mean).filter((F.col("n") >= in_words) & (F.col("n") >= outstanding * F.col("mean"))).select("trigram")
 
 
 def _windows(text: Column) -> Column:
@@ -73,8 +99,8 @@ def features(rows: DataFrame, known: DataFrame) -> DataFrame:
         return F.length(F.regexp_replace("value", f"[^{kind}]", "")) / n
     flag = {"path": F.col("value").contains("/"), "address": F.col("value").contains("@"),
             "quoted": F.col("word").rlike("""["'`]"""),
-            "assigned": F.col("before").rlike(r"[=:]$") | F.col("word").rlike(r"^[A-Za-z_-]+[=:]"),
-            "named": F.coalesce(F.col("before").rlike(NAMED), F.lit(False)) | F.coalesce(F.col("before2").rlike(NAMED), F.lit(False)) | F.col("word").rlike(NAMED),
+            "assigned": _assigned(F.col("word"), F.col("before")),
+            "named": _named(F.col("word"), F.col("before"), F.col("before2")),
             "after_plain": F.col("after").rlike(r"^[a-z]+[.,]?$")}
     out = rows.join(covered, "value", "left").withColumns({
         "coverage": F.coalesce("coverage", F.lit(0.0)),

@@ -48,6 +48,23 @@ def test_features_by_hand(spark):
     assert (two.path, two.dots, two.named, two.assigned) == (1, 1, 0, 0)
 
 
+def test_short_values_after_an_assignment(spark):
+    rows = ['password = "hunter2hunter2" here', 'my api_key: abcd1234 is', 'login password="short1234" ends', 'a container of something = nothing']
+    got = s.candidates(frame(spark, list(enumerate(rows)))).collect()
+    assert sorted((r.doc_id, r.place, r.value) for r in got) == [(0, 2, "hunter2hunter2"), (1, 2, "abcd1234"), (2, 1, "short1234")]
+
+
+def test_dictionary_among_random_keys(spark):
+    """Words of the corpus stand out among keys of letters, those of copied documents as well."""
+    r = random.Random(7)
+    words = ["".join(r.choice(("ing", "ent", "ion", "the", "ver", "ble")) for _ in range(4)) for _ in range(900)]
+    rows = [(i, " ".join(words[i % 30::30])) for i in range(60)]
+    keys = [(1000 + i // 2, "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(32))) for i in range(0, 20000)]
+    found = {x.trigram for x in s.dictionary(frame(spark, rows + keys + [(k + 100_000, t) for k, t in keys])).collect()}
+    own = {w[i:i + 3] for w in words for i in range(len(w) - 2)}
+    assert {"ing", "ent", "ion", "the", "ver", "ble"} <= found and len(found - own) < 20
+
+
 def test_given_labels(spark):
     rows, truth = corpus(2)
     docs = frame(spark, rows)
