@@ -151,15 +151,17 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, identity: float) -> t
 def _verify(least: int, identity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, item, shift in zip(batch.column("doc_words").to_pylist(), batch.column("item_words").to_pylist(), batch.column("shift").to_pylist()):
+            keep, out = [], []
+            for k, (doc, item, shifts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_words", "item_words", "shifts")))):
                 d, i = np.frombuffer(doc, np.uint64), np.frombuffer(item, np.uint64)
-                out.append((*overlap(d, i, shift, identity), len(i)))
-            keep = [k for k, (_, n, _, whole) in enumerate(out) if n >= min(least, whole)]
+                good = [o for o in (overlap(d, i, s, identity) for s in shifts) if o[1] >= min(least, len(i))]
+                if good:  # most equal words, then longest, then first
+                    keep.append(k)
+                    out.append((*max(good, key=lambda o: (o[2], o[1], -o[0])), len(i)))
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c).take(at) for c in ("row", "doc_id", "text_key", "item", "item_id")],
-                 *[pa.array([out[k][j] for k in keep], pa.int64()) for j in range(4)]],
+                 *[pa.array([o[j] for o in out], pa.int64()) for j in range(4)]],
                 ["row", "doc_id", "text_key", "item", "item_id", "doc_at", "n_words", "n_equal", "item_words"])
     return run
 
@@ -183,13 +185,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     suspects = stored(rows.mapInArrow(_probe(shared, _families(masks, short), bits),
                                       "row long, doc_id long, text_key long, doc_words binary, seed array<long>, doc_at array<long>"), "suspects")
     hits = suspects.select("row", F.explode(F.arrays_zip("seed", "doc_at")).alias("x")).select("row", "x.seed", "x.doc_at")
-    aligned = hits.join(item_seeds, "seed").select("row", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    aligned = hits.join(item_seeds, "seed").select("row", "item", (F.col("doc_at") - F.col("item_at")).alias("shift"))
     words = items.select("row", "item_id", "text").mapInArrow(_item_words, "item long, item_id long, item_words binary")
-    found = (aligned.join(suspects.select("row", "doc_id", "text_key", "doc_words"), "row").join(words, "item")
+    # A text meets an item once, with all its alignments: no more than the words of both.
+    pairs = aligned.groupBy("row", "item").agg(F.collect_set("shift").alias("shifts"))
+    found = (pairs.join(suspects.select("row", "doc_id", "text_key", "doc_words"), "row").join(words, "item")
              .mapInArrow(_verify(least, identity), OVERLAPS))
-    best = F.max(F.struct("n_equal", "n_words", (-F.col("doc_at")).alias("before"), "item_words")).alias("best")
-    out = found.groupBy("row", "doc_id", "text_key", "item", "item_id").agg(best).select(
-        "row", "doc_id", "text_key", "item_id", (-F.col("best.before")).alias("doc_at"), "best.n_words", "best.n_equal", "best.item_words")
+    out = found.select("row", "doc_id", "text_key", "item_id", "doc_at", "n_words", "n_equal", "item_words")
     out = stored(out, "overlaps")
     discard(items, item_seeds, suspects)
     return out

@@ -64,6 +64,19 @@ def test_overlap():
     assert s.overlap(a, a[5:10], 5, 0.8) == (5, 5, 5)
 
 
+def test_repeated_words_in_text_and_item(spark):
+    got = s.overlaps(*frames(spark, [(1, "go " * 5_000 + "stop " * 300), (2, "go stop " * 500)], [(1, "go " * 80), (2, "stop go " * 20)])).collect()
+    assert sorted((r.doc_id, r.item_id, r.doc_at, r.n_words, r.n_equal) for r in got) == [(1, 1, 0, 80, 80), (2, 2, 1, 40, 40)]
+
+
+def test_long_overlap_beside_one_with_more_equal_words(spark):
+    item = [f"i{k}" for k in range(40)]
+    better = item[20:31]                                                    # 11 equal words, too short
+    longer = [w if k not in (5, 9) else "other" for k, w in enumerate(item[:12])]  # 12 words, 10 equal
+    got = s.overlaps(*frames(spark, [(1, " ".join([*better, *["x"] * 30, *longer, *["y"] * 30]))], [(1, " ".join(item))])).collect()
+    assert [(r.doc_at, r.n_words, r.n_equal) for r in got] == [(41, 12, 10)]
+
+
 def test_empty_tables(spark):
     assert s.overlaps(*frames(spark, [], [(1, "a b c d e f g h i j")])).count() == 0
     assert s.overlaps(*frames(spark, [(1, "a b c d e f g h i j")], [])).count() == 0
