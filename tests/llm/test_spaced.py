@@ -71,7 +71,7 @@ def test_repeated_words_in_text_and_item(spark):
 
 def test_long_overlap_beside_one_with_more_equal_words(spark):
     item = [f"i{k}" for k in range(40)]
-    better = item[20:31]                                                    # 11 equal words, too short
+    better = item[29:]  # 11 equal words between the start of the text and the end of the item: too short
     longer = [w if k not in (5, 9) else "other" for k, w in enumerate(item[:12])]  # 12 words, 10 equal
     got = s.overlaps(*frames(spark, [(1, " ".join([*better, *["x"] * 30, *longer, *["y"] * 30]))], [(1, " ".join(item))])).collect()
     assert [(r.doc_at, r.n_words, r.n_equal) for r in got] == [(41, 12, 10)]
