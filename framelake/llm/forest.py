@@ -12,7 +12,9 @@ different components, until none is left. A candidate between nodes that are con
 In a crowd the neighbours in the order aren't all that may link. So nodes are clustered by candidates that two trees agree on, and
 what isn't connected within a cluster is joined by prefixes: of a set of n shingles, ordered by how many sets of the cluster
 hold them, the rarest n - ceil(0.8 n) + 1 must share one with every set it links to, and the rarest n - ceil(8/9 n) + 1 with every larger
-one. Those pairs of different components, of fitting sizes, are confirmed on the full sets. That is exact within a cluster; copies that have become one component cost nothing.
+one. Two bounds on what a pair can have in common are part of the join: what stands at and after the shared shingle in either order, and the bits in
+which the sets' parities differ, as a shingle that only one of them holds changes one bit. The pairs of different components that fit are
+confirmed on the full sets. That is exact within a cluster; copies that have become one component cost nothing.
 
 A link at similarity 0.8 is missed only if no candidate chain that two trees agree on (or one tree names it) brings it into a cluster. Outside
 a crowd that takes two sets that share a region in one of the 32 trees at most, 1e-6 at depth 4; the tests measure it in crowds.
@@ -37,6 +39,8 @@ from framelake.llm.common import discard, lowered, mix64, query, read, stored, w
 from framelake.llm.components import components
 
 VALUES, TREES, DEPTH, NEAR, CROWD = 128, 32, 4, 2, 4000
+#: Bits of the parity of a set, in longs.
+PARITY = 4
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(1 << 31, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)
@@ -66,6 +70,12 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """One bit for each residue of a shingle's hash: whether an odd number of shingles has it."""
+    odd = np.bincount((s % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _digest(s: np.ndarray) -> bytes | None:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
 
@@ -160,24 +170,32 @@ def _stragglers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, percent: i
     parts = members.groupBy("cluster", "part").agg(F.count("*").alias("n"))
     several = (parts.groupBy("cluster").agg(F.max(F.struct("n", "part"))["part"].alias("largest"), F.count("*").alias("parts"))
                .filter("parts > 1").select("cluster", "largest"))
-    size = F.size("set")
-    work = members.join(several, "cluster").join(sets, "node").select("node", "cluster", "part", (F.col("part") != F.col("largest")).alias("outside"), "set")
+    size = F.size("set").cast("long")
+    work = members.join(several, "cluster").join(sets, "node").select("node", "cluster", "part", (F.col("part") != F.col("largest")).alias("outside"), "set", "parity")
     work = stored(work, "work")
     shingles = work.select("cluster", "node", "part", "outside", size.alias("size"), F.explode("set").alias("shingle"))
     # A shingle of one set links nothing, but takes a place in its prefix.
     counts = shingles.groupBy("cluster", "shingle").agg(F.count("*").alias("n"), F.bool_or("outside").alias("any")).filter("n > 1")
     shared = shingles.join(counts, ["cluster", "shingle"]).groupBy("cluster", "node", "part", "outside", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "shingle", "any"))).alias("shared"))
+    words = [f"w{i}" for i in range(PARITY)]
     # Of two sets that link, their first common shingle stands in this prefix of the larger, and in a shorter one of the smaller.
     alone = F.col("size") - F.size("shared")
     prefix, shorter = F.expr(f"size - (size * {percent} + 99) div 100 + 1"), F.expr(f"size - (2 * {percent} * size + {99 + percent}) div {100 + percent} + 1")
     room = F.greatest(prefix - alone, F.lit(0)).cast("int")
-    rows = (shared.select("cluster", "node", "part", "outside", "size", (shorter - alone).alias("early"), F.posexplode(F.slice("shared", F.lit(1), room)).alias("at", "x"))
-            .filter("x.any").select("cluster", "node", "part", "outside", "size", (F.col("at") < F.col("early")).alias("early"), "x.shingle"))
+    prefixes = shared.select("cluster", "node", "part", "outside", "size", alone.alias("alone"), (shorter - alone).alias("early"), F.slice("shared", F.lit(1), room).alias("prefix"))
+    parities = work.select("node", *[F.get("parity", F.lit(i)).alias(w) for i, w in enumerate(words)])
+    rows = (prefixes.join(parities, "node")
+            .select("cluster", "node", "part", "outside", "size", "alone", "early", *words, F.posexplode("prefix").alias("at", "x")).filter("x.any")
+            .select("cluster", "node", "part", "outside", "size", (F.col("at") < F.col("early")).alias("early"),
+                    (F.col("size") - F.col("alone") - F.col("at")).alias("after"), *words, "x.shingle"))
     rows = stored(rows, "prefixes")
-    a, b = (rows.select("cluster", "shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "size", "outside", "early")]) for x in "ab")
+    a, b = (rows.select("cluster", "shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "part", "size", "outside", "early", "after", *words)]) for x in "ab")
     smaller = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b")))
+    both, apart = F.col("size_a") + F.col("size_b"), sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words)
+    # The first shared shingle of two sets that link passes the bound on what comes after it.
     fits = ((F.col("part_a") != F.col("part_b")) & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+            & ((100 + percent) * F.least("after_a", "after_b") >= percent * both) & ((100 + percent) * (both - apart) >= 2 * percent * both)
             & (~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))) & F.when(smaller, F.col("early_a")).otherwise(F.col("early_b")))
     met = a.filter("outside_a").join(b, ["cluster", "shingle"]).filter(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     out = stored(_confirmed(met, work.select("node", "set"), percent), "stragglers")
@@ -193,18 +211,19 @@ def _sets(n: int):
             keep = [i for i, s in enumerate(digest) if s == batch.column("class")[i].as_py() or batch.column("class")[i].as_py() is None]
             yield pa.RecordBatch.from_arrays([
                 batch.column("node").take(pa.array(keep, pa.int64())), pa.array([digest[i] for i in keep], pa.binary()),
-                pa.array([found[i].view(np.int64) for i in keep], pa.list_(pa.int64()))], ["node", "class", "set"])
+                pa.array([found[i].view(np.int64) for i in keep], pa.list_(pa.int64())),
+                pa.array([parity(found[i]) for i in keep], pa.list_(pa.int64()))], ["node", "class", "set", "parity"])
     return sets
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, set) of the wanted nodes (node, least_id, class), from a document of each; another text may have the same id."""
-    kind = "node long, class binary, `set` array<bigint>"
+    """(node, set, parity) of the wanted nodes (node, least_id, class), from a document of each; another text may have the same id."""
+    kind = "node long, class binary, `set` array<bigint>, parity array<bigint>"
     by_id = (docs.join(wanted.select(F.col("least_id").alias("doc_id"), "node", "class"), "doc_id")
-             .select("node", "class", "text").mapInArrow(_sets(words), kind).select("node", "set"))
+             .select("node", "class", "text").mapInArrow(_sets(words), kind).select("node", "set", "parity"))
     none = F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("class")
     without = (docs.filter("doc_id is null").select(*none, "text").mapInArrow(_sets(words), kind).drop("node")
-               .join(wanted.filter("least_id is null").select("node", "class"), "class").select("node", "set"))
+               .join(wanted.filter("least_id is null").select("node", "class"), "class").select("node", "set", "parity"))
     return by_id.unionByName(without).dropDuplicates(["node"])
 
 

@@ -129,3 +129,12 @@ def test_components(spark, few):
 def test_no_documents(spark):
     assert f.link(frame(spark, [])).count() == 0
     assert f.link(frame(spark, [(1, "alone")])).select(F.col("kept")).first().kept
+
+
+def test_parities_bound_what_two_sets_share():
+    r = np.random.default_rng(2)
+    for n in (1, 7, 200, 5000):
+        a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.concatenate([a[n // 3:], r.integers(0, 1 << 63, n // 4).astype(np.uint64)])
+        apart = sum(int(x).bit_count() for x in (f.parity(a) ^ f.parity(b)).view(np.uint64))
+        assert f.parity(a).shape == (f.PARITY,) and apart <= len(np.setxor1d(a, b))
