@@ -16,7 +16,7 @@ from framelake.plans.views import TYPES
 from framelake.session import scratch_dir, stored
 from framelake.sinks import stream as stream_sink
 from framelake.sources import messages as source
-from framelake.streaming import reorder, tracks, windows
+from framelake.streaming import diversity, reorder, tracks, windows
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,6 +108,34 @@ def d9_stream(spark, sf):
     return out.select("camera", "video_id", "frame_num", "track_id", "class_id", "late")
 
 
+def _diverse(spark, sf, cap, by_location):
+    """Frames in two parts, of which a stream takes the second after it was stopped and started again."""
+    folder = run_folder(spark, "diverse")
+    values = keyframes.prepare_value(inputs.frames(spark, sf)).select("event_id", "camera", "location", "scenes")
+    pick = [F.pmod(F.col("event_id") * 7919, F.lit(10007))]
+    for part in (1, 0):
+        values.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part).write.mode("append").parquet(f"{folder}/in")
+        rows = spark.readStream.schema(values.schema).parquet(f"{folder}/in")
+        changes = finished(diversity.stream_diversity(rows, cap, ["event_id"], pick, by_location), folder)
+    chosen = diversity.valuable_frames(changes, ["event_id"]).withColumn("_valuable", F.lit(True))
+    return values.join(chosen, "event_id", "left").select("event_id", "camera", F.coalesce("_valuable", F.lit(False)).alias("valuable"))
+
+
+@query("f3_stream", """
+WITH r AS (SELECT event_id, row_number() OVER (PARTITION BY scene_type ORDER BY event_id * 7919 % 10007, event_id) AS rk FROM coarse_v)
+SELECT f.event_id, f.camera, f.event_id IN (SELECT event_id FROM r WHERE rk <= 100) AS valuable FROM frames_v f""")
+def f3_stream(spark, sf):
+    return _diverse(spark, sf, 100, False)
+
+
+@query("f3_stream_by_location", """
+WITH r AS (SELECT c.event_id, row_number() OVER (PARTITION BY scene_type, location ORDER BY c.event_id * 7919 % 10007, c.event_id) AS rk
+  FROM coarse_v c JOIN frames_v f ON f.event_id = c.event_id)
+SELECT f.event_id, f.camera, f.event_id IN (SELECT event_id FROM r WHERE rk <= 20) AS valuable FROM frames_v f""")
+def f3_stream_by_location(spark, sf):
+    return _diverse(spark, sf, 20, True)
+
+
 def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
     """Frames as lines of JSON in scrambled order with their numbers of arrival, and an end mark for every camera."""
     frames = inputs.frames(spark, sf)

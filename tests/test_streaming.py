@@ -7,10 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from framelake.operators import keyframes, statistic
+from framelake.operators import keyframes, selection, statistic
 from framelake.sinks import stream as sink
 from framelake.sources import messages
-from framelake.streaming import reorder, windows
+from framelake.streaming import diversity, reorder, windows
 
 SCHEMA = "camera long, frame_num long, arrival long, classes array<int>"
 
@@ -302,3 +302,23 @@ def test_periods_close_by_time_or_by_the_end_mark(spark, tmp_path):
         counts.append(out.count())
     assert 0 < counts[0] < counts[1]
     assert sorted(map(str, out.collect())) == sorted(map(str, want))
+
+
+def test_diverse_frames_of_a_stream(spark, tmp_path):
+    """Whatever the batches, what is nominated in the end is what the table nominates; state and changes stay small."""
+    rng = random.Random(9)
+    rows = [(rng.choice([0, 1, None]), i, rng.choice(["a", "b", None]), ["often"] * (rng.random() < .9) + rng.sample(["x", "y"], rng.randrange(3))) for i in range(2000)]
+    kind = "camera long, frame_num long, location string, scenes array<string>"
+    for i in range(3):
+        part = rows[i::3] + rows[:5]  # some frames arrive again
+        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    pick = [F.col("frame_num") * 37 % 101]
+    for name, by_location, salts in (("types", False, 4), ("places", True, 1)):
+        stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        changes = run(diversity.stream_diversity(stream, 7, pick=pick, by_location=by_location, salts=salts), tmp_path, name)
+        got = {tuple(r) for r in diversity.valuable_frames(changes).collect()}
+        table = spark.createDataFrame(rows, kind)
+        want = selection.diversity_select(table, 7, pick=[*pick, F.col("camera"), F.col("frame_num")], by_location=by_location).filter("valuable")
+        whole = {(r.camera, r.frame_num) for r in want.collect()}
+        assert whole <= got and {g for g in got if g[0] is not None} == {w for w in whole if w[0] is not None}
+        assert changes.count() < 7 * 3 * 2 * 12
