@@ -38,25 +38,32 @@ def finished(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
-#: Frames come up to 63 numbers late, so up to 63 frames of a camera, however many it has; the last bits keep arrivals apart.
+#: Frames come up to 63 numbers late; the last bits keep arrivals apart.
 _ARRIVAL = "(event_id + event_id * 7919 % 64) * 4096 + event_id % 4096"
-CAPACITY = 128
+#: Frames come in an order that has nothing to do with their numbers: a camera's first may be its last to arrive.
+_SCRAMBLED = "event_id * 1327217885 % 2147483648"
 
 
-def _arrivals(spark: SparkSession, sf: str, folder: str, *more) -> DataFrame:
+def whole_camera(spark: SparkSession, sf: str) -> int:
+    """The capacity of a buffer that holds all frames of any one camera of the table."""
+    longest = inputs.frames(spark, sf).groupBy("camera").count().agg(F.max("count")).first()[0]
+    return (longest or 0) + 1
+
+
+def _arrivals(spark: SparkSession, sf: str, folder: str, *more, order: str = _SCRAMBLED) -> DataFrame:
     """Frames that arrive in scrambled order, and after them an end mark for every camera."""
-    frames = event_stream(spark, sf).select("camera", "frame_num", F.expr(_ARRIVAL).alias("arrival"), *more)
+    frames = event_stream(spark, sf).select("camera", "frame_num", F.expr(order).alias("arrival"), *more)
     marks = inputs.frames(spark, sf).select("camera").distinct().select(
         "camera", *[F.lit(None).cast(f.dataType).alias(f.name) for f in frames.schema if f.name != "camera"])
     marks.withColumn("arrival", F.lit(1 << 60)).write.parquet(f"{folder}/marks")
     return frames.unionByName(spark.readStream.schema(frames.schema).parquet(f"{folder}/marks"))
 
 
-@query("st1_reorder", f"SELECT camera, frame_num, {_ARRIVAL} AS arrival, false AS late FROM frames_v")
+@query("st1_reorder", f"SELECT camera, frame_num, {_SCRAMBLED} AS arrival, false AS late FROM frames_v")
 def st1_reorder(spark, sf):
-    """A buffer that holds more frames than any comes late restores their order: none is late."""
+    """A buffer that holds all frames of a camera restores their order: none is late."""
     folder = run_folder(spark, "reorder")
-    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=CAPACITY, idle_ms=0), folder)
+    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=whole_camera(spark, sf), idle_ms=0), folder)
 
 
 @query("st9_late", f"""
@@ -68,7 +75,7 @@ SELECT camera, frame_num, coalesce(frame_num < max(frame_num) OVER (PARTITION BY
 def st9_late(spark, sf):
     """A buffer that holds one frame lets the lower of two go; what goes after a higher one is late."""
     folder = run_folder(spark, "late")
-    return finished(reorder.reorder(_arrivals(spark, sf, folder), capacity=2, idle_ms=0), folder).select("camera", "frame_num", "late")
+    return finished(reorder.reorder(_arrivals(spark, sf, folder, order=_ARRIVAL), capacity=2, idle_ms=0), folder).select("camera", "frame_num", "late")
 
 
 @query("st2_stream_keyframes", "SELECT camera, frame_num, is_keyframe FROM keyframes_v")
@@ -76,7 +83,7 @@ def st2_stream_keyframes(spark, sf):
     """Key frames of cameras whose frames arrive in scrambled order."""
     folder = run_folder(spark, "keyframes")
     rows = _arrivals(spark, sf, folder, messages.class_list(F.col("objs")).alias("classes"))
-    return finished(reorder.stream_keyframes(rows, capacity=CAPACITY, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
+    return finished(reorder.stream_keyframes(rows, capacity=whole_camera(spark, sf), idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
 @query("w2_stream", """
@@ -89,7 +96,7 @@ def w2_stream(spark, sf):
     """Pair differences of cameras whose frames arrive in scrambled order."""
     folder = run_folder(spark, "pairs")
     rows = _arrivals(spark, sf, folder, "timestamp", "objs")
-    return finished(reorder.stream_pair_diff(rows, batch_seconds=3600, capacity=CAPACITY, idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
+    return finished(reorder.stream_pair_diff(rows, batch_seconds=3600, capacity=whole_camera(spark, sf), idle_ms=0), folder).select("camera", "frame_num", "is_keyframe")
 
 
 @query("d9_stream", box_queries._ISLANDS + "SELECT *, false AS late FROM shown")
@@ -136,10 +143,10 @@ def f3_stream_by_location(spark, sf):
     return _diverse(spark, sf, 20, True)
 
 
-def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
+def _message_files(spark: SparkSession, sf: str, folder: str, order: str = _SCRAMBLED) -> str:
     """Frames as lines of JSON in scrambled order with their numbers of arrival, and an end mark for every camera."""
     frames = inputs.frames(spark, sf)
-    body = ["camera", "frame_num", "timestamp", "location", "objs", "scenes", F.expr(_ARRIVAL).alias("arrival")]
+    body = ["camera", "frame_num", "timestamp", "location", "objs", "scenes", F.expr(order).alias("arrival")]
     lines = frames.select(F.to_json(F.struct(*body)).alias("value"))
     marks = frames.select("camera").distinct().select(F.to_json(F.struct("camera", F.lit(1 << 60).alias("arrival"))).alias("value"))
     lines.unionByName(marks).write.text(f"{folder}/wire")
@@ -149,7 +156,7 @@ def _message_files(spark: SparkSession, sf: str, folder: str) -> str:
 @query("s2_stream_messages", f"SELECT camera, frame_num, {_ARRIVAL} AS arrival, n_obj FROM frames_v")
 def s2_stream_messages(spark, sf):
     folder = run_folder(spark, "messages")
-    typed = source.accepted(source.stream_messages(spark, _message_files(spark, sf, folder)))
+    typed = source.accepted(source.stream_messages(spark, _message_files(spark, sf, folder, _ARRIVAL)))
     frames = typed.filter("frame_num is not null").select(
         "camera", "frame_num", "arrival", F.coalesce(F.array_size("objs"), F.lit(0)).cast("long").alias("n_obj"))
     return finished(frames, folder)
@@ -160,7 +167,7 @@ def e1_live_statistic(spark, sf):
     """Messages of scrambled cameras through the live query to all counters of the statistic table."""
     folder = run_folder(spark, "live")
     wire = source.stream_wire(spark, _message_files(spark, sf, folder))
-    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, CAPACITY, 0, {"availableNow": True}).awaitTermination()
+    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, whole_camera(spark, sf), 0, {"availableNow": True}).awaitTermination()
     return stream_sink.read_statistic(spark, folder).select("dashcam_id", "store_date", "location", "frames", "keyframes", "total", *TYPES)
 
 
@@ -172,7 +179,7 @@ def sk6_live(spark, sf):
     """The manifest that the live query writes, with frames without objects not worth storing."""
     folder = run_folder(spark, "live")
     wire = source.stream_wire(spark, _message_files(spark, sf, folder))
-    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, CAPACITY, 0, {"availableNow": True},
+    live.start_live(wire, folder, f"{folder}/checkpoint", inputs.STORE_PREFIX, inputs.URL_PREFIX, whole_camera(spark, sf), 0, {"availableNow": True},
                     inputs.TMP_PREFIX, F.size("objs") > 0).awaitTermination()
     return stream_sink.read_manifest(spark, folder).select("action", "key")
 

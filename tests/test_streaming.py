@@ -322,3 +322,25 @@ def test_diverse_frames_of_a_stream(spark, tmp_path):
         whole = {(r.camera, r.frame_num) for r in want.collect()}
         assert whole <= got and {g for g in got if g[0] is not None} == {w for w in whole if w[0] is not None}
         assert changes.count() < 7 * 3 * 2 * 12
+
+
+def events(folder, n, camera):
+    import duckdb
+    duckdb.sql(f"""COPY (SELECT range AS event_id, TIMESTAMP '2024-01-01' + INTERVAL (range * 7) SECOND AS ts, {camera} AS user_id, 'view' AS event_type,
+      1.0 AS value, '{{"k": ' || range % 97 || '}}' AS props FROM range({n})) TO '{folder}/events.parquet' (FORMAT parquet)""")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["st1_reorder", "st2_stream_keyframes"])
+def test_cameras_in_any_order_of_arrival(spark, tmp_path, name):
+    """One camera has most frames; its frames come in an order that has nothing to do with their numbers, and none is late."""
+    import compare
+    import duckdb
+    from framelake.plans import registry
+    sf = events(tmp_path, 900, "CASE WHEN range % 5 = 0 THEN range % 3 ELSE 7 END")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
+    assert compare.compare(spark, con, sf, name, registry.QUERIES[name], registry.SQL[name]) is None
+    sent = registry.QUERIES["st1_reorder"](spark, sf).filter("camera = 7").orderBy("arrival").collect()
+    assert sum(a.frame_num > b.frame_num for a, b in zip(sent, sent[1:])) > 200 and not any(r.late for r in sent)
+    assert max(abs(r.frame_num - s.frame_num) for r, s in zip(sent, sorted(sent, key=lambda r: r.frame_num))) > 500
