@@ -344,3 +344,82 @@ def test_cameras_in_any_order_of_arrival(spark, tmp_path, name):
     sent = registry.QUERIES["st1_reorder"](spark, sf).filter("camera = 7").orderBy("arrival").collect()
     assert sum(a.frame_num > b.frame_num for a, b in zip(sent, sent[1:])) > 200 and not any(r.late for r in sent)
     assert max(abs(r.frame_num - s.frame_num) for r, s in zip(sent, sorted(sent, key=lambda r: r.frame_num))) > 500
+
+
+class KeptMap:
+    """A map state as a processor sees it."""
+
+    def __init__(self):
+        self.rows, self.reads = {}, 0
+
+    def getValue(self, key):
+        self.reads += 1
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        self.rows.pop(key, None)
+
+
+class Handle:
+    def __init__(self):
+        self.maps, self.timers = {}, set()
+
+    def getMapState(self, name, key, value):
+        return self.maps.setdefault(name, KeptMap())
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+def test_a_bucket_steps_its_sequences_in_one_call(spark):
+    """One call takes many sequences and touches the state of theirs only; a timer ends those that were not seen since."""
+    import pandas as pd
+    from pyspark.sql import types as T
+    from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+
+    from framelake.operators import tracking
+    from framelake.streaming import tracks
+    rows = walking(11, videos=40, n=30)
+    want = sorted(map(tuple, tracking.track(spark.createDataFrame(rows, BOXES)).collect()))
+    names = ["camera", "video_id", "frame_num", "tie", "class_id", *tracking.BOX, "_bucket", "_null"]
+    key, handle = T.StructType([T.StructField(c, T.LongType()) for c in ("camera", "video_id")]), Handle()
+    processor = tracks.TrackState(names, key, 4, 500, 1, 3, 0.3, False)
+    processor.init(handle)
+    out = []
+    for ms, part in ((0, [r for r in rows if r[2] < 15]), (100, [r for r in rows if r[2] >= 15 and r[1] < 20])):
+        parts = iter([pd.DataFrame([(*r, 0, 0) for r in part], columns=names)])
+        out += [tuple(r) for df in processor.handleInputRows((0,), parts, TimerValues(ms, -1)) for r in df.itertuples(index=False)]
+    state = handle.maps["sequences"]
+    assert len(state.rows) == 40 and state.reads == 60 and handle.timers == {500, 600}
+    for due, videos in ((500, range(20, 40)), (600, range(20))):
+        got = [tuple(r) for df in processor.handleExpiredTimer((0,), TimerValues(due, -1), ExpiredTimerInfo(due)) for r in df.itertuples(index=False)]
+        assert got and {r[1] for r in got} <= set(videos)
+        out += got
+    assert not any(state.rows[k][5] or state.rows[k][6] for k in state.rows) and not handle.maps["due"].rows
+    first = [(1, v, *r) for v in range(40) for r in tracking_rows(rows, v, v < 20)]
+    assert sorted(r[:-1] for r in out) == sorted(first) and len({r[1] for r in want}) == 40
+
+
+def tracking_rows(rows, video, whole):
+    from framelake.operators.tracking import Tracker
+    tracker, out = Tracker(1, 3, 0.3), []
+    mine = [r for r in rows if r[1] == video and (whole or r[2] < 15)]
+    for f in range(min(r[2] for r in mine), max(r[2] for r in mine) + 1):
+        now = sorted(r for r in mine if r[2] == f)
+        out += [(f, *row) for row in tracker.step([r[5:] for r in now], [r[4] for r in now])]
+    return out
+
+
+def test_keys_of_sequences_may_be_null_text_or_large(spark, tmp_path):
+    from framelake.streaming import tracks
+    kind = BOXES.replace("camera long", "camera string")
+    box = (0, 1, 0.0, 0.0, 9.0, 9.0)
+    keys = [("a", 2 ** 53 + 1), ("a", 2 ** 53), ("a", 0), ("a", None), (None, 0), (None, None)]
+    rows = [(*k, f, *box) for i, k in enumerate(keys) for f in range(3 + i)]
+    spark.createDataFrame([*rows, *[(*k, *[None] * 7) for k in keys]], kind).write.parquet(f"{tmp_path}/in")
+    out = run(tracks.stream_tracks(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), idle_ms=0, bucket_count=1), tmp_path)
+    assert {tuple(r) for r in out.groupBy("camera", "video_id").count().collect()} == {(*k, 3 + i) for i, k in enumerate(keys)}
+    assert not out.filter("track_id <> 1 or late").count()
