@@ -31,3 +31,11 @@ def keys_of(part: pd.DataFrame, keys: Sequence[str]) -> list[tuple]:
     if not any(null):
         return found
     return [tuple(None if bits >> i & 1 else v for i, v in enumerate(key)) for key, bits in zip(found, null)]
+
+
+def exact(rows: pd.DataFrame, key: T.StructType, out: Sequence[tuple]) -> pd.DataFrame:
+    """`rows` made of `out`, which begins with the keys: beside nulls, large integers would become floats."""
+    for i, f in enumerate(key):
+        if isinstance(f.dataType, T.IntegralType):
+            rows[f.name] = pd.array([r[i] for r in out], dtype="Int64")
+    return rows

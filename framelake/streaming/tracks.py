@@ -79,10 +79,7 @@ class TrackState(StatefulProcessor):
     def _frame(self, out: list[tuple]) -> pd.DataFrame:
         rows = pd.DataFrame(out, columns=[*self.keys, "frame_num", *BOX, "track_id", "class_id", "late"])
         rows["track_id"] = rows["track_id"].astype("Int64")
-        for i, f in enumerate(self.key):
-            if isinstance(f.dataType, T.IntegralType):
-                rows[f.name] = pd.array([r[i] for r in out], dtype="Int64")  # beside nulls they would become floats
-        return rows
+        return buckets.exact(rows, self.key, out)
 
     def _arrived(self, rows: Iterator[pd.DataFrame]) -> tuple[dict[tuple, list[tuple]], set[tuple]]:
         """Boxes of each sequence of the bucket, and the sequences that end."""

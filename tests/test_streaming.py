@@ -423,3 +423,28 @@ def test_keys_of_sequences_may_be_null_text_or_large(spark, tmp_path):
     out = run(tracks.stream_tracks(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), idle_ms=0, bucket_count=1), tmp_path)
     assert {tuple(r) for r in out.groupBy("camera", "video_id").count().collect()} == {(*k, 3 + i) for i, k in enumerate(keys)}
     assert not out.filter("track_id <> 1 or late").count()
+
+
+def test_a_bucket_counts_its_cameras_in_one_call():
+    """One call takes many cameras, null among them, and touches the state of theirs only; each camera closes by its own time or end mark."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from framelake.operators import statistic
+    key, handle, one = T.StructType([T.StructField("camera", T.LongType())]), Handle(), np.ones(len(statistic.COUNTERS), dtype="int64")
+    processor = windows.OpenPeriods(["camera", "timestamp", "store_date", "location", "counts", "_bucket", "_null"], key, 1000, 2000)
+    processor.init(handle)
+
+    def call(rows):
+        part = pd.DataFrame([(c or 0, ms, None if ms is None else "d", place, one, 0, int(c is None)) for c, ms, place in rows], columns=processor.names)
+        frames = processor.handleInputRows((0,), iter([part]), None)
+        return sorted(((None if pd.isna(r[0]) else int(r[0]), r[1], r[3], r[4]) for df in frames for r in df.itertuples(index=False)), key=str)
+
+    cameras = [None, *range(30)]
+    assert call([(c, ms, None) for c in cameras for ms in (0, 10, 1500)]) == []
+    assert handle.maps["cameras"].reads == 31
+    assert call([(c, 4000, "x") for c in cameras[:2]]) == sorted(((c, p, None, [n] * len(one)) for c in cameras[:2] for p, n in ((0, 2), (1000, 1))), key=str)
+    assert handle.maps["cameras"].reads == 33
+    assert call([(c, None, None) for c in cameras[1:4]]) == sorted(
+        [(0, 4000, "x", [1] * len(one)), *((c, p, None, [n] * len(one)) for c in (1, 2) for p, n in ((0, 2), (1000, 1)))], key=str)
